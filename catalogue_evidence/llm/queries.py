@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalogue_evidence.llm import bpe, decontaminate, licences, secrets, simhash
+from catalogue_evidence.llm import bpe, decontaminate, language, licences, nearest, secrets, sharding, simhash, tokenfiles, toxicity
 from catalogue_evidence.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -30,15 +32,40 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.through_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_secrets": op3_secrets,
         "op4_decontaminate": op4_decontaminate,
+        "op5_token_files": op5_token_files,
+        "op6_nearest": op6_nearest,
+        "op7_language": op7_language,
         "op8_licences": op8_licences,
+        "op9_sharding": op9_sharding,
+        "op10_toxicity": op10_toxicity,
     }
