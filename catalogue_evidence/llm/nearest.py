@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 from catalogue_evidence.llm.common import staged
 
 SAMPLE = 16_384  # vectors that the centroids and codebooks are fitted on
-PART = 4  # dimensions of a quantised part
+PART = 2  # dimensions of a quantised part
 CELL = 4_096  # vectors of a list that one call looks through
 ASKERS = 512  # queries that one call answers
+TARGET = 0.975  # share of the sample's own nearest neighbours that lie in the lists probed
 CANDIDATES = 256  # kept of each call, and then of each query, for exact ranking
 
 
@@ -65,10 +67,37 @@ class Index:
         codes = [closest(rest[:, i * PART : (i + 1) * PART], b) for i, b in enumerate(self.books)]
         return own, np.stack(codes, 1).astype(np.uint8)
 
-    def table(self, query: np.ndarray, of: int) -> list[np.ndarray]:
-        """Squared distances from a query's residual in list `of` to each codeword of each part."""
-        rest = query - self.centres[of]
-        return [((b - rest[i * PART : (i + 1) * PART]) ** 2).sum(1) for i, b in enumerate(self.books)]
+    def probes(self, sample: np.ndarray, k: int, target: float = TARGET, queries: int = 256) -> int:
+        """So many lists must be probed that the share `target` of the sample's nearest neighbours in itself lie there.
+
+        Each query's lists are taken by distance of their centroids; of a larger set the nearest lie closer still.
+        """
+        own = closest(sample, self.centres)
+        depth = []
+        for q in sample[:queries]:
+            d = ((sample - q) ** 2).sum(1)
+            near = own[np.argpartition(d, min(k, len(d) - 1))[: k + 1]]
+            place = np.empty(len(self.centres), int)
+            place[np.argsort(distances(q[None], self.centres)[0], kind="stable")] = np.arange(len(self.centres))
+            depth.append(place[near])
+        return int(np.quantile(np.concatenate(depth), target, method="higher")) + 1
+
+    def near(self, query: np.ndarray, of: int, codes: np.ndarray) -> np.ndarray:
+        """Approximate squared distances to the codes of list `of`: sums over a table from the query's residual to all
+        codewords of each part."""
+        parts = len(self.books)
+        rest = np.zeros(parts * PART)
+        rest[: len(query)] = query - self.centres[of]
+        table = ((self.stacked - rest.reshape(parts, 1, PART)) ** 2).sum(2)
+        return table[np.arange(parts), codes].sum(1)
+
+    @cached_property
+    def stacked(self) -> np.ndarray:
+        """All codebooks as one array, short ones filled up with what no code names."""
+        out = np.zeros((len(self.books), max(map(len, self.books)), PART))
+        for i, b in enumerate(self.books):
+            out[i, : len(b), : b.shape[1]] = b
+        return out
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -89,7 +118,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     """(query_id, rank, vec_id, score): the k nearest other rows found for each row of vectors where asked holds.
 
     score is the Euclidean distance in double precision, ties go to the smaller vec_id, rank counts from 1. Rows that
-    usable() leaves out neither ask nor answer; vec_id must be unique among the rest, of repeated rows one is taken.
+    usable() leaves out neither ask nor answer. So many lists are probed as the sample itself needs; vec_id must be unique among the rest, of repeated rows one is taken.
     The index is fitted on at most `sample` vectors, those of the least hash of vec_id, and holds every vector. A list
     is dealt out in cells of at most about CELL vectors and ASKERS queries, so that no hot list is one task's work. All
     other rows are answers where there are fewer than k. Recall is measured in the tests.
@@ -101,9 +130,10 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
         return data.sparkSession.createDataFrame([], empty)
     n = data.count()
     lists = lists or int(min(4096, max(1, round(n**0.5))))
-    index = Index.fit(np.array([r["v"] for r in some]), lists)
+    fitted = np.array([r["v"] for r in some])
+    index = Index.fit(fitted, lists)
     lists = len(index.centres)
-    probes = min(lists, probes or max(16, lists // 4))
+    probes = min(lists, probes or max(8, index.probes(fitted, k)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,9 +168,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
             ids = stored["vec_id"].to_numpy()
             codes = np.frombuffer(b"".join(stored["code"]), np.uint8).reshape(len(ids), -1)
             for query, q, of in zip(queries["query_id"], queries["q"], queries["list"]):
-                d = np.zeros(len(ids))
-                for part, table in enumerate(index.table(np.asarray(q), of)):
-                    d += table[codes[:, part]]
+                d = index.near(np.asarray(q), of, codes)
                 d[ids == query] = np.inf
                 best = np.argsort(d, kind="stable")[:CANDIDATES]  # of equal distances the smaller vec_id
                 best = best[np.isfinite(d[best])]

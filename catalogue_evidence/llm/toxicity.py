@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +19,12 @@ from catalogue_evidence.llm.language import held_out
 EXAMPLES = 12_288  # labelled documents that serve as examples: a third of them toxic at most, the rest clean at most
 NEIGHBOURS = 15
 BLOCK = 64  # examples in a block of the index
-PRIOR = 0.5  # weight of the examples' toxic share among the votes
+PRIOR = 1.5  # weight of the examples' toxic share among the votes
 PREFIX = 5  # letters of a word's beginning that count as a term beside the word
 WORD = re.compile(r"\w+")
-#: A term of the index: in so many toxic examples at least, so many times as frequent there as in clean ones, and with
-#: such a chi-squared of one degree.
-LEAST, RATIO, CHI2 = 4, 5.0, 20.0
+#: A term of the index: in so many toxic examples and such a share of them at least, so many times as frequent there as in
+#: clean ones, and with such a chi-squared of one degree. Near copies count once.
+LEAST, SHARE, RATIO, CHI2 = 4, 0.005, 5.0, 20.0
 
 
 def terms(word: str) -> list[str]:
@@ -132,18 +133,22 @@ def vocabulary(some: DataFrame) -> dict[str, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = sorted({t for w in set(WORD.findall(text.lower())) for t in terms(w)})
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([toxic] * len(own), pa.int32())], names=["term", "toxic"])
-
-    size = {r["toxic"]: r["count"] for r in some.groupBy("toxic").count().collect()}
+                words = set(WORD.findall(text.lower()))
+                like = min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=0)  # most near copies share it
+                own = sorted({t for w in words for t in terms(w)})
+                cols = [pa.array(own, pa.string()), *[pa.array([x] * len(own), pa.int64()) for x in (toxic, like)]]
+                yield pa.RecordBatch.from_arrays(cols, names=["term", "toxic", "like"])
+
+    df = some.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(run, "term string, toxic long, like long")
+    df = staged(df.distinct(), "toxic-terms")  # as many rows as the examples have terms
+    size = {r["toxic"]: r["n"] for r in df.groupBy("toxic").agg(F.count_distinct("like").alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
         return {}
-    df = some.select("toxic", "text").mapInArrow(run, "term string, toxic int").groupBy("term")
-    df = df.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    df = df.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     a, b = F.col("a"), F.col("b")
     chi2 = (bad + good) * F.pow(a * (good - b) - b * (bad - a), 2) / (F.lit(float(bad * good)) * (a + b) * (bad + good - a - b) + 1e-9)
-    telling = df.filter((a >= LEAST) & (a / bad >= RATIO * b / good) & (chi2 >= CHI2))
+    telling = df.filter((a >= max(LEAST, SHARE * bad)) & (a / bad >= RATIO * b / good) & (chi2 >= CHI2))
     return {t: k for k, t in enumerate(sorted(r["term"] for r in telling.select("term").collect()))}
 
 
