@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import duckdb
@@ -43,8 +42,6 @@ DECODE = """
 SELECT t.doc, list(v.bytes ORDER BY t.pos) AS parts
 FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
 """
-#: White space that isn't one character between others; only texts without it can be cut before each blank.
-UNEVEN = re.compile(r"\A\s|\s\s|\s\Z")
 WORDS = 20_000  # in one query
 
 
@@ -104,19 +101,22 @@ class Codec:
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Chunks begin and end where pieces of the pattern do, so that each can be encoded for itself."""
-        pieces = [self.pieces.findall(c) for c in chunks]
+        pieces = [[c] if (c[1:] if c[:1] == " " else c).isalpha() else self.pieces.findall(c) for c in chunks]  # letters are one
         known = self.encode_words(sorted({w for ws in pieces for w in ws}))
         return [b"".join([known[w] for w in ws]) for ws in pieces]
 
-    def cut(self, text: str) -> list[str]:
-        """Chunks at whose ends the pattern's pieces end as well: before a blank between two characters that aren't."""
-        if UNEVEN.search(text):
-            return self.pieces.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + c for c in rest]] if text else []
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b, np.int32) for b in self.chunks.of([self.cut(t) for t in texts])]
+        """Ids of each text, cut before its blanks; a text with more white space beside a blank is cut into pieces."""
+
+        def mend(new: set[str], docs: list[list[str]]) -> bool:
+            odd = {c for c in new if c and (c[-1].isspace() or c[0] == " " and c[1].isspace())}
+            for k, chunks in enumerate(docs):
+                if odd and not odd.isdisjoint(chunks):
+                    docs[k] = self.pieces.findall(texts[k])
+            return bool(odd)
+
+        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else self.pieces.findall(t) for t in texts]
+        return [np.frombuffer(b, np.int32) for b in self.chunks.of(cut, mend)]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         size = np.array([len(x) for x in ids], np.int64)

@@ -10,25 +10,31 @@ import pyarrow as pa
 class Recent:
     """Chunk -> encoding. Two generations of at most `most` chunks each: what is asked for again stays, the rest goes."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 200_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 400_000) -> None:
         self.encode, self.most = encode, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def of(self, docs: list[list[str]]) -> list[bytes]:
-        """The joined encodings of each document's chunks."""
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
+    def missing(self, docs: list[list[str]]) -> set[str]:
         young = self.young
         new = {c for chunks in docs for c in chunks if c not in young}
         if self.old:
             known = new & self.old.keys()
             young.update((c, self.old[c]) for c in known)
             new -= known
+        return new
+
+    def of(self, docs: list[list[str]], mend: Callable[[set[str], list[list[str]]], bool] | None = None) -> list[bytes]:
+        """The joined encodings of each document's chunks. mend sees new chunks and may cut documents anew."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        new = self.missing(docs)
+        if mend and mend(new, docs):
+            new = self.missing(docs)
         if new:
             asked = sorted(new)
-            young.update(zip(asked, self.encode(asked), strict=True))
-        get = young.__getitem__
+            self.young.update(zip(asked, self.encode(asked), strict=True))
+        get = self.young.__getitem__
         return [b"".join(map(get, chunks)) for chunks in docs]
 
 
