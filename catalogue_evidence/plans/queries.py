@@ -1,11 +1,322 @@
-"""One query for each operator of the library, on the shared test tables."""
+"""Queries that apply the library's operators to the shared test tables, whole; names begin with operator ids."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from catalogue_evidence.functions import text, urls
+from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring
+from catalogue_evidence.operators.assemble import KEY
+from catalogue_evidence.plans import adapters as a
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+NOW, MODEL = "2020-01-01T00:00:00Z", "model"
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def listed(c: Column) -> Column:
+    """An array of texts as one text, so that results compare by value."""
+    return F.array_join(c, ",")
+
+
+def entries(c: str) -> Column:
+    return F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = a.read(spark, sf_dir, "documents").select("doc_id", text.norm_text(F.col("text")).alias("norm"), text.significant_tokens(F.col("text")).alias("tokens"), text.size_signatures(F.col("text")).alias("sizes"))
+    return docs.select("doc_id", F.md5(F.col("norm").cast("binary")).alias("norm_md5"), F.size("tokens").alias("n_tokens"), F.md5(listed(F.col("tokens")).cast("binary")).alias("tokens_md5"), listed(F.array_sort("sizes")).alias("sizes"))
+
+
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = a.read(spark, sf_dir, "part").select("p_partkey", text.significant_tokens(F.concat_ws(" ", "p_name", "p_brand")).alias("need"), text.significant_tokens(F.concat_ws(" ", "p_type", "p_brand")).alias("hay"), text.size_signatures(F.concat_ws(" ", F.col("p_size").cast("string"), F.lit("caps"))).alias("want"), text.size_signatures(F.concat_ws(" ", F.lit("10"), F.lit("capsules"))).alias("have"))
+    return p.select("p_partkey", F.round(text.token_coverage(F.col("need"), F.col("hay")), 6).alias("coverage"), text.exact_size_match(F.col("want"), F.col("have")).alias("size_match"))
+
+
+def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.catalogue(spark, sf_dir)
+    i = text.identity_norm(F.col("brand"), F.col("productName"), F.col("size"))
+    j = text.identity_plain(F.col("brand"), F.col("productName"), F.col("size"))
+    c = c.select(KEY, "batchIndex", "targetJpgPath", "isSharedSourceConflict", i.alias("i"), j.alias("j"), text.immutable_key(F.col("region"), F.col("productId"), F.col("variantIndex")).alias("composed"))
+    return c.select(
+        KEY, "composed", F.concat_ws("|", "i.brand", "i.product", listed(F.col("i.sizes"))).alias("identity"), F.concat_ws("|", "j.brand", "j.product", "j.size").alias("plain"),
+        text.is_truthy(F.col("isSharedSourceConflict")).alias("truthy"), text.append_note(F.lit(" | "), "n").alias("note"),
+        text.image_src(F.col("targetJpgPath")).alias("src"), text.staging_path(F.col("batchIndex"), F.col("targetJpgPath")).alias("staging"),
+    )
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.concat(F.col("url"), F.array(*[F.lit(x) for x in ("/a%20b+c.JPG", "?attribute_x=1", "/silicon.png?x", "#top")])[(F.col("page_id") % 4).cast("int")])
+    p = a.read(spark, sf_dir, "pages").select("page_id", u.alias("u"))
+    dom = urls.canonical_domain(F.col("u"))
+    d = F.array(F.lit("example.org"), F.substring(dom, 2, 100), F.lit("com"))
+    return p.select(
+        "page_id", dom.alias("domain"), urls.url_unquote(F.col("u")).alias("unquoted"), urls.is_bad_image_url(F.col("u")).alias("bad"), urls.is_direct_image_url(F.col("u")).alias("direct"),
+        urls.is_variable_page(F.col("u"), F.lit("")).alias("variable"), urls.is_official(dom, d).alias("official"), urls.is_official_loose(dom, d).alias("loose"), urls.is_bad_page_domain(dom).alias("bad_page"),
+    )
+
+
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
+    q = urls.search_query(F.col("domains"), F.col("brand"), F.col("productName"), F.col("size"), F.col("format"), F.col("sku"), F.col("sourcePage"))
+    return c.select(KEY, listed(F.array_sort("domains")).alias("domains"), q.alias("query"))
+
+
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = a.read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"), "html")
+    t = extract.page_text(p)
+    return p.select("page_id", "page_url").join(t, "page_url").select("page_id", "title")
+
+
+def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.dedup_page_candidates(extract.extract_candidates(a.page_rows(spark, sf_dir))).select("page_url", "disc_ord", "url", "origin", "alt", "structured_brand")
+
+
+def page_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.jsonld_products(a.page_rows(spark, sf_dir)).select("page_url", "name", "brand")
+
+
+def store_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = a.read(spark, sf_dir, "part").selectExpr(
+        "concat('https://shop.example.com/products/', p_partkey) as page_url",
+        "to_json(named_struct('title', p_name, 'vendor', p_brand, 'featured_image', case when p_partkey % 2 = 0 then concat('//cdn.example.com/f', p_partkey, '.jpg') end, 'images', array(concat('/i', p_partkey, '.png'), 'data:x'))) as json",
+    )
+    return extract.extract_store_json(p).select("page_url", "disc_ord", "url", "alt", "structured_brand")
+
+
+def row_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.pages_for_row(a.catalogue(spark, sf_dir))
+
+
+def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.catalogue(spark, sf_dir)
+    out = assemble.assemble_candidates(assemble.direct_candidates(c), a.candidates(spark, sf_dir))
+    return out.select(KEY, "disc_ord", "url", "origin")
+
+
+def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = a.candidates(spark, sf_dir).filter("disc_ord % 3 = 0")
+    return assemble.needs_search(a.catalogue(spark, sf_dir), found).select(KEY)
+
+
+def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
+    found = a.candidates(spark, sf_dir).select(KEY, F.col("disc_ord").alias("rank"), F.col("page_url").alias("href"), F.col("alt").alias("title"))
+    return assemble.rank_search_results(found, c)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
+    return scoring.candidate_score(a.candidates(spark, sf_dir), c)
+
+
+def best_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: the best candidate of each catalogue row by brand, name, size and origin."""
+    ranked = scoring.rank_candidates(scored(spark, sf_dir), 1)
+    return ranked.select(KEY, "url", "origin", F.round("brand_cov", 6).alias("brand_cov"), F.round("product_cov", 6).alias("product_cov"), "size_ok", "exact", F.round("score", 6).alias("score"))
+
+
+def top_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.rank_candidates(scored(spark, sf_dir), 5).select(KEY, "rank", "disc_ord", F.round("score", 6).alias("score"))
+
+
+def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = a.candidates(spark, sf_dir).select("url").distinct()
+    n = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(20))
+    return u.filter(n != 0).select(
+        "url", F.when(n == 1, F.concat("url", F.lit("?r"))).otherwise(F.col("url")).alias("final_url"), F.when(n == 2, "text/html").otherwise("image/jpeg").alias("content_type"),
+        F.when(n == 3, "blank or near-blank image").otherwise("").alias("error"), F.lit("600").alias("width"), F.lit("500").alias("height"), F.lit("9000").alias("bytes"),
+        F.sha2(F.col("url").cast("binary"), 256).alias("sha256"), F.md5(F.col("url").cast("binary")).alias("perceptualHash"),
+    )
+
+
+def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.catalogue(spark, sf_dir)
+    ranked = scoring.rank_candidates(scored(spark, sf_dir))
+    refused = ranked.filter("rank = 1 and disc_ord % 2 = 0").select(KEY, F.col("url").alias("resolvedImageUrl"))
+    none = spark.createDataFrame([], f"{KEY} string, exactVariantConfirmed string")
+    judged = scoring.judge(ranked, c, fetched(spark, sf_dir), refused, none)
+    return scoring.select_best(judged, c).select(KEY, "status", "resolvedImageUrl", "origin", "imageCandidateScore", "autoApprovalEligible", "reason", "stagingPath")
+
+
+def byte_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conflicts.duplicate_conflicts(a.results(spark, sf_dir), "sha256").select("conflictType", "digest", KEY)
+
+
+def text_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = a.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("sha256"), F.col("lang").alias("brand"), F.col("source").alias("productName"), F.lit("").alias("size"))
+    return conflicts.conflict_digests(d, "sha256")
+
+
+def conflict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conflicts.conflict_report(a.results(spark, sf_dir)).select("conflictType", "digest", KEY, "status")
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conflicts.mark_conflicts(a.results(spark, sf_dir)).select(KEY, "status", "autoApprovalEligible", "reason")
+
+
+def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = a.results(spark, sf_dir)
+    files = a.store_images(spark, sf_dir).filter("error = ''").select("path")
+    kept, todo = review.resume_split(a.catalogue(spark, sf_dir).filter("region <> 'us'"), r, files)
+    return kept.select(KEY, F.lit("kept").alias("part")).unionByName(todo.select(KEY, F.lit("todo").alias("part")))
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = a.results(spark, sf_dir).select(KEY, "status", "batchIndex")
+    n = F.col("batchIndex").cast("long")
+    return review.merge_chunks(r.filter(n % 2 == 0), r.filter(n % 3 == 0).withColumn("status", F.lit("SECOND"))).select(KEY, "status")
+
+
+def merged_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = a.results(spark, sf_dir)
+    n = F.col("batchIndex").cast("long")
+    return review.merge_results(a.catalogue(spark, sf_dir).filter("region = 'ca'"), r, r.filter(n % 5 == 0).withColumn("status", F.lit("NEW"))).select(KEY, "status")
+
+
+def overriding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.catalogue(spark, sf_dir)
+    n = F.col("batchIndex").cast("long") - 1
+    o = c.select(KEY, F.when(n % 50 == 9, "https://x.example.com/a.jpg").when(n % 50 == 8, "http://y.example.com/b.jpg").when(n % 50 == 0, "https://z.example.com").otherwise("none").alias("approvedDirectImageUrl"))
+    return review.override_todo(c, o, a.results(spark, sf_dir)).select(KEY)
+
+
+def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.merge_review_sheet(a.results(spark, sf_dir), a.sheet(spark, sf_dir)).select(KEY, "manualVisualDecision", "reviewer", "brandExact", "reviewedBrand", "status")
+
+
+def acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = conflicts.mark_conflicts(a.results(spark, sf_dir))
+    s = review.acquisition_summary(r, conflicts.conflict_report(a.results(spark, sf_dir)))
+    return s.withColumn("statusCounts", entries("statusCounts"))
+
+
+def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.pending_verification(a.catalogue(spark, sf_dir), a.results(spark, sf_dir), a.sheet(spark, sf_dir), resume=True).select(KEY)
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.decided(a.verifications(spark, sf_dir)).select(F.col("_v").alias(KEY), F.col("new_decision").alias("decision"))
+
+
+def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = review.apply_verifications(a.sheet(spark, sf_dir), a.verifications(spark, sf_dir), a.catalogue(spark, sf_dir), a.results(spark, sf_dir), MODEL, NOW)
+    return out.select(KEY, "manualVisualDecision", "reviewer", "evidenceNote", "brandExact", "reviewedBrand", "aiDecision", "aiConfidence")
+
+
+def rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = review.new_rejections(a.sheet(spark, sf_dir), a.verifications(spark, sf_dir), a.results(spark, sf_dir), NOW)
+    return review.upsert_rejected(a.rejected(spark, sf_dir), new)
+
+
+def whole_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.full_review(a.catalogue(spark, sf_dir), a.sheet(spark, sf_dir)).select(KEY, "batchIndex", "manualVisualDecision", "reviewer")
+
+
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.decision_counts(a.sheet(spark, sf_dir))
+
+
+def retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, s, stale = review.prepare_retry(a.results(spark, sf_dir), a.sheet(spark, sf_dir), include_review=True)
+    rows = r.select(F.col(KEY), F.col("status"), F.coalesce("sha256", F.lit("")).alias("sha256"))
+    sheet_ = s.select(F.col(KEY).alias("_k"), "manualVisualDecision", "reviewer")
+    paths = stale.select(F.col(KEY).alias("_p"), "path")
+    return rows.join(sheet_, F.col(KEY) == F.col("_k"), "left").join(paths, F.col(KEY) == F.col("_p"), "left").drop("_k", "_p")
+
+
+def human(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = review.apply_human_decisions(a.sheet(spark, sf_dir), a.decision_events(spark, sf_dir), a.catalogue(spark, sf_dir))
+    return out.select(KEY, "manualVisualDecision", "reviewer", "brandExact", "reviewedBrand")
+
+
+def human_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.human_rejections(a.decision_events(spark, sf_dir), a.results(spark, sf_dir), a.rejected(spark, sf_dir), NOW)
+
+
+def path_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.path_problems(a.manifest(spark, sf_dir))
+
+
+def path_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.path_report(a.manifest(spark, sf_dir)).drop("problemsPreview")
+
+
+def staged_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.staged_missing(a.results(spark, sf_dir), a.store_images(spark, sf_dir).filter("error = ''"))
+
+
+def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = a.manifest(spark, sf_dir)
+    return audit.reconcile(a.catalogue(spark, sf_dir).filter("cast(batchIndex as long) % 13 <> 0"), m.filter("row_no % 11 <> 0"))
+
+
+def identity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.identity_audit(a.catalogue(spark, sf_dir))
+
+
+def shared_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.shared_source_pages(a.catalogue(spark, sf_dir))
+
+
+def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.catalogue(spark, sf_dir)
+    return audit.correct_conflicts(c, c.filter("isSharedSourceConflict = 'true'").select(KEY)).select(KEY, "sourcePage", "currentImageReference")
+
+
+def scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.scope_summary(a.catalogue(spark, sf_dir))
+
+
+def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.domain_weights(a.catalogue(spark, sf_dir))
+
+
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.validate_rows(a.catalogue(spark, sf_dir), a.results(spark, sf_dir), a.sheet(spark, sf_dir), a.store_images(spark, sf_dir))
+
+
+def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated(spark, sf_dir).select(KEY, F.coalesce("failure", F.lit("")).alias("failure"), "passed_hash")
+
+
+def gate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.failures(gated(spark, sf_dir))
+
+
+def regional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.rebuild_regional(a.regional_source(spark, sf_dir), publish.approved_catalogue(gated(spark, sf_dir)))
+
+
+def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = publish.validation_summary(gated(spark, sf_dir), a.regional_source(spark, sf_dir), 2000)
+    return s.select("scope", "expected", "approvedAndMaterialized", "failureCount", entries("regionalSourceRows").alias("regions"), "pass")
+
+
+def status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = publish.status_report(a.catalogue(spark, sf_dir), a.results(spark, sf_dir), a.sheet(spark, sf_dir), a.store_images(spark, sf_dir))
+    return s.withColumn("acquisitionStatusCounts", entries("acquisitionStatusCounts")).withColumn("reviewDecisionCounts", entries("reviewDecisionCounts"))
+
+
+def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = publish.review_queue(a.catalogue(spark, sf_dir), a.results(spark, sf_dir), a.sheet(spark, sf_dir), 100)
+    return q.select("page", "place", "pages", KEY, "decision")
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "b1_b4_text": texts, "b3_b5_coverage": coverage, "b6_b12_identity": identities, "c2_c12_urls": url_rules, "c13_e1_search_query": search_queries,
+        "d1_page_titles": page_titles, "d2_products": page_products, "d3_d8_candidates": page_candidates, "d7_store_json": store_candidates,
+        "d10_row_pages": row_pages, "d11_search_results": search_results, "d13_needs_search": searched, "e2_assemble": assembled,
+        "f1_f2_f10_best_evidence": best_evidence, "f3_top_ranked": top_ranked, "f4_f11_selected": selected,
+        "h1_byte_conflicts": byte_conflicts, "h1_text_conflicts": text_conflicts, "h3_conflict_report": conflict_report, "h4_marked": marked,
+        "i1_resume": resumed, "i2_merged_results": merged_results, "i3_override_todo": overriding, "i4_chunks": chunks, "i5_review_sheet": sheet,
+        "i6_acquisition_summary": acquisition, "i7_pending": pending, "i8_i9_decisions": decisions, "i10_verified": verified, "i11_rejected": rejections,
+        "i12_full_review": whole_review, "i13_decision_counts": counted, "i14_retry": retried, "i15_human_decisions": human, "i15_human_rejected": human_rejected,
+        "j1_j2_path_problems": path_problems, "j3_staged_missing": staged_missing, "j4_path_report": path_report, "j5_reconcile": reconciled,
+        "j6_identity_audit": identity_audit, "j7_shared_pages": shared_pages, "j8_corrected": corrected, "j9_scope": scope, "j10_domain_weights": weights,
+        "k1_gate": gate, "h5_k1_failures": gate_failures, "k2_k3_regional": regional, "k4_validation": validation, "k5_status": status, "k6_queue": queue,
+    }
