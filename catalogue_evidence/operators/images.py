@@ -32,6 +32,11 @@ def resized(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
     return np.clip(np.rint(pool(rows.swapaxes(0, 1), width).swapaxes(0, 1)), 0, 255).astype(np.uint8)
 
 
+def same_path(path: Column) -> Column:
+    """Both sources' names of a local file as one; they differ in slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def rgb_of(data: bytes, width: int, height: int, channels: int) -> np.ndarray:
     x = np.frombuffer(data, np.uint8)[: width * height * channels].reshape(height, width, channels)
     return np.repeat(x, 3, 2) if channels == 1 else x[:, :, [2, 1, 0]]  # stored in the order blue, green, red
@@ -68,8 +73,8 @@ def image_quality(images: DataFrame, lengths: DataFrame) -> DataFrame:
                 out.append((r.origin, r.length, r.width, r.height, e, s, h))
             yield pd.DataFrame(out, columns=["path", "length", "width", "height", "entropy", "stddev", "dhash"])
 
-    size = lengths.select(F.col("path").alias("_p"), "length")
-    flat = images.select("image.*").join(size, F.col("origin") == F.col("_p"))
+    size = lengths.select(same_path(F.col("path")).alias("_p"), "length")
+    flat = images.select("image.*").join(size, same_path(F.col("origin")) == F.col("_p"))
     made = flat.select("origin", "length", "width", "height", "nChannels", "data").mapInPandas(run, QUALITY)
     return made.withColumn("error", quality_error())
 
@@ -96,7 +101,7 @@ def content_hash(files: DataFrame) -> DataFrame:
 def jpeg_check(files: DataFrame, images: DataFrame) -> DataFrame:
     """(path, sha256, error): error is empty for decodable three-channel JPEG files of 240 pixels a side and more."""
     i = images.select(F.col("image.origin").alias("_o"), "image.width", "image.height", "image.nChannels")
-    both = files.join(i, F.col("path") == F.col("_o"), "left")
+    both = files.join(i, same_path(F.col("path")) == same_path(F.col("_o")), "left")
     side = F.least("width", "height")
     error = (
         F.when(F.coalesce(F.col("width"), F.lit(-1)) <= 0, "undecodable")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalogue_evidence.operators import assemble, conflicts, extract, publish, review, scoring
 from catalogue_evidence.operators.assemble import KEY
@@ -28,7 +29,7 @@ def acquire(inputs: Inputs, rejected: DataFrame) -> DataFrame:
     wanted = assemble.pages_for_row(rows)
     needed = inputs.pages.join(wanted.select("page_url").distinct(), "page_url", "left_semi")
     found = extract.dedup_page_candidates(extract.extract_candidates(needed).unionByName(extract.extract_store_json(inputs.payloads)))
-    on_pages = found.withColumnRenamed("page_url", "visited").withColumn("page_url", found["page_url"])
+    on_pages = found.select("*", F.col("page_url").alias("visited"))
     candidates = assemble.assemble_candidates(
         assemble.override_candidates(rows, inputs.overrides), assemble.direct_candidates(rows), assemble.join_page_candidates(wanted, on_pages)
     )
