@@ -51,7 +51,8 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS
 
 
 def _found(docs: DataFrame, items: DataFrame, keys: dict[str, Column], threshold: float, size: int) -> DataFrame:
-    """keys, item_id, n_shingles, n_found of each pair that passes, by one pass over the documents' shingles."""
+    """keys, item_id, n_shingles, n_found of each pair that passes, by one pass over the documents' shingles. Rows of
+    equal keys count once."""
     index = item_index(items, threshold, size)
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
@@ -59,7 +60,7 @@ def _found(docs: DataFrame, items: DataFrame, keys: dict[str, Column], threshold
     each = split.select(*keys, F.explode(shingle_hashes(F.col("words"), size)).alias("doc_hash"))
     met = each.join(index, F.col("doc_hash") == F.col("hash"))
     pairs = met.groupBy(*keys, "item_id", "n_shingles").agg(
-        F.count(F.lit(1)).alias("n_found"), F.bool_or("in_sketch").alias("candidate")
+        F.count_distinct("hash").alias("n_found"), F.bool_or("in_sketch").alias("candidate")
     )
     return pairs.filter("candidate").filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9)).drop("candidate")
 

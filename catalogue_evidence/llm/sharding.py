@@ -37,20 +37,20 @@ def propagate(start: DataFrame, quota: int, shards: int, rounds: int = ROUNDS) -
     for turn in range(rounds):
         load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("cnt").alias("n")).collect()}  # a row a shard
         room = spark.createDataFrame([(s, max(0, quota - load.get(s, 0))) for s in range(shards)], "home int, free long")
-        # A group moves to the shard that holds most of it; if that is full, its outlying members stay for other groups' sake.
-        pick = F.struct("cnt", F.xxhash64("digest", "shard").alias("tie"), "shard")
-        best = state.groupBy("digest").agg(F.max(pick).alias("best"), F.sum("cnt").alias("total")).select(
-            "digest", F.col("best.shard").alias("target"), F.col("best.cnt").alias("most"), "total"
-        )
-        best = best.join(F.broadcast(room), best["target"] == room["home"]).drop("home")
-        wide = best.filter(F.col("free") == 0).filter(F.col("total") > quota / LARGE).select("digest", "total")
-        # Large groups whose fullest shard has no room go on to the shard with most room, the rest of them at once.
-        other = max(((quota - load.get(s, 0), -s) for s in range(shards)), default=(0, 0))
-        wide = wide.select("digest", F.lit(-other[1]).alias("target"), F.lit(0).cast("long").alias("most"), "total", F.lit(other[0]).cast("long").alias("free"))
-        goals = best.filter("free > 0").unionByName(wide)
-        mine = state.join(goals, "digest")
-        full = [s for s in range(shards) if load.get(s, 0) >= quota]
-        moves = mine.filter((F.col("shard") != F.col("target")) & (F.col("free") > 0) & ~F.col("shard").isin(full or [-1]))
+        # A group in several shards gathers in the one with room that holds most of it, or else in the emptiest. Members
+        # in full shards join it there too, unless they are most of such a shard.
+        placed = state.join(F.broadcast(room), state["shard"] == room["home"]).drop("home")
+        pick = F.struct("cnt", F.xxhash64("digest", "shard").alias("tie"), "shard", "free")
+        best = F.max(F.when(F.col("free") > 0, pick)).alias("best")
+        goals = placed.groupBy("digest").agg(best, F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("n_shards")).filter("n_shards > 1")
+        left, emptiest = max(((quota - load.get(s, 0), -s) for s in range(shards)), default=(0, 0))
+        goals = goals.select(
+            "digest", "total", F.coalesce("best.shard", F.lit(-emptiest)).alias("target"), F.coalesce("best.cnt", F.lit(0)).alias("most"),
+            F.coalesce("best.free", F.lit(left)).cast("long").alias("open"),
+        )
+        free_to_go = (F.col("free") > 0) | (F.col("cnt") <= quota / 2)
+        moves = placed.join(goals, "digest").filter((F.col("shard") != F.col("target")) & (F.col("open") > 0) & free_to_go)
+        moves = moves.drop("free").withColumnRenamed("open", "free")
         asked = moves.select("digest", "shard", "target", "cnt", "most", "total", "free")
         asked = staged(asked, "shard-moves")
         if asked.isEmpty():
