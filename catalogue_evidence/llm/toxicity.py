@@ -20,31 +20,35 @@ EXAMPLES = 12_288  # labelled documents that serve as examples: a third of them
 NEIGHBOURS = 15
 BLOCK = 64  # examples in a block of the index
 PRIOR = 1.5  # weight of the examples' toxic share among the votes
-PREFIX = 5  # letters of a word's beginning that count as a term beside the word
+PREFIXES = (4, 5, 6, 7)  # letters of a word's beginnings that count as terms beside the word
+LEVELS = (2, 3, 5)  # numbers of different words with one beginning that are terms of their own
 WORD = re.compile(r"\w+")
 #: A term of the index: in so many toxic examples and such a share of them at least, so many times as frequent there as in
 #: clean ones, and with such a chi-squared of one degree. Near copies count once.
 LEAST, SHARE, RATIO, CHI2 = 4, 0.005, 5.0, 20.0
 
 
-def terms(word: str) -> list[str]:
-    return [word, word[:PREFIX] + "*"] if len(word) > PREFIX else [word]
+def terms(words: Counter[str]) -> Counter[str]:
+    """Words and how often they come; their beginnings, as fore*, and how many different words have each; and beginnings
+    that at least so many words have, as fore*2: cosines see no amounts, and one such word may be harmless."""
+    fore = Counter(w[:n] + "*" for w in words for n in PREFIXES if len(w) > n)
+    return words + fore + Counter(f"{t}{k}" for t, c in fore.items() for k in LEVELS if c >= k)
+
+
+def words_of(text: str | None) -> Counter[str]:
+    return Counter(WORD.findall((text or "").lower()))
 
 
 def term_counts(text: str | None, words: dict[str, int], begins: set[str]) -> tuple[list[int], list[int]]:
-    """The terms of a vocabulary in a text, in order, and how often; begins: the vocabulary's beginnings of words."""
-    own: Counter[int] = Counter()
-    for w, c in Counter(WORD.findall((text or "").lower())).items():
-        if w in words or w[:PREFIX] in begins:
-            for t in terms(w):
-                if t in words:
-                    own[words[t]] += c
+    """The terms of a vocabulary in a text, in order, and how often; begins: what its beginnings of words begin with."""
+    some = Counter({w: c for w, c in words_of(text).items() if w in words or w[: PREFIXES[0]] in begins})
+    own = {words[t]: c for t, c in terms(some).items() if t in words}
     at = sorted(own)
     return at, [own[t] for t in at]
 
 
 def beginnings(words: dict[str, int]) -> set[str]:
-    return {t[:-1] for t in words if t[-1] == "*"}
+    return {t[: PREFIXES[0]] for t in words if "*" in t}
 
 
 class BlockMax:
@@ -133,9 +137,9 @@ def vocabulary(some: DataFrame) -> dict[str, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(WORD.findall(text.lower()))
+                words = words_of(text)
                 like = min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=0)  # most near copies share it
-                own = sorted({t for w in words for t in terms(w)})
+                own = sorted(terms(words))
                 cols = [pa.array(own, pa.string()), *[pa.array([x] * len(own), pa.int64()) for x in (toxic, like)]]
                 yield pa.RecordBatch.from_arrays(cols, names=["term", "toxic", "like"])
 
