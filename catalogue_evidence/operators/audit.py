@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogue_evidence.functions.text import identity_norm
 from catalogue_evidence.operators.assemble import KEY, is_true, text
 
+# Fixed value: the form of target paths.
 TARGET = r"^assets/product-images/catalogue-v28/[0-9a-f]{24}\.jpg$"
 PREVIEW = 100
 

@@ -21,6 +21,7 @@ ATTESTATIONS = {
     "officialProductImageOrBottle": "image is not confirmed as official product/bottle image",
     "noLogoPlaceholderLifestyle": "logo/placeholder/lifestyle exclusion not confirmed",
 }
+# What approved rows of the regional catalogues say.
 METHOD = "self-hosted-jpg-strict-exact-product-package-approved"
 NOTE = "V28 self-hosted exact product/package JPG approved."
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue_evidence.operators.assemble import KEY, latest_by_key, text
 
+# Decisions, statuses, reviewers that are machines, and columns of the sheets.
 PENDING, APPROVED = "PENDING", "APPROVED_EXACT_PRODUCT_PACKAGE"
 REJECTED, REVIEW = "REJECTED_WRONG_OR_UNCERTAIN", "REVIEW_REQUIRED"
 RETRY = "RETRY_REQUIRED_PREVIOUS_CANDIDATE_REJECTED"
