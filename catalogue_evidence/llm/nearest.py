@@ -23,7 +23,8 @@ PART = 2  # dimensions of a quantised part
 CELL = 4_096  # vectors of a list that one call looks through
 ASKERS = 512  # queries that one call answers
 TARGET = 0.975  # share of the sample's own nearest neighbours that lie in the lists probed
-CANDIDATES = 256  # kept of each call, and then of each query, for exact ranking
+CANDIDATES = 256  # of each query, ranked exactly
+SPARE = 6  # kept of each call beside the k that could all lie in one cell
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int = 7) -> np.ndarray:
@@ -161,6 +162,8 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     left = coded.join(shape, "list").select("list", "vec_id", "code", split("vec_id", "cells").alias("cell"), spread("blocks").alias("block"))
     right = probed.join(shape, "list").select("list", "query_id", "q", split("query_id", "blocks").alias("block"), spread("cells").alias("cell"))
 
+    kept = max(k + SPARE, -(-2 * CANDIDATES // probes))
+
     def answer(stored: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(stored) and len(queries):
@@ -170,7 +173,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
             for query, q, of in zip(queries["query_id"], queries["q"], queries["list"]):
                 d = index.near(np.asarray(q), of, codes)
                 d[ids == query] = np.inf
-                best = np.argsort(d, kind="stable")[:CANDIDATES]  # of equal distances the smaller vec_id
+                best = np.argsort(d, kind="stable")[:kept]  # of equal distances the smaller vec_id
                 best = best[np.isfinite(d[best])]
                 out.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "near": d[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
