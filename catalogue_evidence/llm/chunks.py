@@ -10,7 +10,7 @@ import pyarrow as pa
 class Recent:
     """Chunk -> encoding. Two generations of at most `most` chunks each: what is asked for again stays, the rest goes."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 400_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 250_000) -> None:
         self.encode, self.most = encode, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
