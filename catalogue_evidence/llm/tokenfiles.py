@@ -28,6 +28,7 @@ from catalogue_evidence.llm.common import shared_path
 MAGIC = b"IDS1"
 IDS_IN_FILE = 2_000_000
 END_ID = 2
+MARKS = ".,!?;:"  # each a piece of its own behind a word
 #: Lengths of the four ids of each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -60,10 +61,44 @@ class _Words:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        mark = self.tokenizer.model.end_of_word_suffix
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)  # ids that end a word
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = bool(mark) and token.endswith(mark)
         self.chunks = Recent(self.encode_chunks)
+        self.marks = dict(zip(MARKS, self.alone(list(MARKS)), strict=True))
+
+    def alone(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def together(self, words: list[str]) -> list[bytes]:
+        """Words of letters, encoded as one text: if it has no more word ends than words, they tell where ids part."""
+        out: list[bytes] = []
+        for k in range(0, len(words), 4096):
+            some = words[k : k + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int32)
+            last = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(last) != len(some):
+                out += self.alone(some)
+            else:
+                out += [ids[i:j].tobytes() for i, j in zip([0, *last], last)]
+        return out
+
+    def stem(self, chunk: str) -> str:
+        """The word of letters that a chunk is, but for a mark at its end; lower-cased as the tokenizer would, if ASCII."""
+        s = chunk if chunk.isalpha() else chunk[:-1] if chunk[-1] in MARKS and chunk[:-1].isalpha() else ""
+        return s.lower() if s.isascii() else s
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        young, old = self.chunks.young, self.chunks.old
+        stems = [self.stem(c) for c in chunks]
+        new = sorted({s for s in stems if s and s not in young and s not in old})
+        young.update(zip(new, self.together(new), strict=True))
+        rest = [c for c, s in zip(chunks, stems) if not s]
+        made = dict(zip(rest, self.alone(rest), strict=True))
+        ids = lambda s: young[s] if s in young else old[s]
+        return [made[c] if not s else ids(s) if len(c) == len(s) else ids(s) + self.marks[c[-1]] for c, s in zip(chunks, stems)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [[c for c in t.replace("\n", " ").split(" ") if c] for t in texts]
