@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: an inverted file of coarse centroids with product-quantised residuals.
 
-The index is fitted on a bounded sample and holds every vector. Asymmetric distance tables choose candidates in the
-probed lists; exact distances on the original vectors rank them.
+The index is fitted on a bounded sample and holds every vector. Asymmetric distance tables rule out what can't be among
+the k nearest of a cell of a probed list; exact distances on the original vectors rank all of the rest.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +20,8 @@ from catalogue_evidence.llm.common import staged
 SAMPLE = 16_384  # vectors that the centroids and codebooks are fitted on
 PART = 2  # dimensions of a quantised part
 CELL = 4_096  # vectors of a list that one call looks through
-ASKERS = 512  # queries that one call answers
+ASKERS = 4_096  # queries that one call answers; each block of them costs a copy of the list's vectors
 TARGET = 0.975  # share of the sample's own nearest neighbours that lie in the lists probed
-CANDIDATES = 256  # of each query, ranked exactly
-SPARE = 6  # kept of each call beside the k that could all lie in one cell
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int = 7) -> np.ndarray:
@@ -83,6 +80,11 @@ class Index:
             depth.append(place[near])
         return int(np.quantile(np.concatenate(depth), target, method="higher")) + 1
 
+    def errors(self, x: np.ndarray, of: int, codes: np.ndarray) -> np.ndarray:
+        """Distances of vectors of list `of` from what their codes stand for."""
+        coded = self.stacked[np.arange(len(self.books)), codes].reshape(len(x), -1)[:, : x.shape[1]]
+        return np.sqrt(((x - self.centres[of] - coded) ** 2).sum(1))
+
     def near(self, query: np.ndarray, of: int, codes: np.ndarray) -> np.ndarray:
         """Approximate squared distances to the codes of list `of`: sums over a table from the query's residual to all
         codewords of each part."""
@@ -121,8 +123,9 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     score is the Euclidean distance in double precision, ties go to the smaller vec_id, rank counts from 1. Rows that
     usable() leaves out neither ask nor answer. So many lists are probed as the sample itself needs; vec_id must be unique among the rest, of repeated rows one is taken.
     The index is fitted on at most `sample` vectors, those of the least hash of vec_id, and holds every vector. A list
-    is dealt out in cells of at most about CELL vectors and ASKERS queries, so that no hot list is one task's work. All
-    other rows are answers where there are fewer than k. Recall is measured in the tests.
+    is dealt out in cells of at most about CELL vectors and ASKERS queries, so that no hot list is one task's work. Each
+    cell gives its exact k nearest, so answers are the exact ones of the probed lists. All other rows are answers where
+    there are fewer than k. Recall is measured in the tests.
     """
     data = staged(usable(vectors).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     some = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
@@ -139,8 +142,8 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, codes = index.encode(_matrix(batch.column(1)))
-            cols = [batch.column(0), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "list", "code"])
+            cols = [batch.column(0), batch.column(1), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "v", "list", "code"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +154,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(near.ravel(), pa.int32())], names=["query_id", "q", "list"]
             )
 
-    coded = staged(data.mapInArrow(encode, "vec_id long, list int, code binary"), "codes")
+    coded = staged(data.mapInArrow(encode, "vec_id long, v array<double>, list int, code binary"), "codes")
     asking = data.filter(F.coalesce(asked, F.lit(False)))
     probed = staged(asking.select("vec_id", "v").mapInArrow(probe, "query_id long, q array<double>, list int"), "probes")
     cells = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
@@ -159,32 +162,31 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     shape = F.broadcast(cells.join(blocks, "list"))  # a row for each list at most
     split = lambda of, parts: F.pmod(F.xxhash64(of), F.col(parts)).cast("int")
     spread = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    left = coded.join(shape, "list").select("list", "vec_id", "code", split("vec_id", "cells").alias("cell"), spread("blocks").alias("block"))
+    left = coded.join(shape, "list").select("list", "vec_id", "v", "code", split("vec_id", "cells").alias("cell"), spread("blocks").alias("block"))
     right = probed.join(shape, "list").select("list", "query_id", "q", split("query_id", "blocks").alias("block"), spread("cells").alias("cell"))
 
-    kept = max(k + SPARE, -(-2 * CANDIDATES // probes))
-
-    def answer(stored: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def answer(stored: pa.Table, queries: pa.Table) -> pa.Table:
+        """The k nearest of a cell for each query: by the triangle inequality a true distance lies within the code's error
+        of the approximate one, so none whose lower bound is above the k-th upper bound can be among them."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(stored) and len(queries):
-            stored = stored.sort_values("vec_id")
+            stored, queries = stored.combine_chunks(), queries.combine_chunks()
             ids = stored["vec_id"].to_numpy()
-            codes = np.frombuffer(b"".join(stored["code"]), np.uint8).reshape(len(ids), -1)
-            for query, q, of in zip(queries["query_id"], queries["q"], queries["list"]):
-                d = index.near(np.asarray(q), of, codes)
-                d[ids == query] = np.inf
-                best = np.argsort(d, kind="stable")[:kept]  # of equal distances the smaller vec_id
-                best = best[np.isfinite(d[best])]
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "near": d[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
+            x = _matrix(stored["v"].combine_chunks())
+            codes = np.frombuffer(b"".join(stored["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            of = queries["list"][0].as_py()
+            error = index.errors(x, of, codes) + 1e-9 * (1 + np.abs(x).max())  # and what sums of doubles may be off by
+            for query, q in zip(queries["query_id"].to_pylist(), _matrix(queries["q"].combine_chunks())):
+                near = np.sqrt(index.near(q, of, codes))
+                near[ids == query] = np.inf
+                most = np.partition(near + error, k - 1)[k - 1] if len(near) > k else np.inf
+                some = np.flatnonzero((near - error <= most) & (ids != query))
+                score = np.sqrt(np.cumsum((x[some] - q) ** 2, 1)[:, -1])
+                best = np.lexsort((ids[some], score))[:k]
+                out.append((np.full(len(best), query), ids[some][best], score[best]))
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
 
     keys = ["list", "cell", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(answer, "query_id long, vec_id long, near double")
-    best = Window.partitionBy("query_id").orderBy("near", "vec_id")
-    found = found.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= CANDIDATES).select("query_id", "vec_id")
-    query = asking.select(F.col("vec_id").alias("asker"), F.col("v").alias("q"))
-    both = found.join(data, "vec_id").join(query, F.col("query_id") == F.col("asker"))
-    square = F.zip_with("v", "q", lambda a, b: (a - b) * (a - b))
-    scored = both.select("query_id", "vec_id", F.sqrt(F.aggregate(square, F.lit(0.0), lambda s, x: s + x)).alias("score"))
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

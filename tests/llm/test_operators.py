@@ -207,6 +207,19 @@ def test_nearest_neighbours(spark):
     assert nearest.search(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [100, 1000])
+def test_recall_in_groups_of_near_copies(spark, size):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    group = rng.permutation(6000)[:size]
+    x[group] = x[group[0]] + 0.001 * rng.normal(size=(size, 32))
+    df = spark.createDataFrame(list(zip(range(6000), x.tolist())), "vec_id long, embedding array<double>")
+    asked = group[:40].tolist()
+    got = nearest.search(df, F.col("vec_id").isin(asked)).toPandas().groupby("query_id")["vec_id"].agg(set)
+    assert sum(len(got[q] & set(nearest_by_force(np.arange(6000), x, q))) for q in asked) >= 0.9 * 10 * len(asked)
+
+
 def test_recall_on_given_vectors(spark):
     v = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
     x, ids = np.array([np.array(e, float) for e in v["embedding"]]), v["vec_id"].to_numpy()
