@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ WORD = re.compile(r"\w+")
 #: A term of the index: in so many toxic examples and such a share of them at least, so many times as frequent there as in
 #: clean ones, and with such a chi-squared of one degree. Near copies count once.
 LEAST, SHARE, RATIO, CHI2 = 4, 0.005, 5.0, 20.0
+MINIMA = 4  # least hashes of words that two texts must have in common to count as near copies
 
 
 def terms(words: Counter[str]) -> Counter[str]:
@@ -39,6 +41,12 @@ def words_of(text: str | None) -> Counter[str]:
     return Counter(WORD.findall((text or "").lower()))
 
 
+def likeness(words: Counter[str]) -> int:
+    """A key that most near copies share, and hardly any other texts: of the MINIMA least hashes of words together."""
+    least = nsmallest(MINIMA, map(xxhash.xxh64_intdigest, words))
+    return xxhash.xxh64_intdigest(repr(least)) >> 1
+
+
 def term_counts(text: str | None, words: dict[str, int], begins: set[str]) -> tuple[list[int], list[int]]:
     """The terms of a vocabulary in a text, in order, and how often; begins: what its beginnings of words begin with."""
     some = Counter({w: c for w, c in words_of(text).items() if w in words or w[: PREFIXES[0]] in begins})
@@ -138,7 +146,7 @@ def vocabulary(some: DataFrame) -> dict[str, int]:
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text)
-                like = min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=0)  # most near copies share it
+                like = likeness(words)
                 own = sorted(terms(words))
                 cols = [pa.array(own, pa.string()), *[pa.array([x] * len(own), pa.int64()) for x in (toxic, like)]]
                 yield pa.RecordBatch.from_arrays(cols, names=["term", "toxic", "like"])

@@ -284,6 +284,14 @@ def test_toxicity(spark, docs):
     assert toxicity.score(docs, odd).count() == len(ODD) and toxicity.score(docs.limit(0), odd).count() == 0
 
 
+def test_texts_that_share_one_word_arent_near_copies(spark):
+    least = min((f"w{i}" for i in range(100_000)), key=xxhash.xxh64_intdigest)
+    own = lambda k: f"{least} " + " ".join(f"x{k}y{j}" for j in range(20))
+    rows = [(1, own(k) + " vile") for k in range(40)] + [(0, own(100 + k)) for k in range(80)] + [(1, own(999) + " copied")] * 40
+    words = toxicity.vocabulary(spark.createDataFrame(rows, "toxic int, text string"))
+    assert "vile" in words and "copied" not in words
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     dense = rng.random((500, 40)) * (rng.random((500, 40)) < 0.15)
