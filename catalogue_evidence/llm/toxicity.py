@@ -24,9 +24,10 @@ PRIOR = 1.5  # weight of the examples' toxic share among the votes
 PREFIXES = (4, 5, 6, 7)  # letters of a word's beginnings that count as terms beside the word
 LEVELS = (2, 3, 5)  # numbers of different words with one beginning that are terms of their own
 WORD = re.compile(r"\w+")
-#: A term of the index: in so many toxic examples and such a share of them at least, so many times as frequent there as in
+#: A telling term: in so many toxic examples and such a share of them at least, so many times as frequent there as in
 #: clean ones, and with such a chi-squared of one degree. Near copies count once.
 LEAST, SHARE, RATIO, CHI2 = 4, 0.005, 5.0, 20.0
+LEAN = 4.0  # weight of such a term beside the other words of the examples, which weigh 1
 MINIMA = 4  # least hashes of words that two texts must have in common to count as near copies
 
 
@@ -59,69 +60,104 @@ def beginnings(words: dict[str, int]) -> set[str]:
     return {t[: PREFIXES[0]] for t in words if "*" in t}
 
 
+def ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... n[0] of them, then those from begin[1], and so on."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 class BlockMax:
-    """Examples as unit vectors in blocks, with postings by term and block and the largest weight of each."""
+    """Examples as unit vectors in blocks, with postings by term and block and the largest weight of each such cell."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], width: int, block: int = BLOCK) -> None:
-        self.block, self.n = block, len(vectors)
+        self.n = len(vectors)
         self.blocks = -(-self.n // block)
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, int)]).astype(np.int64)
         row = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
         order = np.lexsort((row, term))
-        self.row = row[order]
+        self.row = row[order].astype(np.int32)
         self.weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
-        cell = term[order] * self.blocks + self.row // block
-        self.begin = np.searchsorted(cell, np.arange(width * self.blocks + 1))
-        self.most = np.zeros((width, self.blocks))
-        np.maximum.at(self.most.reshape(-1), cell, self.weight)
+        cell, start = np.unique(term[order] * max(self.blocks, 1) + self.row // block, return_index=True)  # only those with postings
+        self.start = np.append(start, len(order)).astype(np.int32)
+        self.own = (cell % max(self.blocks, 1)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
+        self.begin = np.searchsorted(cell, np.arange(width + 1) * max(self.blocks, 1)).astype(np.int32)
 
     def search(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples of positive cosine, ties to the smaller row; exact.
 
         Blocks are scored from the largest bound down, until the k-th best cosine lies above the next bound.
         """
-        bound = weight @ self.most[term]
+        n = self.begin[term + 1] - self.begin[term]
+        cell, weight = ranges(self.begin[term], n), np.repeat(weight, n)
+        own = self.own[cell]
+        bound = np.bincount(own, weight * self.most[cell], self.blocks)
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
         todo = np.argsort(-bound, kind="stable")
-        for i in range(0, len(todo), 4):
-            some = todo[i : i + 4]
-            if bound[some[0]] <= 0 or len(scores) == k and scores[-1] > bound[some[0]] + 1e-9:
-                break
-            for b in some:
-                got = np.zeros(self.block)
-                for t, w in zip(term.tolist(), weight.tolist()):
-                    s, e = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-                    got[self.row[s:e] - b * self.block] += w * self.weight[s:e]
-                hit = np.flatnonzero(got > 0)
-                rows, scores = np.concatenate((rows, hit + b * self.block)), np.concatenate((scores, got[hit]))
+        i, step = 0, 8
+        while i < len(todo) and bound[todo[i]] > 0 and not (len(scores) == k and scores[-1] > bound[todo[i]] + 1e-9):
+            chosen = np.zeros(self.blocks, bool)
+            chosen[todo[i : i + step]] = True
+            at = np.flatnonzero(chosen[own])
+            start = self.start[cell[at]]
+            n = self.start[cell[at] + 1] - start
+            posting = ranges(start, n)
+            got = np.bincount(self.row[posting], np.repeat(weight[at], n) * self.weight[posting], self.n)
+            hit = np.flatnonzero(got > 0)
+            rows, scores = np.concatenate((rows, hit)), np.concatenate((scores, got[hit]))
             best = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[best], scores[best]
+            i, step = i + step, 2 * step
         return rows, scores
 
 
+@dataclass
+class Space:
+    """Numbers of terms: first the telling ones, then every other word of an example, by its hash."""
+
+    telling: dict[str, int]
+    begins: set[str]
+    words: np.ndarray  # sorted hashes
+
+    def __len__(self) -> int:
+        return len(self.telling) + len(self.words)
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms that a text has, and how often."""
+        at, own = term_counts(text, self.telling, self.begins)
+        hashes, n = plain_words(text, self.telling)
+        place = np.searchsorted(self.words, hashes)
+        known = np.flatnonzero(self.words[np.minimum(place, len(self.words) - 1)] == hashes) if len(self.words) else np.zeros(0, int)
+        return np.append(np.array(at, np.int64), place[known] + len(self.telling)), np.append(np.array(own, float), n[known])
+
+
+def plain_words(text: str | None, telling: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a text's words that aren't telling terms, in order, and how often they come."""
+    words = {xxhash.xxh64_intdigest(w) >> 1: c for w, c in words_of(text).items() if w not in telling}
+    at = sorted(words)
+    return np.array(at, np.int64), np.array([words[h] for h in at], float)
+
+
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    space: Space
+    weight: np.ndarray
     index: BlockMax
     toxic: np.ndarray
     doc_id: np.ndarray
     share: float
 
-    def vector(self, term: list[int], n: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        return unit(np.asarray(term, np.int64), np.asarray(n, float), self.idf)
-
-    def score(self, term: list[int], n: list[int]) -> tuple[float, list[int]]:
+    def score(self, text: str | None) -> tuple[float, list[int]]:
         """The weighted share of toxic ones among the nearest examples, and their doc_ids."""
+        term, n = self.space.counts(text)
         if not len(term):
             return self.share, []
-        rows, cosine = self.index.search(*self.vector(term, n), NEIGHBOURS)
+        rows, cosine = self.index.search(*unit(term, n, self.weight), NEIGHBOURS)
         votes = float((cosine * self.toxic[rows]).sum())
         return (votes + PRIOR * self.share) / (float(cosine.sum()) + PRIOR), self.doc_id[rows].tolist()
 
 
-def unit(term: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    w = (1 + np.log(n)) * idf[term]
+def unit(term: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    w = (1 + np.log(n)) * weight[term]
     return term, w / max(np.linalg.norm(w), 1e-12)
 
 
@@ -164,79 +200,93 @@ def vocabulary(some: DataFrame) -> dict[str, int]:
     return {t: k for k, t in enumerate(sorted(r["term"] for r in telling.select("term").collect()))}
 
 
-def features(docs: DataFrame, words: dict[str, int]) -> DataFrame:
-    """(doc_id, term, n): the terms of a vocabulary that each whole text has, and how often."""
+def frequencies(docs: DataFrame, space: Space) -> tuple[np.ndarray, int]:
+    """In how many of docs each term comes, and how many docs there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begins = beginnings(words)
+        found, total = np.zeros(len(space) + 1, np.int64), 0  # the last number stands for the documents
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                some = batch.slice(i, 256)
-                made = [term_counts(t, words, begins) for t in some.column(1).to_pylist()]
-                term, n = [t for t, _ in made], [c for _, c in made]
-                cols = [pa.array(x, pa.list_(pa.int32())) for x in (term, n)]
-                yield pa.RecordBatch.from_arrays([some.column(0), *cols], names=["doc_id", "term", "n"])
-
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, term array<int>, n array<int>")
-
-
-def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> tuple[Model, DataFrame]:
-    """The model, and features() of docs as a stored table. Document frequencies are those of all documents."""
+            total += len(batch)
+            for text in batch.column(0):
+                found[space.counts(text.as_py())[0]] += 1
+        found[-1] = total
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at])], names=["term", "n"])
+
+    made = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long")
+    made = made.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row for each term at most
+    out = np.zeros(len(space) + 1, np.int64)
+    out[made["term"].to_numpy()] = made["n"].to_numpy()
+    return out[:-1], int(out[-1])
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> Model:
+    """The model: every example with all of its words. Document frequencies are those of all documents."""
     some = staged(examples(docs, labels, most), "toxic-texts")
-    words = vocabulary(some)
-    made = staged(features(docs, words), "toxic-features")
-    total = made.count()
-    df = np.zeros(len(words))
-    for r in made.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # a row for each term at most
-        df[r["t"]] = r["count"]
-    idf = np.log((1 + total) / (1 + df)) + 1
-    toxic = {r["doc_id"]: r["toxic"] for r in some.select("doc_id", "toxic").distinct().collect()}
-    rows = features(some, words).collect()  # at most as many as there are examples
-    rows = sorted((r for r in rows if r["term"]), key=lambda r: (r["term"], r["n"], r["doc_id"]))  # like ones share blocks
-    index = BlockMax([unit(np.array(r["term"]), np.array(r["n"], float), idf) for r in rows], len(words))
-    share = sum(toxic.values()) / len(toxic) if toxic else 0.0
-    ids = np.array([r["doc_id"] for r in rows], np.int64)
-    return Model(words, idf, index, np.array([toxic[i] for i in ids.tolist()], float), ids, share), made
-
-
-def scored(made: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, evidence) of features()."""
+    telling = vocabulary(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [model.score(t, n) for t, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            cols = [pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "score", "evidence"])
-
-    return made.mapInArrow(run, "doc_id long, score double, evidence array<long>")
+            made = [(*term_counts(t, telling, begins), *plain_words(t, telling)) for t in batch.column(2).to_pylist()]
+            kinds = (pa.int32(), pa.float64(), pa.int64(), pa.float64())
+            cols = [pa.array(x, pa.list_(k)) for x, k in zip(zip(*made), kinds)] if made else [pa.array([], pa.list_(k)) for k in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc_id", "toxic", "term", "n", "word", "m"])
+
+    begins = beginnings(telling)
+    schema = "doc_id long, toxic int, term array<int>, n array<double>, word array<long>, m array<double>"
+    got = some.select("doc_id", "toxic", "text").mapInArrow(run, schema).toArrow()  # at most as many rows as there are examples
+    ids, toxic = got["doc_id"].to_numpy(), got["toxic"].to_numpy().astype(float)
+    term, n, word, m = ([np.asarray(x.values) for x in got[c]] for c in ("term", "n", "word", "m"))
+    space = Space(telling, begins, np.unique(np.concatenate([*word, np.zeros(0, np.int64)]).astype(np.int64)))
+    found, total = frequencies(docs, space)
+    weight = np.log((1 + total) / (1 + found)) + 1
+    weight[: len(telling)] *= LEAN
+    vectors = [(np.append(t, np.searchsorted(space.words, w) + len(telling)).astype(np.int64), np.append(a, b)) for t, a, w, b in zip(term, n, word, m)]
+
+    def like(r: int) -> tuple:  # like ones share blocks: by telling terms, then by the most frequent words
+        t = vectors[r][0][len(term[r]) :]
+        return term[r].tolist(), t[np.lexsort((t, -found[t]))[:8]].tolist(), int(ids[r])
+
+    rows = np.array(sorted((r for r in range(len(vectors)) if len(vectors[r][0])), key=like), np.int64)
+    index = BlockMax([unit(*vectors[r], weight) for r in rows], len(space))
+    known = dict(zip(ids.tolist(), toxic.tolist()))
+    share = sum(known.values()) / len(known) if known else 0.0
+    return Model(space, weight, index, toxic[rows], ids[rows], share)
 
 
 def score(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence), one row for each row of docs.
 
     score is the share of toxic ones among the nearest labelled examples, weighted by cosine, with the examples' toxic
-    share as a prior: it alone is the score of texts without a term of the index, null and empty ones included, and is
-    0 where there are no labels of both kinds. evidence: doc_ids of the examples that voted, nearest first. Labels of
-    rows held out (crc32 of doc_id as text divisible by 5) are never seen. Terms are words and beginnings of words.
+    share as a prior: it alone is the score of texts that share no word with any example, null and empty ones included,
+    and is 0 where there are no examples. evidence: doc_ids of the examples that voted, nearest first. Labels of rows
+    held out (crc32 of doc_id as text divisible by 5) are never seen. Terms are all words of the examples, and telling
+    beginnings of words.
     """
-    model, made = fit(docs, labels, most)
-    return scored(made, model).select(
+    model = fit(docs, labels, most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [model.score(t.as_py()) for t in batch.column(1)]
+            cols = [pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "score", "evidence"])
+
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return plain.mapInArrow(run, "doc_id long, score double, evidence array<long>").select(
         "doc_id", held_out(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence"
     )
 
 
 def reject(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
     """docs without the rows that score() predicts toxic; other rows and all columns stay."""
-    model, _ = fit(docs, labels, most)
-    words, begins = model.vocabulary, beginnings(model.vocabulary)
+    model = fit(docs, labels, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             for i in range(0, len(batch), 256):
                 some = batch.slice(i, 256)
-                scores = [model.score(*term_counts(t, words, begins))[0] for t in some.column(at).to_pylist()]
+                scores = [model.score(t)[0] for t in some.column(at).to_pylist()]
                 yield some.filter(pa.array([x < 0.5 for x in scores]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -292,6 +292,21 @@ def test_texts_that_share_one_word_arent_near_copies(spark):
     assert "vile" in words and "copied" not in words
 
 
+def test_every_example_is_met_by_its_own_words(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, " ".join(f"u{i}v{j}" for j in range(9))) for i in ids]  # no word tells toxic from clean
+    bad = ids[:20]
+    held = [i for i in range(1000, 1200) if not zlib.crc32(str(i).encode()) % 5][:40]
+    copies = {h: i for h, i in zip(held, [*bad, *ids[100:120]])}
+    text = dict(rows)
+    docs = spark.createDataFrame(rows + [(h, text[i]) for h, i in copies.items()], "doc_id long, text string")
+    got = toxicity.score(docs, spark.createDataFrame([(i, int(i in bad)) for i in ids], "doc_id long, toxic int")).collect()
+    got = {r["doc_id"]: r for r in got}
+    assert all(got[h]["evidence"] == [i] for h, i in copies.items())
+    share = 20 / len(ids)
+    assert all((got[h]["score"] > share) == (i in bad) and got[h]["score"] != share for h, i in copies.items())
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     dense = rng.random((500, 40)) * (rng.random((500, 40)) < 0.15)
