@@ -43,6 +43,12 @@ SELECT t.doc, list(v.bytes ORDER BY t.pos) AS parts
 FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
 """
 WORDS = 20_000  # in one query
+ODD = 100_000  # awkward chunks known before those that the cache has lost are dropped
+
+
+def awkward(chunk: str) -> bool:
+    """Whether a chunk has white space where the pattern may not cut a text as blanks do."""
+    return chunk[-1:].isspace() or chunk[:1] == " " and chunk[1:2].isspace()
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,6 +72,7 @@ class Codec:
         self._table("merges", dict(zip(("lhs", "rhs", "merged"), (pa.array(c, pa.int32()) for c in zip(*merges)), strict=True)))
         self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})
         self.chunks = Recent(self.encode_chunks)
+        self.odd: set[str] = set()  # awkward chunks beside the cache: a later text with one is cut into pieces as well
 
     def _table(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register("given", pa.table(columns))
@@ -109,11 +116,13 @@ class Codec:
         """Ids of each text, cut before its blanks; a text with more white space beside a blank is cut into pieces."""
 
         def mend(new: set[str], docs: list[list[str]]) -> bool:
-            odd = {c for c in new if c and (c[-1].isspace() or c[0] == " " and c[1].isspace())}
-            for k, chunks in enumerate(docs):
-                if odd and not odd.isdisjoint(chunks):
-                    docs[k] = self.pieces.findall(texts[k])
-            return bool(odd)
+            self.odd.update(filter(awkward, new))
+            if len(self.odd) > ODD:  # what the cache still holds of them, and what is new
+                self.odd = set(filter(awkward, (*self.chunks.young, *self.chunks.old, *new)))
+            again = [k for k, chunks in enumerate(docs) if not self.odd.isdisjoint(chunks)] if self.odd else []
+            for k in again:
+                docs[k] = self.pieces.findall(texts[k])
+            return bool(again)
 
         cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else self.pieces.findall(t) for t in texts]
         return [np.frombuffer(b, np.int32) for b in self.chunks.of(cut, mend)]

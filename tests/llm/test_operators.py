@@ -103,6 +103,14 @@ def test_byte_bpe(spark, sf_dir, docs, given):
     assert bpe.round_trip(df.limit(0), queries.BYTE_RANKS, queries.PATTERN).count() == 0
 
 
+def test_awkward_white_space_that_is_cached_already():
+    ranks = bpe.read_ranks(queries.BYTE_RANKS)
+    plain = tiktoken.Encoding("plain", pat_str=queries.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = bpe.Codec(queries.BYTE_RANKS, queries.PATTERN)
+    for text in ("one \u00a0 two", "one \u00a0 \u00a0 two", "one \u00a0 two", "a  b", "a  \u00a0  b", "a \u00a0"):
+        assert own.encode([text])[0].tolist() == plain.encode_ordinary(text)
+
+
 def simple_secrets(text):
     text = text or ""
     assign = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
