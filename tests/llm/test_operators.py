@@ -1,11 +1,13 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and on nulls, ties and no rows."""
 
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -160,7 +162,6 @@ def test_a_benchmark_too_large_to_broadcast_joins_by_shuffle(spark, sf_dir, monk
 
 def test_token_files(spark, sf_dir, docs, given):
     tokenizer = Tokenizer.from_file(queries.WORD_TOKENIZER)
-    tokenizer.encode_special_tokens = True
 
     def want(pairs):
         out, start = [], 0
@@ -178,12 +179,25 @@ def test_token_files(spark, sf_dir, docs, given):
     assert tokenfiles.through_files(docs.limit(0), queries.WORD_TOKENIZER).count() == 0
 
 
+def test_word_ids_are_those_of_the_untouched_tokenizer():
+    rng = random.Random(3)
+    marks = ["<|endoftext|>", "<|startoftext|>", "'s", "'RE", "don't ", "  ", "the ", "\u0130!", "###", " x,y. ", "1,000"]
+    signs = [*"abcXYZ 019 \n\t'.,!?-#&|<>~\x00\x1c\x85", *"\xe9\xc9\xdf\xf6\u0160\u017d\u0130\u0131\u0149\u01c5\u03a3\u03c3\u03c2\u0416\u0451\u4e2d\u65e5\ud55c\u0301\u0307\u0327\u2003\xa0\xaa\xb5\xb2\xbd\u1ebe\u20ac\U0001f600\u023a\u2126\u1e9e", *marks]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(12_000)]
+    texts += ["".join(rng.choices(tokenfiles.LETTERS + " .,0", k=rng.randint(1, 25))) for _ in range(8_000)]
+    tokenizer = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    got = [x.tolist() for x in tokenfiles.words_of(queries.WORD_TOKENIZER).encode(pa.array(texts)).arrays()]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    other = tokenfiles.words_of(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.usual
+
+
 def test_packed_ranks_of_every_length():
     ranks = np.array([0, 255, 256, 65_535, 65_536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.uint32)
-    control, data = tokenfiles.pack(ranks)
-    assert len(control) == 3 and len(data) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4 + 1
-    present = np.arange(12) < 9
-    assert (tokenfiles.unpack(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), present) == ranks).all()
+    for n, control_bytes in (([9], 3), ([2, 0, 7], 3), ([1, 1, 1, 6], 5), ([0, 9, 0], 3)):
+        control, data = tokenfiles.packed(ranks, np.array(n))
+        assert len(control) == control_bytes and len(data) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4 + 1
+        assert (tokenfiles.unpacked(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.array(n)) == ranks).all()
 
 
 def nearest_by_force(ids, x, query, k=10):
