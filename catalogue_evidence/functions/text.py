@@ -49,27 +49,40 @@ def norm_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, "[^a-z0-9.]+", " "))
 
 
-def significant_tokens(c: Column) -> Column:
-    """Runs of letters and digits of the normal form, longer than one and no stopwords, in order and with repeats."""
-    words = F.regexp_extract_all(norm_text(c), F.lit("([a-z0-9]+)"), F.lit(1))
+def tokens_of(norm: Column) -> Column:
+    """Runs of letters and digits of a normal form, longer than one and no stopwords, in order and with repeats."""
+    words = F.regexp_extract_all(norm, F.lit("([a-z0-9]+)"), F.lit(1))
     return F.filter(words, lambda t: (F.length(t) > 1) & ~t.isin(STOPWORDS))
 
 
+def significant_tokens(c: Column) -> Column:
+    """The tokens of a text. Where its sizes are asked for too, work its normal form out once and use tokens_of()."""
+    return tokens_of(norm_text(c))
+
+
 def token_coverage(needle: Column, hay: Column) -> Column:
     """Share of the tokens needle that are among the tokens hay; 1 without any. Both are token columns."""
     found = F.size(F.filter(needle, lambda t: F.array_contains(hay, t)))
     return F.when(F.size(needle) == 0, F.lit(1.0)).otherwise(found / F.greatest(F.size(needle), F.lit(1)))
 
 
-def size_signatures(c: Column) -> Column:
-    """Package sizes in a text, without white space, each once, with equivalent volumes; in no set order."""
-    n = norm_text(c)
-    found = [F.regexp_extract_all(n, F.lit(f"({p})"), F.lit(1)) for p in SIZE_PATTERNS]
-    sizes = F.transform(F.concat(*found), lambda s: F.regexp_replace(s, r"\s+", ""))
+def sizes_in(norm: Column) -> Column:
+    """Package sizes in a normal form, without white space, with repeats; norm must be a column by itself."""
+    found = [F.regexp_extract_all(norm, F.lit(f"({p})"), F.lit(1)) for p in SIZE_PATTERNS]
+    return F.transform(F.concat(*found), lambda s: F.replace(s, F.lit(" "), F.lit("")))
+
+
+def signatures_of(sizes: Column) -> Column:
+    """Sizes, each once, with equivalent volumes; in no set order. sizes must be a column by itself."""
     same = F.transform(sizes, lambda s: F.create_map(*[F.lit(x) for kv in EQUIVALENT_SIZES.items() for x in kv])[s])
     return F.array_distinct(F.concat(sizes, F.filter(same, lambda s: s.isNotNull())))
 
 
+def size_signatures(c: Column) -> Column:
+    """Package sizes in a text, as in signatures_of(), all in one expression, which works its parts out repeatedly."""
+    return signatures_of(sizes_in(norm_text(c)))
+
+
 def exact_size_match(expected: Column, evidence: Column) -> Column:
     """Whether two signature columns share a size; true where none is expected."""
     return (F.size(expected) == 0) | F.coalesce(F.arrays_overlap(expected, evidence), F.lit(False))

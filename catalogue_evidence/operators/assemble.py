@@ -99,11 +99,13 @@ def assemble_candidates(*sources: DataFrame) -> DataFrame:
     return first.select(KEY, place.alias("disc_ord"), *[F.col("url") if c == "url" else F.col(f"first.{c}") for c in CANDIDATE])
 
 
-def flag_rejected(candidates: DataFrame, rejected: DataFrame, url: str = "url", flag: str = "was_rejected") -> DataFrame:
-    """candidates with a flag: whether (immutableKey, url) is among the rejected ones."""
-    r = rejected.select(F.col(KEY).alias("_k"), F.col("resolvedImageUrl").alias("_u")).distinct()
-    out = candidates.join(r, (candidates[KEY] == r["_k"]) & (candidates[url] == r["_u"]), "left")
-    return out.withColumn(flag, F.col("_k").isNotNull()).drop("_k", "_u")
+def flag_rejected(candidates: DataFrame, rejected: DataFrame, **flags: str) -> DataFrame:
+    """candidates with flags, flag=column: whether the row's (immutableKey, that column) is among the rejected ones.
+
+    One join serves all flags. A row has few rejected URLs, at most those of its candidates; blank keys have none."""
+    known = rejected.filter(text(KEY) != "").groupBy(F.col(KEY).alias("_k")).agg(F.collect_set("resolvedImageUrl").alias("_bad"))
+    out = candidates.join(known, candidates[KEY] == known["_k"], "left")
+    return out.select(*candidates.columns, *[F.coalesce(F.array_contains("_bad", F.col(c)), F.lit(False)).alias(n) for n, c in flags.items()])
 
 
 def latest_by_key(df: DataFrame, order: str, key: str = KEY) -> DataFrame:

@@ -55,6 +55,18 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cols.withColumn("disc_ord", F.row_number().over(order).cast("long")).drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 
 
+def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overriding URL for one row in 17, half of them confirmed."""
+    c = catalogue(spark, sf_dir)
+    n = F.col("batchIndex").cast("long") - 1
+    return c.filter(n % 17 == 3).select(
+        "immutableKey", F.concat(F.lit("https://cdn.example.com/o"), n.cast("string"), F.lit(".jpg")).alias("approvedDirectImageUrl"),
+        F.when(n % 3 == 0, F.lit("https://brand.example.com/p")).otherwise("").alias("approvedSourcePageUrl"),
+        F.when(n % 2 == 0, "True").otherwise("false").alias("exactVariantConfirmed"), F.lit("ann").alias("reviewer"),
+        F.when(n % 5 == 0, F.lit("")).otherwise(F.concat_ws(" ", "brand", "productName", "size")).alias("evidenceNote"),
+    )
+
+
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An acquisition result for each part; digests repeat across parts."""
     c = catalogue(spark, sf_dir)

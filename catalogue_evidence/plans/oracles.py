@@ -93,16 +93,49 @@ cand as (select *, row_number() over (partition by "immutableKey" order by l_ord
   case when l_linenumber % 7 = 0 then p_name else '' end spn, case when l_linenumber % 7 < 2 then p_brand else '' end sbr,
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate from lineitem join part on l_partkey = p_partkey))"""
 _dec = unquote("url")
-SCORED = f"""
+def scored(source: str) -> str:
+    return f"""
 seen as (select *, {tokens(f"concat_ws(' ', spn, sbr, alt, page_title, {_dec})")} ident, {sizes(f"concat_ws(' ', spn, sbr, alt, {_dec})")} imgs,
-  {tokens(f"concat_ws(' ', {_dec}, alt)")} uat, {sizes(f"concat_ws(' ', {_dec}, alt)")} uas, {domain('page_url')} pdom, {bad('url')} isbad from cand),
+  {tokens(f"concat_ws(' ', {_dec}, alt)")} uat, {sizes(f"concat_ws(' ', {_dec}, alt)")} uas, {tokens(_dec)} urlt,
+  {tokens("concat_ws(' ', url, alt, spn)")} lvt, {tokens("concat_ws(' ', sbr, url, alt, spn)")} lvb, {sizes("concat_ws(' ', url, alt, spn)")} lvs, {domain('page_url')} pdom, {bad('url')} isbad from {source}),
 want as (select "immutableKey" k, domains, {tokens('brand')} bt, {tokens('"productName"')} pt, {sizes('size')} ss from catd),
 fig as (select s.*, {cover('bt', 'ident')} brand_cov, {cover('pt', 'ident')} product_cov, {fits('ss', 'imgs')} size_ok, {cover('pt', 'uat')} near, {fits('ss', 'uas')} near_size,
-  len(list_filter(domains, lambda d: ends_with(pdom, d))) > 0 loose from seen s join want on k = "immutableKey"),
+  len(list_filter(domains, lambda d: ends_with(pdom, d))) > 0 loose,
+  {cover('pt', 'urlt')} url_product_cov, {cover('bt', 'urlt')} url_brand_cov, {cover('pt', 'lvt')} level_product_cov, {cover('bt', 'lvb')} level_brand_cov, {fits('ss', 'lvs')} level_size_ok from seen s join want on k = "immutableKey"),
 exa as (select *, brand_cov >= 0.5 and product_cov >= 0.82 and size_ok exact from fig),
 scored as (select *, (case origin {' '.join(f"when {q(k)} then {v}" for k, v in scoring.ORIGINS.items())} else {scoring.OTHER} end
   + (brand_cov * 20 + product_cov * 45) + case when size_ok then 25 else -25 end + case when exact then 15 else -10 end + near * 18
   + case when near_size then 12 else 0 end + case when loose then 14 else 0 end - case when isbad then 100 else 0 end)::double score from exa)"""
+
+
+SCORED = scored("cand")
+#: Overrides before the candidates, ranks of all, and what speaks against each of them.
+_o = "concat('https://cdn.example.com/o', n, '.jpg')"
+JUDGED = f"""
+ovr as (select "immutableKey", n, {_o} url, coalesce(nullif(case when n % 3 = 0 then 'https://brand.example.com/p' else '' end, ''), "sourcePage") page_url,
+  case when n % 5 = 0 then '' else concat_ws(' ', brand, "productName", size) end alt, n % 2 = 0 confirmed from cat where n % 17 = 3),
+uni as (select "immutableKey", 0 s, 0::bigint o, url, page_url, 'manual-override' origin, alt, '' page_title, '' spn, '' sbr from ovr
+  union all select "immutableKey", 1, disc_ord, url, page_url, origin, alt, page_title, spn, sbr from cand),
+firsts as (select * from uni where not {bad('url')} qualify row_number() over (partition by "immutableKey", url order by s, o) = 1),
+every as (select *, row_number() over (partition by "immutableKey" order by s, o, url) disc_ord from firsts),{scored('every')},
+ranked as (select * from (select *, row_number() over (partition by "immutableKey" order by score desc, disc_ord) rk from scored) where rk <= 60),
+refused as (select "immutableKey" k, url u from ranked where rk = 1 and disc_ord % 2 = 0 union select "immutableKey", url || '?r' from ranked where rk < 4 and disc_ord % 3 = 0),
+tried as (select *, instr('0123456789abcdef', left(md5(url), 1)) h from ranked),
+got as (select *, h <> 1 fetched, case h when 1 then null when 2 then url || '?r' when 3 then regexp_replace(url, '\\.jpg$', '') else url end final_url,
+  h = 3 html, h = 4 blank from tried),
+facts as (select g.*, coalesce(o.confirmed, false) sure, c.shared, regexp_matches(g.page_url, '[?&]attribute_') or regexp_matches(c."sourcePage", '[?&]attribute_') variable,
+  (g."immutableKey", g.url) in (select (k, u) from refused) bad1, fetched and (g."immutableKey", coalesce(final_url, '')) in (select (k, u) from refused) bad2
+  from got g join cat c using ("immutableKey") left join ovr o using ("immutableKey")),
+judged as (select *, case when bad1 then 'previously rejected candidate skipped: ' || left(url, 120)
+  when origin in ('og-image', 'twitter-image') and url_product_cov < 0.25 and url_brand_cov < 0.4 then 'og-image with no product/brand identity skipped: ' || left(url, 100)
+  when brand_cov < 0.3 and product_cov < 0.5 then 'critically weak identity match skipped: brand_cov=' || printf('%.2f', brand_cov) || ' prod_cov=' || printf('%.2f', product_cov)
+  when not fetched then origin || ': not fetched' when bad2 then 'previously rejected redirected candidate skipped: ' || left(final_url, 120)
+  when html and not {direct('final_url')} then 'not image: ' || left(url, 120) when blank then origin || ': blank or near-blank image'
+  when variable and not level_size_ok and not sure then 'variable product page without size evidence skipped: ' || left(url, 100) end skip,
+  (exact and score >= 105 and origin in ('jsonld-product-image', 'shopify-product-json', 'woocommerce-gallery', 'woocommerce-gallery-srcset', 'manual-override') or sure)
+  and (not (shared or variable) or level_size_ok and level_product_cov >= 0.8 and level_brand_cov >= 0.6 or sure) high from facts),
+best as (select * from judged where skip is null qualify row_number() over (partition by "immutableKey" order by rk) = 1),
+why as (select "immutableKey", array_to_string(list(skip order by rk)[1:6], '; ') why from judged where skip is not null group by 1)"""
 RESULTS = f"""
 res as (select "batchIndex", n, region, "immutableKey", brand, "productName", size, "targetJpgPath", st status, case when s then "currentImageReference" else '' end "resolvedImageUrl",
   case when s then "sourcePage" else '' end "evidencePage", case when s then sha256('b' || (n % 1500)) else '' end sha256,
@@ -202,6 +235,12 @@ def oracle_sql() -> dict[str, str]:
           one as (select {key}, url, arg_min(origin, (s, o)) origin, min((s, o)) place from uni where not {bad('url')} group by 1, 2)""", f"select {key}, (row_number() over (partition by {key} order by place, url))::int disc_ord, url, origin from one"),
         "f1_f2_f10_best_evidence": sql(CATALOGUE, DOMAINS, CANDIDATES, SCORED, f"select {key}, url, origin, round(brand_cov, 6) brand_cov, round(product_cov, 6) product_cov, size_ok, exact, round(score, 6) score from (select *, row_number() over (partition by {key} order by score desc, disc_ord) rk from scored) where rk = 1"),
         "f3_top_ranked": sql(CATALOGUE, DOMAINS, CANDIDATES, SCORED, f"select {key}, rk::int \"rank\", disc_ord, round(score, 6) score from (select *, row_number() over (partition by {key} order by score desc, disc_ord) rk from scored) where rk <= 5"),
+        "f4_f11_selected": sql(CATALOGUE, DOMAINS, CANDIDATES, JUDGED, f"""select {key}, case when b.url is null then 'UNRESOLVED' when high then {q('STAGED_HIGH_CONFIDENCE_NEEDS_VISUAL_REVIEW')} else {q('STAGED_NEEDS_MANUAL_REVIEW')} end status,
+          final_url "resolvedImageUrl", page_url "evidencePage", origin, case when b.url is not null then sha256(b.url) end sha256, round(brand_cov, 3) "pageBrandCoverage", round(product_cov, 3) "pageProductCoverage", coalesce(size_ok, false) "exactSizeEvidence",
+          round(score, 2) "imageCandidateScore", coalesce(high, false) "autoApprovalEligible",
+          case when b.url is not null then 'Candidate bytes decoded and staged; exact brand, product name, and package must still be visually approved.' else coalesce(why, 'no exact image candidate found') end reason,
+          case when b.url is not null then concat('staging/', case when length("batchIndex") < 5 then lpad("batchIndex", 5, '0') else "batchIndex" end, '_', "assetId", '.jpg') end "stagingPath"
+          from cat c left join best b using ({key}) left join why using ({key})"""),
         "h1_byte_conflicts": sql(CATALOGUE, RESULTS, CONFLICTS, f"select 'sha256' \"conflictType\", sha256 digest, {key} from res where sha256 in (select d from bad_sha)"),
         "h1_text_conflicts": f"select sha256(text) digest, count(*)::bigint n_rows, count(distinct ({norm('lang')}, {norm('source')})) n_identities from documents where text is not null group by 1 having count(distinct ({norm('lang')}, {norm('source')})) > 1",
         "h3_conflict_report": sql(CATALOGUE, RESULTS, CONFLICTS, f"""select 'sha256' "conflictType", sha256 digest, {key}, status from res where sha256 in (select d from bad_sha)

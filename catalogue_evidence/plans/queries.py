@@ -11,6 +11,7 @@ from catalogue_evidence.functions import text, urls
 from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring
 from catalogue_evidence.operators.assemble import KEY
 from catalogue_evidence.plans import adapters as a
+from catalogue_evidence.sources import shared
 
 NOW, MODEL = "2020-01-01T00:00:00Z", "model"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,23 +123,30 @@ def top_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.rank_candidates(scored(spark, sf_dir), 5).select(KEY, "rank", "disc_ord", F.round("score", 6).alias("score"))
 
 
-def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = a.candidates(spark, sf_dir).select("url").distinct()
-    n = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(20))
-    return u.filter(n != 0).select(
-        "url", F.when(n == 1, F.concat("url", F.lit("?r"))).otherwise(F.col("url")).alias("final_url"), F.when(n == 2, "text/html").otherwise("image/jpeg").alias("content_type"),
-        F.when(n == 3, "blank or near-blank image").otherwise("").alias("error"), F.lit("600").alias("width"), F.lit("500").alias("height"), F.lit("9000").alias("bytes"),
+def fetched(urls_: DataFrame) -> DataFrame:
+    """A fetch of most URLs: some redirected, some no image, some undecodable, some never made."""
+    n = F.expr("instr('0123456789abcdef', left(md5(url), 1))")
+    final = F.when(n == 2, F.concat("url", F.lit("?r"))).when(n == 3, F.regexp_replace("url", r"\.jpg$", "")).otherwise(F.col("url"))
+    return urls_.select("url").distinct().filter(n != 1).select(
+        "url", final.alias("final_url"), F.when(n == 3, "text/html").otherwise("image/jpeg").alias("content_type"),
+        F.when(n == 4, "blank or near-blank image").otherwise("").alias("error"), F.lit("600").alias("width"), F.lit("500").alias("height"), F.lit("9000").alias("bytes"),
         F.sha2(F.col("url").cast("binary"), 256).alias("sha256"), F.md5(F.col("url").cast("binary")).alias("perceptualHash"),
     )
 
 
 def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results with overrides, confirmed or not, redirects, rejected URLs and rows that stay unresolved."""
     c = a.catalogue(spark, sf_dir)
-    ranked = scoring.rank_candidates(scored(spark, sf_dir))
+    o = a.overrides(spark, sf_dir)
+    every = assemble.assemble_candidates(assemble.override_candidates(c, o), a.candidates(spark, sf_dir))
+    rows = assemble.official_domains(c, a.domain_map(spark, sf_dir))
+    # Ranks serve twice, so they are stored.
+    ranked = shared.staged(scoring.rank_candidates(scoring.candidate_score(every, rows)), "ranked")
     refused = ranked.filter("rank = 1 and disc_ord % 2 = 0").select(KEY, F.col("url").alias("resolvedImageUrl"))
-    none = spark.createDataFrame([], f"{KEY} string, exactVariantConfirmed string")
-    judged = scoring.judge(ranked, c, fetched(spark, sf_dir), refused, none)
-    return scoring.select_best(judged, c).select(KEY, "status", "resolvedImageUrl", "origin", "imageCandidateScore", "autoApprovalEligible", "reason", "stagingPath")
+    refused = refused.unionByName(ranked.filter("rank < 4 and disc_ord % 3 = 0").select(KEY, F.concat("url", F.lit("?r")).alias("resolvedImageUrl")))
+    judged = scoring.judge(ranked, c, fetched(ranked), refused, o)
+    out = scoring.select_best(judged, c)
+    return out.select(KEY, "status", "resolvedImageUrl", "evidencePage", "origin", "sha256", "pageBrandCoverage", "pageProductCoverage", "exactSizeEvidence", "imageCandidateScore", "autoApprovalEligible", "reason", "stagingPath")
 
 
 def byte_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:

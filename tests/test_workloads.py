@@ -91,6 +91,9 @@ def test_regions_slices_and_files(spark, tmp_path):
     tables.write_regional(df, f"file://{tmp_path}/r")
     assert spark.read.parquet(f"file://{tmp_path}/r").groupBy("region").count().count() == 2
     assert sorted(int(r["batchIndex"]) for r in tables.slice_rows(df, "batchIndex", 5, 3).collect()) == [15, 16, 17]
+    gaps = df.filter("batchIndex % 3 = 0")  # 12, 15, 18, ...
+    assert sorted(int(r["batchIndex"]) for r in tables.slice_rows(gaps, "batchIndex", 1, 3).collect()) == [15, 18, 21]
+    assert tables.slice_rows(gaps, "batchIndex", 100, 3).count() == 0 and tables.slice_rows(df.limit(0), "batchIndex", 0, 3).count() == 0
     (tmp_path / "s/staging").mkdir(parents=True)
     (tmp_path / "s/staging/a.jpg").write_bytes(b"abc")
     assert [tuple(r) for r in tables.list_files(spark, f"file://{tmp_path}/s").collect()] == [("staging/a.jpg", 3)]
