@@ -1,84 +1,17 @@
-"""Small things that every corpus job needs: inputs, shared storage, ranks and components."""
+"""Small things that every corpus job needs: inputs and components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue_evidence.sources.shared import ranked, shared_dir, shared_path, staged
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); where unset, as in tests, an own one is set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends here and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+__all__ = ["components", "ranked", "shared_dir", "shared_path", "staged", "table"]
 
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return df[name].cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
-
-def ranked(df: DataFrame, group: list[str], order: list[str], partitions: int, rank: str, name: str) -> DataFrame:
-    """Rank from 0 within each group by order, as a staged table, with no task that holds a whole group.
-
-    Rows are range-partitioned by (group, order), so a large group spreads over many tasks. Spark's row ids give the
-    place within a partition; how many rows of the group earlier partitions hold comes from a table with one row for
-    each (partition, group on one of its edges): groups inside one partition need no offset. Rows that tie in order are
-    ranked in either order among themselves.
-    """
-    spark = df.sparkSession
-    cols = [F.col(c) for c in (*group, *order)]
-    placed = staged(
-        df.repartitionByRange(partitions, *cols).sortWithinPartitions(*cols).withColumn("_at", F.monotonically_increasing_id()),
-        name,
-    )
-    part = F.shiftright("_at", 33)
-    runs = placed.groupBy(part.alias("_part"), *group).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    placed = placed.withColumn("_part", part)
-    # A group lies in consecutive partitions. Only a partition's first and last run can go on in another partition.
-    runs = staged(runs, name + "-runs")
-    edge = runs.groupBy("_part").agg(F.min("_first").alias("_lo"), F.max("_first").alias("_hi"))
-    edges = runs.join(F.broadcast(edge), "_part").filter("_first = _lo or _first = _hi")
-    from pyspark.sql import Window
-
-    before = F.coalesce(
-        F.sum("_n").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    edges = edges.withColumn("_before", before).filter("_before > 0").select("_part", *group, "_before")
-    firsts = runs.drop("_n")
-    keys = ["_part", *group]
-    same = [placed[k].eqNullSafe(firsts[k]) for k in keys]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    out = placed.join(firsts, cond, "inner").select(*[placed[c] for c in placed.columns], firsts["_first"])
-    same = out["_part"] == edges["_part"]
-    for k in group:
-        same = same & out[k].eqNullSafe(edges[k])
-    out = out.join(edges, same, "left").select(
-        *[out[c] for c in df.columns], (out["_at"] - out["_first"] + F.coalesce(edges["_before"], F.lit(0))).alias(rank)
-    )
-    return out
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

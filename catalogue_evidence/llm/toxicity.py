@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from heapq import nsmallest
 
 import numpy as np
@@ -17,25 +18,29 @@ from pyspark.sql import functions as F
 from catalogue_evidence.llm.common import staged
 from catalogue_evidence.llm.language import held_out
 
-EXAMPLES = 12_288  # labelled documents that serve as examples: a third of them toxic at most, the rest clean at most
+EXAMPLES = 4_096  # labelled documents that serve as examples: a third of them toxic at most, the rest clean at most
 NEIGHBOURS = 15
-BLOCK = 64  # examples in a block of the index
-PRIOR = 1.5  # weight of the examples' toxic share among the votes
+BLOCK = 128  # examples in a block of the index
+SLACK = 1e-5  # that sums in single precision may be off by
+MANY = 128  # examples with a term, from which on it has dense rows
+PRIOR = 1.5  # weight of what a vote begins with, half of it for each side
+PULL = 0.5  # of the calibration to the plain odds
+PARTS = 16  # that examples are dealt out in
 PREFIXES = (4, 5, 6, 7)  # letters of a word's beginnings that count as terms beside the word
 LEVELS = (2, 3, 5)  # numbers of different words with one beginning that are terms of their own
 WORD = re.compile(r"\w+")
 #: A telling term: in so many toxic examples and such a share of them at least, so many times as frequent there as in
 #: clean ones, and with such a chi-squared of one degree. Near copies count once.
 LEAST, SHARE, RATIO, CHI2 = 4, 0.005, 5.0, 20.0
-LEAN = 4.0  # weight of such a term beside the other words of the examples, which weigh 1
+LEAN = 8.0  # weight of such a term beside the other words of the examples, which weigh 1
 MINIMA = 4  # least hashes of words that two texts must have in common to count as near copies
 
 
-def terms(words: Counter[str]) -> Counter[str]:
-    """Words and how often they come; their beginnings, as fore*, and how many different words have each; and beginnings
-    that at least so many words have, as fore*2: cosines see no amounts, and one such word may be harmless."""
+def beginnings(words: Iterable[str]) -> Counter[str]:
+    """Beginnings of different words, as fore*, and how many words have each; and beginnings that at least so many words
+    have, as fore*2: cosines see no amounts, and one such word may be harmless."""
     fore = Counter(w[:n] + "*" for w in words for n in PREFIXES if len(w) > n)
-    return words + fore + Counter(f"{t}{k}" for t, c in fore.items() for k in LEVELS if c >= k)
+    return fore + Counter(f"{t}{k}" for t, c in fore.items() for k in LEVELS if c >= k)
 
 
 def words_of(text: str | None) -> Counter[str]:
@@ -48,62 +53,67 @@ def likeness(words: Counter[str]) -> int:
     return xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
-def term_counts(text: str | None, words: dict[str, int], begins: set[str]) -> tuple[list[int], list[int]]:
-    """The terms of a vocabulary in a text, in order, and how often; begins: what its beginnings of words begin with."""
-    some = Counter({w: c for w, c in words_of(text).items() if w in words or w[: PREFIXES[0]] in begins})
-    own = {words[t]: c for t, c in terms(some).items() if t in words}
-    at = sorted(own)
-    return at, [own[t] for t in at]
-
-
-def beginnings(words: dict[str, int]) -> set[str]:
-    return {t[: PREFIXES[0]] for t in words if "*" in t}
-
-
 def ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... n[0] of them, then those from begin[1], and so on."""
     return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 class BlockMax:
-    """Examples as unit vectors in blocks, with postings by term and block and the largest weight of each such cell."""
+    """Examples as unit vectors in blocks. Terms of many examples have a dense row of weights in each block, and the
+    largest of each; all others have postings."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], width: int, block: int = BLOCK) -> None:
-        self.n = len(vectors)
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], width: int, block: int = BLOCK, many: int = MANY) -> None:
+        self.n, self.block = len(vectors), block
         self.blocks = -(-self.n // block)
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, int)]).astype(np.int64)
         row = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
         order = np.lexsort((row, term))
         self.row = row[order].astype(np.int32)
-        self.weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
-        cell, start = np.unique(term[order] * max(self.blocks, 1) + self.row // block, return_index=True)  # only those with postings
-        self.start = np.append(start, len(order)).astype(np.int32)
-        self.own = (cell % max(self.blocks, 1)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
-        self.begin = np.searchsorted(cell, np.arange(width + 1) * max(self.blocks, 1)).astype(np.int32)
+        self.weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order].astype(np.float32)
+        self.start = np.searchsorted(term[order], np.arange(width + 1)).astype(np.int32)
+        common = np.flatnonzero(np.diff(self.start) >= many)
+        self.common = np.full(width, -1, np.int32)  # number of a term's dense row, or -1
+        self.common[common] = np.arange(len(common))
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """Weights by block, common term and example in the block; made where it is used, not sent there."""
+        out = np.zeros((self.blocks, int(self.common.max(initial=-1)) + 1, self.block), np.float32)
+        for t in np.flatnonzero(self.common >= 0):
+            at = slice(self.start[t], self.start[t + 1])
+            out[self.row[at] // self.block, self.common[t], self.row[at] % self.block] = self.weight[at]
+        return out
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        return self.dense.max(2, initial=0).T.astype(np.float64)
 
     def search(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples of positive cosine, ties to the smaller row; exact.
 
-        Blocks are scored from the largest bound down, until the k-th best cosine lies above the next bound.
+        What rare terms add is known for every example; with each block's largest weights of common terms it bounds the
+        block. Blocks are scored from the largest bound down, until the k-th best cosine lies above the next bound.
         """
-        n = self.begin[term + 1] - self.begin[term]
-        cell, weight = ranges(self.begin[term], n), np.repeat(weight, n)
-        own = self.own[cell]
-        bound = np.bincount(own, weight * self.most[cell], self.blocks)
+        if not self.n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        common = self.common[term]
+        rare = common < 0
+        n = self.start[term[rare] + 1] - self.start[term[rare]]
+        posting = ranges(self.start[term[rare]], n)
+        sure = np.bincount(self.row[posting], np.repeat(weight[rare], n) * self.weight[posting], self.blocks * self.block)
+        sure = sure.reshape(self.blocks, self.block)
+        own, weight = common[~rare], weight[~rare]
+        bound = sure.max(1) + weight @ self.most[own]
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
         todo = np.argsort(-bound, kind="stable")
-        i, step = 0, 8
-        while i < len(todo) and bound[todo[i]] > 0 and not (len(scores) == k and scores[-1] > bound[todo[i]] + 1e-9):
-            chosen = np.zeros(self.blocks, bool)
-            chosen[todo[i : i + step]] = True
-            at = np.flatnonzero(chosen[own])
-            start = self.start[cell[at]]
-            n = self.start[cell[at] + 1] - start
-            posting = ranges(start, n)
-            got = np.bincount(self.row[posting], np.repeat(weight[at], n) * self.weight[posting], self.n)
-            hit = np.flatnonzero(got > 0)
-            rows, scores = np.concatenate((rows, hit)), np.concatenate((scores, got[hit]))
+        single = weight.astype(np.float32)
+        i, step = 0, 4
+        while i < len(todo) and bound[todo[i]] > 0 and not (len(scores) == k and scores[-1] > bound[todo[i]] + SLACK):
+            some = todo[i : i + step].tolist()
+            got = np.concatenate([sure[b] + single @ self.dense[b].take(own, 0) for b in some])
+            at = np.concatenate([np.arange(b * self.block, (b + 1) * self.block) for b in some])
+            hit = np.flatnonzero(got > max(0, scores[-1] - SLACK if len(scores) == k else 0))
+            rows, scores = np.concatenate((rows, at[hit])), np.concatenate((scores, got[hit]))
             best = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[best], scores[best]
             i, step = i + step, 2 * step
@@ -112,48 +122,86 @@ class BlockMax:
 
 @dataclass
 class Space:
-    """Numbers of terms: first the telling ones, then every other word of an example, by its hash."""
+    """Numbers of terms: first the telling ones, then every other word of an example."""
 
     telling: dict[str, int]
-    begins: set[str]
-    words: np.ndarray  # sorted hashes
+    numbers: dict[str, int]
 
-    def __len__(self) -> int:
-        return len(self.telling) + len(self.words)
+    @classmethod
+    def of(cls, telling: dict[str, int], words: Iterable[str]) -> Space:
+        return cls(telling, telling | {w: len(telling) + k for k, w in enumerate(sorted(set(words) - telling.keys()))})
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The terms that a text has, and how often."""
-        at, own = term_counts(text, self.telling, self.begins)
-        hashes, n = plain_words(text, self.telling)
-        place = np.searchsorted(self.words, hashes)
-        known = np.flatnonzero(self.words[np.minimum(place, len(self.words) - 1)] == hashes) if len(self.words) else np.zeros(0, int)
-        return np.append(np.array(at, np.int64), place[known] + len(self.telling)), np.append(np.array(own, float), n[known])
+    def __len__(self) -> int:
+        return len(self.numbers)
 
+    @cached_property
+    def begins(self) -> set[str]:
+        return {t[: PREFIXES[0]] for t in self.telling if "*" in t}
 
-def plain_words(text: str | None, telling: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's words that aren't telling terms, in order, and how often they come."""
-    words = {xxhash.xxh64_intdigest(w) >> 1: c for w, c in words_of(text).items() if w not in telling}
-    at = sorted(words)
-    return np.array(at, np.int64), np.array([words[h] for h in at], float)
+    def counts(self, words: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The terms that a text of such words has, and how often."""
+        own = {k: c for w, c in words.items() if (k := self.numbers.get(w)) is not None}
+        if self.begins and (some := [w for w in words if w[: PREFIXES[0]] in self.begins]):
+            own.update((k, c) for t, c in beginnings(some).items() if (k := self.telling.get(t)) is not None)
+        return np.fromiter(own.keys(), np.int64, len(own)), np.fromiter(own.values(), float, len(own))
 
 
 @dataclass
 class Model:
+    """Examples, and how their votes become a probability; share: of toxic ones among all labels learned from."""
+
     space: Space
     weight: np.ndarray
     index: BlockMax
     toxic: np.ndarray
     doc_id: np.ndarray
+    like: np.ndarray
     share: float
+    slope: float = 1.0
+    shift: float = 0.0
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        """The weighted share of toxic ones among the nearest examples, and their doc_ids."""
-        term, n = self.space.counts(text)
+    def vote(self, words: dict[str, int], apart: int | None = None) -> tuple[float | None, np.ndarray]:
+        """The log odds of toxic among the nearest examples, weighted by cosine, and their rows; None without any.
+
+        apart: examples with this likeness have no vote."""
+        term, n = self.space.counts(words)
         if not len(term):
+            return None, np.zeros(0, np.int64)
+        term, weight = unit(term, n, self.weight)
+        more = 0 if apart is None else int((self.like == apart).sum())
+        rows, cosine = self.index.search(term, weight, NEIGHBOURS + more)
+        if more:
+            rows, cosine = (x[self.like[rows] != apart][:NEIGHBOURS] for x in (rows, cosine))
+        if not len(rows):
+            return None, rows
+        bad = float((cosine * self.toxic[rows]).sum())
+        return float(np.log((bad + PRIOR / 2) / (float(cosine.sum()) - bad + PRIOR / 2))), rows
+
+    def score(self, text: str | None) -> tuple[float, list[int]]:
+        """The probability that a text is toxic, and the doc_ids of the examples that voted."""
+        odds, rows = self.vote(words_of(text))
+        if odds is None:
             return self.share, []
-        rows, cosine = self.index.search(*unit(term, n, self.weight), NEIGHBOURS)
-        votes = float((cosine * self.toxic[rows]).sum())
-        return (votes + PRIOR * self.share) / (float(cosine.sum()) + PRIOR), self.doc_id[rows].tolist()
+        return float(1 / (1 + np.exp(-(self.slope * odds + self.shift)))), self.doc_id[rows].tolist()
+
+
+def calibrated(odds: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through votes and labels, weighted so that the share of toxic ones is that
+    of all labels, not of the examples. A weak pull to slope 1 and shift 0 keeps clean splits finite."""
+    bad = toxic.mean() if len(toxic) else 0.0
+    if not 0 < bad < 1 or not 0 < share < 1:
+        return 1.0, 0.0
+    weight = np.where(toxic > 0, share / bad, (1 - share) / (1 - bad))
+    x = np.stack((odds, np.ones(len(odds))), 1)
+    at = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        slope = x.T @ (weight * (toxic - p)) - PULL * (at - (1.0, 0.0))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + PULL * np.eye(2), slope)
+        at = at + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    return max(float(at[0]), 0.0), float(at[1])
 
 
 def unit(term: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,54 +209,76 @@ def unit(term: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarra
     return term, w / max(np.linalg.norm(w), 1e-12)
 
 
-def examples(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
-    """(doc_id, toxic, text): labelled documents that aren't held out, at most `most`: a third of them toxic, two thirds
-    clean, those of the least hash of doc_id. A document labelled both ways is toxic; null labels and ids don't count."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """(known_id, toxic): labels that may be learned from. A document labelled both ways is toxic; null labels and ids
+    don't count."""
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(5, 0))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    at = F.xxhash64("doc_id")
-    chosen = known.filter("toxic = 1").orderBy(at, "doc_id").limit(most // 3)
-    chosen = chosen.unionByName(known.filter("toxic = 0").orderBy(at, "doc_id").limit(most - most // 3))
-    ids = F.broadcast(staged(chosen.withColumnRenamed("doc_id", "known_id"), "toxic-examples"))  # at most `most` rows
-    return docs.filter("text is not null").join(ids, docs["doc_id"].cast("long") == F.col("known_id")).select(
-        F.col("known_id").alias("doc_id"), "toxic", docs["text"].cast("string").alias("text")
-    )
+    return known.groupBy(F.col("doc_id").cast("long").alias("known_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
 
 
-def vocabulary(some: DataFrame) -> dict[str, int]:
-    """The terms whose presence tells toxic examples from clean ones. some: (doc_id, toxic, text)."""
+def examples(docs: DataFrame, known: DataFrame, most: int = EXAMPLES) -> DataFrame:
+    """(doc_id, toxic, words, n, like) of at most `most` of the labelled documents: a third of them toxic, two thirds
+    clean, those of the least hash of doc_id. Documents of one doc_id are an example each."""
+    at = F.xxhash64("known_id")
+    chosen = known.filter("toxic = 1").orderBy(at, "known_id").limit(most // 3)
+    chosen = chosen.unionByName(known.filter("toxic = 0").orderBy(at, "known_id").limit(most - most // 3))
+    ids = F.broadcast(staged(chosen, "toxic-examples"))  # at most `most` rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.filter("text is not null").join(ids, F.col("doc_id") == F.col("known_id")).select("doc_id", "toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                like = likeness(words)
-                own = sorted(terms(words))
-                cols = [pa.array(own, pa.string()), *[pa.array([x] * len(own), pa.int64()) for x in (toxic, like)]]
-                yield pa.RecordBatch.from_arrays(cols, names=["term", "toxic", "like"])
-
-    df = some.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(run, "term string, toxic long, like long")
-    df = staged(df.distinct(), "toxic-terms")  # as many rows as the examples have terms
-    size = {r["toxic"]: r["n"] for r in df.groupBy("toxic").agg(F.count_distinct("like").alias("n")).collect()}
+            words = [words_of(t) for t in batch.column(2).to_pylist()]
+            cols = [pa.array(map(list, words), pa.list_(pa.string())), pa.array([list(w.values()) for w in words], pa.list_(pa.int64()))]
+            like = pa.array(map(likeness, words), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols, like], names=["doc_id", "toxic", "words", "n", "like"])
+
+    return texts.mapInArrow(run, "doc_id long, toxic int, words array<string>, n array<long>, like long")
+
+
+def vocabulary(some: DataFrame) -> dict[str, int]:
+    """The terms whose presence tells toxic examples from clean ones, of which near copies count as one.
+
+    some: examples(). Terms of enough toxic examples are counted first, and those alone in clean ones."""
+    one = staged(some.groupBy("toxic", "like").agg(F.min_by("words", F.struct("doc_id", "words")).alias("words")), "toxic-words")
+    size = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
         return {}
-    df = df.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    chi2 = (bad + good) * F.pow(a * (good - b) - b * (bad - a), 2) / (F.lit(float(bad * good)) * (a + b) * (bad + good - a - b) + 1e-9)
-    telling = df.filter((a >= max(LEAST, SHARE * bad)) & (a / bad >= RATIO * b / good) & (chi2 >= CHI2))
-    return {t: k for k, t in enumerate(sorted(r["term"] for r in telling.select("term").collect()))}
+
+    def counted(toxic: int, among: set[str] | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: Counter[str] = Counter()  # of terms of the examples in one task
+            for batch in batches:
+                for words in batch.column(0).to_pylist():
+                    own = {*words, *beginnings(words)}
+                    found.update(own if among is None else own & among)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+
+        made = one.filter(F.col("toxic") == toxic).select("words").repartition(PARTS).mapInArrow(run, "term string, n long")
+        return made.groupBy("term").agg(F.sum("n").alias("n"))
+
+    often = {r["term"]: r["n"] for r in counted(1, None).filter(F.col("n") >= max(LEAST, SHARE * bad)).collect()}
+    other = {r["term"]: r["n"] for r in counted(0, set(often)).collect()}
+
+    def tells(a: int, b: int) -> bool:
+        chi2 = (bad + good) * (a * (good - b) - b * (bad - a)) ** 2 / (bad * good * (a + b) * (bad + good - a - b) + 1e-9)
+        return a / bad >= RATIO * b / good and chi2 >= CHI2
+
+    return {t: k for k, t in enumerate(sorted(t for t, a in often.items() if tells(a, other.get(t, 0))))}
 
 
 def frequencies(docs: DataFrame, space: Space) -> tuple[np.ndarray, int]:
     """In how many of docs each term comes, and how many docs there are."""
+    sent = docs.sparkSession.sparkContext.broadcast(space)  # as large as the examples' words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space = sent.value
         found, total = np.zeros(len(space) + 1, np.int64), 0  # the last number stands for the documents
         for batch in batches:
             total += len(batch)
             for text in batch.column(0):
-                found[space.counts(text.as_py())[0]] += 1
+                found[space.counts(words_of(text.as_py()))[0]] += 1
         found[-1] = total
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at])], names=["term", "n"])
@@ -221,53 +291,60 @@ def frequencies(docs: DataFrame, space: Space) -> tuple[np.ndarray, int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> Model:
-    """The model: every example with all of its words. Document frequencies are those of all documents."""
-    some = staged(examples(docs, labels, most), "toxic-texts")
+    """The model: every example with all of its words. Document frequencies are those of all documents. Votes are
+    calibrated on the examples themselves, each without its own vote and those of its near copies."""
+    spark = docs.sparkSession
+    known = staged(labelled(labels), "toxic-labels")
+    share = known.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("share")).first()["share"]
+    some = staged(examples(docs, known, most), "toxic-texts")
     telling = vocabulary(some)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [(*term_counts(t, telling, begins), *plain_words(t, telling)) for t in batch.column(2).to_pylist()]
-            kinds = (pa.int32(), pa.float64(), pa.int64(), pa.float64())
-            cols = [pa.array(x, pa.list_(k)) for x, k in zip(zip(*made), kinds)] if made else [pa.array([], pa.list_(k)) for k in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc_id", "toxic", "term", "n", "word", "m"])
-
-    begins = beginnings(telling)
-    schema = "doc_id long, toxic int, term array<int>, n array<double>, word array<long>, m array<double>"
-    got = some.select("doc_id", "toxic", "text").mapInArrow(run, schema).toArrow()  # at most as many rows as there are examples
-    ids, toxic = got["doc_id"].to_numpy(), got["toxic"].to_numpy().astype(float)
-    term, n, word, m = ([np.asarray(x.values) for x in got[c]] for c in ("term", "n", "word", "m"))
-    space = Space(telling, begins, np.unique(np.concatenate([*word, np.zeros(0, np.int64)]).astype(np.int64)))
+    got = some.toArrow()  # a row for each example, of its different words
+    ids, toxic, like = got["doc_id"].to_numpy(), got["toxic"].to_numpy().astype(float), got["like"].to_numpy()
+    words = [dict(zip(w, n)) for w, n in zip(got["words"].to_pylist(), got["n"].to_pylist())]
+    space = Space.of(telling, (w for ws in words for w in ws))
     found, total = frequencies(docs, space)
     weight = np.log((1 + total) / (1 + found)) + 1
     weight[: len(telling)] *= LEAN
-    vectors = [(np.append(t, np.searchsorted(space.words, w) + len(telling)).astype(np.int64), np.append(a, b)) for t, a, w, b in zip(term, n, word, m)]
+    vectors = [space.counts(w) for w in words]
 
-    def like(r: int) -> tuple:  # like ones share blocks: by telling terms, then by the most frequent words
-        t = vectors[r][0][len(term[r]) :]
-        return term[r].tolist(), t[np.lexsort((t, -found[t]))[:8]].tolist(), int(ids[r])
+    def alike(r: int) -> tuple:  # like ones share blocks: by telling terms, then by the most frequent words
+        t = vectors[r][0]
+        plain = t[t >= len(telling)]
+        return sorted(t[t < len(telling)].tolist()), plain[np.lexsort((plain, -found[plain]))[:8]].tolist(), int(ids[r])
 
-    rows = np.array(sorted((r for r in range(len(vectors)) if len(vectors[r][0])), key=like), np.int64)
+    rows = np.array(sorted((r for r in range(len(vectors)) if len(vectors[r][0])), key=alike), np.int64)
     index = BlockMax([unit(*vectors[r], weight) for r in rows], len(space))
-    known = dict(zip(ids.tolist(), toxic.tolist()))
-    share = sum(known.values()) / len(known) if known else 0.0
-    return Model(space, weight, index, toxic[rows], ids[rows], share)
+    model = Model(space, weight, index, toxic[rows], ids[rows], like[rows], float(share))
+    sent = spark.sparkContext.broadcast(model)
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = (batch.column(k).to_pylist() for k in (1, 2, 3))
+            votes = [sent.value.vote(dict(zip(w, n)), like)[0] for w, n, like in zip(*each)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["toxic", "odds"])
+
+    votes = some.select(F.col("toxic").cast("double").alias("toxic"), "words", "n", "like").repartition(PARTS)
+    votes = votes.mapInArrow(apart, "toxic double, odds double").filter("odds is not null").toArrow()  # a row an example
+    order = np.lexsort((votes["odds"].to_numpy(), votes["toxic"].to_numpy()))
+    odds, of = votes["odds"].to_numpy()[order], votes["toxic"].to_numpy()[order]
+    model.slope, model.shift = calibrated(odds, of, model.share)
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence), one row for each row of docs.
 
-    score is the share of toxic ones among the nearest labelled examples, weighted by cosine, with the examples' toxic
-    share as a prior: it alone is the score of texts that share no word with any example, null and empty ones included,
-    and is 0 where there are no examples. evidence: doc_ids of the examples that voted, nearest first. Labels of rows
-    held out (crc32 of doc_id as text divisible by 5) are never seen. Terms are all words of the examples, and telling
-    beginnings of words.
+    score is the probability that a text is toxic, from the nearest labelled examples' votes, weighted by cosine and
+    calibrated. Texts that share no word with any example, null and empty ones included, score the share of toxic ones
+    among all labels learned from, which is 0 where there are none. evidence: doc_ids of the examples that voted,
+    nearest first. Labels of rows held out (crc32 of doc_id as text divisible by 5) are never seen. Terms are all words
+    of the examples, and telling beginnings of words. Only doc_id and text are read; rows repeat as in docs.
     """
-    model = fit(docs, labels, most)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [model.score(t.as_py()) for t in batch.column(1)]
+            out = [sent.value.score(t.as_py()) for t in batch.column(1)]
             cols = [pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "score", "evidence"])
 
@@ -278,15 +355,16 @@ def score(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame
 
 
 def reject(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
-    """docs without the rows that score() predicts toxic; other rows and all columns stay."""
-    model = fit(docs, labels, most)
+    """docs without the rows that score() predicts toxic; other rows and all columns stay, rows without a text too if
+    toxic ones are the lesser part of all labels. No rows give no rows."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             for i in range(0, len(batch), 256):
                 some = batch.slice(i, 256)
-                scores = [model.score(t)[0] for t in some.column(at).to_pylist()]
+                scores = [sent.value.score(t)[0] for t in some.column(at).to_pylist()]
                 yield some.filter(pa.array([x < 0.5 for x in scores]))
 
     return docs.mapInArrow(run, docs.schema)
