@@ -7,13 +7,21 @@ from pyspark.sql import functions as F
 
 from catalogue_evidence.sources.shared import ranked, shared_dir, shared_path, staged
 
-__all__ = ["components", "ranked", "shared_dir", "shared_path", "staged", "table"]
+__all__ = ["components", "fresh", "ranked", "shared_dir", "shared_path", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """name, with underscores behind it until df has no column of that name in either case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label): each node of undirected edges (a, b) with the smallest node it reaches.
 

@@ -2,8 +2,10 @@
 
 DataFrame functions only. A document much longer than an item shares too small a part of its own shingles with it for
 banded signatures of both to meet, so the sketch is the item's alone: items are partitioned by size, and each keeps the
-least hash values of its shingles, as many as its partition needs so that no document that contains the item to the
-threshold can miss all of them. Documents look up every shingle of theirs, and containment is then counted in full.
+least hash values of its rarest shingles, as many as its partition needs so that no document that contains the item to the
+threshold can miss all of them. Documents look up every shingle of theirs among the sketches alone, which gives
+candidate pairs; only candidate documents are read again, and their containment of their own candidates is counted in
+full.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogue_evidence.llm.common import fresh, staged
+
 #: An item table of more shingles than this isn't broadcast but joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 WORDS = 5
@@ -35,50 +39,77 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS
     """(item_id, n_shingles, hash, in_sketch): all shingles of each item, those of its sketch marked.
 
     An item of k shingles that a document contains to the threshold t misses at most (1 - t) k of them there, so one of
-    any floor((1 - t) k) + 1 is found. Items are partitioned by size in powers of two and a partition's sketches are as
+    any floor((1 - t) k) + 1 is found. A sketch takes the least hashes among the shingles that the fewest items have, so
+    passages that many items share don't make candidates. Items are partitioned by size in powers of two and a partition's sketches are as
     long as its largest possible item needs. Items without words have no shingles and match nothing; items that share
     an item_id count as one item of all their shingles.
     """
     split = items.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words"))
     each = split.select("item_id", F.explode(shingle_hashes(F.col("words"), size)).alias("hash"))
-    hashes = F.array_sort(F.collect_set("hash"))
+    each = each.distinct()
+    shared = each.groupBy("hash").agg(F.count(F.lit(1)).alias("n_items")).withColumnRenamed("hash", "_hash")
+    each = each.join(shared, F.col("hash") == F.col("_hash"))
+    hashes = F.array_sort(F.collect_list(F.struct("n_items", "hash")))
     sets = each.groupBy("item_id").agg(hashes.alias("hashes")).withColumn("n_shingles", F.size("hashes").cast("long"))
     upper = F.pow(F.lit(2), F.floor(F.log2(F.col("n_shingles"))) + 1) - 1
     least = sets.withColumn("m", F.floor(upper * F.lit(1 - threshold) + F.lit(1e-9)).cast("int") + 1)
-    return least.select("item_id", "n_shingles", "m", F.posexplode("hashes").alias("pos", "hash")).select(
-        "item_id", "n_shingles", "hash", (F.col("pos") < F.col("m")).alias("in_sketch")
+    return least.select("item_id", "n_shingles", "m", F.posexplode("hashes").alias("pos", "of")).select(
+        "item_id", "n_shingles", F.col("of.hash").alias("hash"), (F.col("pos") < F.col("m")).alias("in_sketch")
     )
 
 
-def _found(docs: DataFrame, items: DataFrame, keys: dict[str, Column], threshold: float, size: int) -> DataFrame:
-    """keys, item_id, n_shingles, n_found of each pair that passes, by one pass over the documents' shingles. Rows of
-    equal keys count once."""
-    index = item_index(items, threshold, size)
-    if index.count() <= BROADCAST_ROWS:
-        index = F.broadcast(index)
-    split = docs.select(*[c.alias(k) for k, c in keys.items()], words(F.col("text")).alias("words"))
-    each = split.select(*keys, F.explode(shingle_hashes(F.col("words"), size)).alias("doc_hash"))
-    met = each.join(index, F.col("doc_hash") == F.col("hash"))
-    pairs = met.groupBy(*keys, "item_id", "n_shingles").agg(
-        F.count_distinct("hash").alias("n_found"), F.bool_or("in_sketch").alias("candidate")
-    )
-    return pairs.filter("candidate").filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9)).drop("candidate")
+def shingles_of(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """(unit, doc_hash): the distinct shingle hashes of each row of (unit, text)."""
+    return docs.select("unit", words(F.col("text")).alias("words")).select("unit", F.explode(shingle_hashes(F.col("words"), size)).alias("doc_hash"))
+
+
+def candidates(docs: DataFrame, index: DataFrame, size: int = WORDS) -> DataFrame:
+    """(unit, item_id): pairs of a row of (unit, text) and an item some of whose sketch the text has."""
+    sketch = index.filter("in_sketch").select("item_id", "hash")
+    met = shingles_of(docs, size).join(_small(sketch), F.col("doc_hash") == F.col("hash"))
+    return met.select("unit", "item_id").distinct()
+
+
+def _small(index: DataFrame) -> DataFrame:
+    return F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
+
+
+def _found(docs: DataFrame, items: DataFrame, threshold: float, size: int) -> DataFrame:
+    """(unit, item_id, n_shingles, n_found) of each pair that passes. docs: (unit, text); rows of one unit have one text."""
+    index = staged(item_index(items, threshold, size), "item-index")
+    pairs = staged(candidates(docs, index, size), "item-candidates")
+    asked = pairs.select(F.col("unit").alias("_unit")).distinct()
+    once = docs.join(asked, docs["unit"] == asked["_unit"], "left_semi").groupBy("unit").agg(F.min("text").alias("text"))
+    own = pairs.join(_small(index.select("item_id", "n_shingles", "hash")), "item_id")  # all shingles of each candidate item
+    met = own.join(shingles_of(once, size).withColumnRenamed("unit", "_unit"), (F.col("unit") == F.col("_unit")) & (F.col("hash") == F.col("doc_hash")))
+    counted = met.groupBy("unit", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"))
+    return counted.filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9))
+
+
+def _unit(text: Column) -> Column:
+    return F.md5(text.cast("string").cast("binary"))
 
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found, containment): documents that contain an item to the threshold.
 
     containment is the share of the item's distinct shingles that the document has. Null and empty texts contain
-    nothing. Of rows with one doc_id each counts for itself and the best stands; rows without a doc_id count as one
-    document each text. Only doc_id and text, item_id and text are read. No rows on either side give no rows.
+    nothing. Of rows with one doc_id each counts for itself and the best stands, rows without a doc_id
+    together too. Only doc_id and text, item_id and text are read. No rows on either side give no rows.
     """
-    keys = {"doc_id": F.col("doc_id").cast("long"), "text_hash": F.xxhash64("text")}
-    found = _found(docs, items, keys, threshold, size)
-    best = found.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_found").alias("n_found"))
+    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("unit", _unit(F.col("text")))
+    found = _found(texts, items, threshold, size).withColumnRenamed("unit", "_unit")
+    same = texts.select("doc_id", "unit").distinct().join(found, F.col("unit") == F.col("_unit"))
+    best = same.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_found").alias("n_found"))
     return best.withColumn("containment", F.col("n_found").cast("double") / F.col("n_shingles"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS) -> DataFrame:
-    """docs without the rows whose text contains an item to the threshold; all other rows and columns stay."""
-    found = _found(docs, items, {"found_text": F.md5(F.col("text").cast("binary"))}, threshold, size)
-    return docs.join(found.select("found_text").distinct(), F.md5(docs["text"].cast("binary")) == F.col("found_text"), "left_anti")
+    """docs without the rows whose text contains an item to the threshold; all other rows and columns, whatever their
+    names, stay, rows without a text too. No items or no rows leave docs as they are."""
+    texts = docs.filter(docs["text"].isNotNull()).select(docs["text"].cast("string").alias("text"))
+    found = _found(texts.withColumn("unit", _unit(F.col("text"))), items, threshold, size)
+    name = fresh("_found", docs)
+    gone = found.select(F.col("unit").alias(name)).distinct()
+    return docs.join(gone, _unit(docs["text"]) == gone[name], "left_anti")

@@ -19,19 +19,24 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs are taken whole, so shorter ones drop out
-#: Where a random string can stand; one without a digit isn't judged.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Characters a token, at most, of a string that counts as random. Words and names hold 3 and more, base64 about 1.6.
+#: Where a random string can stand. What base spans leave of a run counts as runs of its own.
+LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Characters a token, at most, of a string that counts as random. Identifiers hold 3 and more, base64 about 1.6.
 EFFICIENCY = 2.2
+#: The same for names of words in one case, whose parts are judged without what joins them: rare or foreign words hold 1.6
+#: and more, random letters in one case about 1.4.
+WORD_EFFICIENCY = 1.5
+WORD = r"(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}"
+NAME = re.compile(rf"[+/_=-]*{WORD}(?:[+/_=-]+{WORD})*[+/_=-]*")
+JOINT = re.compile(r"[+/_=-]+")
 #: Digests and identifiers known by their form, which are random but no secrets.
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"  # digests
     r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"  # UUIDs
     r"|sha(?:1|224|256|384|512)-[A-Za-z0-9+/]+=*"  # integrity digests
-    r"|[0-9+/_=-]+"  # numbers, dates, rules
-    r"|(?:[A-Za-z]+[0-9]{0,4}[_/-])*[A-Za-z]+[0-9]{0,4})"  # names of words, with numbers at their ends
+    r"|[0-9+/_=-]+)"  # numbers, dates, rules
 )
-DIGIT = re.compile(r"[0-9]")
 
 
 class Scanner:
@@ -52,17 +57,27 @@ class Scanner:
         return sorted(out)
 
     def is_random(self, run: str) -> bool:
-        if KNOWN.fullmatch(run) or not DIGIT.search(run):
+        if KNOWN.fullmatch(run):
             return False
+        if NAME.fullmatch(run):
+            parts = [x for x in JOINT.split(run) if x]
+            return sum(map(len, parts)) <= WORD_EFFICIENCY * sum(len(self.tokens.encode_ordinary(x)) for x in parts)
         return len(run) <= self.efficiency * len(self.tokens.encode_ordinary(run))
 
     def random(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Spans of random strings that no base span touches."""
+        """Spans of random strings in what base spans, sorted by their starts, leave of the text's runs."""
         out = []
+        i = 0
         for m in RUN.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, _, e in base) and self.is_random(m[0]):
-                out.append((m.start(), 3, m.end()))
-        return out
+            at = m.start()
+            while i < len(base) and base[i][0] < m.end():
+                out.append((at, 3, base[i][0]))
+                at = max(at, base[i][2])
+                if base[i][2] > m.end():  # it may reach into the next run
+                    break
+                i += 1
+            out.append((at, 3, m.end()))
+        return [(s, k, e) for s, k, e in out if e - s >= LEAST and self.is_random(text[s:e])]
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         """Base spans, and all spans: (start, kind, end) by start, then kind."""
@@ -88,9 +103,10 @@ def scan(docs: DataFrame, path: str, pattern: str, efficiency: float = EFFICIENC
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random), one row for each row of docs.
 
     Spans are kind:start:end in code points, by start and then by kind, comma-joined; base_sha256 is the digest of the
-    three base kinds' spans, spans holds all kinds. Spans of kind random are runs of 20 or more characters that hold a
-    digit, overlap no base span, have no form of a known digest or identifier, and whose tokens hold few characters.
-    A null or empty text has no spans. Only doc_id and text are read; rows repeat as in docs; null doc_ids stay.
+    three base kinds' spans, spans holds all kinds. Spans of kind random are runs of LEAST or more characters, without
+    what base spans take of them, that have no form of a known digest or identifier and whose tokens hold few characters.
+    A null or empty text has no spans. Only doc_id and text are read; rows repeat as in docs; null doc_ids stay; no rows
+    give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogue_evidence.llm.common import components, staged
+from catalogue_evidence.llm.common import components, fresh, staged
 
 PIECE = 1 << 16  # shingles hashed at a time
 LOW = 0xFFFFFFFF
@@ -61,15 +61,16 @@ def fingerprints(texts: list[bytes | None], size: int = 3, seed: int = 42) -> np
 
 
 def with_fingerprints(docs: DataFrame, size: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long. A null text counts as one without words."""
+    """(doc_id, fp, text_hash): fp is the fingerprint as a signed long. A null text counts as one without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fp = fingerprints(texts, size, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), batch.column(2)], names=["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")))
+    return plain.mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def _segments(fp: Column) -> list[Column]:
@@ -104,7 +105,7 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
 
 
 def groups(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row for each row of docs.
+    """(doc_id, fingerprint, component_id, text_hash), one row for each row of docs.
 
     fingerprint: 16 lower-case hex digits. component_id: the smallest doc_id that links of at most `most` bits reach,
     itself included. A null text has no words and so fingerprint zero, linked like any other. A null doc_id is kept and
@@ -124,21 +125,23 @@ def groups(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> Dat
         "simhash-owner",
     )
     return made.join(owner, made["fp"] == owner["key"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash"
     )
 
 
 def keep_one(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
     """docs with one row left of each group: that of the smallest doc_id, of equal doc_ids the least row.
 
-    Rows without a doc_id can't be told apart by it and all stay.
+    Rows without a doc_id can't be told apart by it and all stay. All columns stay, whatever their names. No rows give
+    no rows.
     """
-    place = groups(docs, most, size, seed)
-    chosen = place.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    chosen = staged(chosen.select(F.col("doc_id").alias("_kept"), "copies"), "simhash-kept")
     cols = docs.columns
-    mine = docs.join(chosen, docs["doc_id"].cast("long") == chosen["_kept"])
-    once = mine.filter("copies = 1").select(*[docs[c] for c in cols])
-    row = F.struct(*[docs[c] for c in cols])
-    again = mine.filter("copies > 1").groupBy("_kept").agg(F.min(row).alias("_row")).select("_row.*")
-    return once.unionByName(again).unionByName(docs.filter("doc_id is null"))
+    kept, of, copies, row = (fresh(n, docs) for n in ("_kept", "_of", "_copies", "_row"))
+    place = groups(docs, most, size, seed).filter(F.col("doc_id") == F.col("component_id"))
+    chosen = place.groupBy(F.col("doc_id").alias(kept)).agg(F.collect_set("text_hash").alias(of), F.count(F.lit(1)).alias(copies))
+    chosen = staged(chosen, "simhash-kept")
+    same = (docs["doc_id"].cast("long") == chosen[kept]) & F.array_contains(chosen[of], F.xxhash64(docs["text"].cast("string")))
+    mine = docs.join(chosen, same)
+    once = mine.filter(F.col(copies) == 1).select(*[docs[c] for c in cols])
+    again = mine.filter(F.col(copies) > 1).groupBy(kept).agg(F.min(F.struct(*[docs[c] for c in cols])).alias(row)).select(f"{row}.*")
+    return once.unionByName(again).unionByName(docs.filter(docs["doc_id"].isNull()))

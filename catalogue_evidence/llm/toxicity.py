@@ -107,16 +107,20 @@ class BlockMax:
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
         todo = np.argsort(-bound, kind="stable")
         single = weight.astype(np.float32)
-        i, step = 0, 4
+        flat = self.dense.reshape(-1, self.block)
+        i, step = 0, 2
         while i < len(todo) and bound[todo[i]] > 0 and not (len(scores) == k and scores[-1] > bound[todo[i]] + SLACK):
-            some = todo[i : i + step].tolist()
-            got = np.concatenate([sure[b] + single @ self.dense[b].take(own, 0) for b in some])
-            at = np.concatenate([np.arange(b * self.block, (b + 1) * self.block) for b in some])
-            hit = np.flatnonzero(got > max(0, scores[-1] - SLACK if len(scores) == k else 0))
-            rows, scores = np.concatenate((rows, at[hit])), np.concatenate((scores, got[hit]))
+            some = todo[i : i + step]
+            least = scores[-1] - SLACK if len(scores) == k else 0
+            some = some[bound[some] >= least]
+            blocks = flat.take((some[:, None] * self.dense.shape[1] + own).ravel(), 0).reshape(len(some), len(own), self.block)
+            got = (sure[some] + single @ blocks).ravel()
+            hit = np.flatnonzero(got > max(least, 0))
+            rows = np.concatenate((rows, some[hit // self.block] * self.block + hit % self.block))
+            scores = np.concatenate((scores, got[hit]))
             best = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[best], scores[best]
-            i, step = i + step, 2 * step
+            i, step = i + step, 4 * step
         return rows, scores
 
 
