@@ -130,18 +130,19 @@ def groups(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> Dat
 
 
 def keep_one(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
-    """docs with one row left of each group: that of the smallest doc_id, of equal doc_ids the least row.
+    """docs with one row left of each group: that of the smallest doc_id, of equal doc_ids one text's
+    (the least hash's), of equal texts the least row.
 
     Rows without a doc_id can't be told apart by it and all stay. All columns stay, whatever their names. No rows give
     no rows.
     """
     cols = docs.columns
-    kept, of, copies, row = (fresh(n, docs) for n in ("_kept", "_of", "_copies", "_row"))
+    kept, of, row = (fresh(n, docs) for n in ("_kept", "_of", "_row"))
     place = groups(docs, most, size, seed).filter(F.col("doc_id") == F.col("component_id"))
-    chosen = place.groupBy(F.col("doc_id").alias(kept)).agg(F.collect_set("text_hash").alias(of), F.count(F.lit(1)).alias(copies))
-    chosen = staged(chosen, "simhash-kept")
-    same = (docs["doc_id"].cast("long") == chosen[kept]) & F.array_contains(chosen[of], F.xxhash64(docs["text"].cast("string")))
+    chosen = place.groupBy(F.col("doc_id").alias(kept), "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    chosen = staged(chosen.groupBy(kept).agg(F.min(F.struct("text_hash", "copies")).alias(of)), "simhash-kept")
+    same = (docs["doc_id"].cast("long") == chosen[kept]) & (F.xxhash64(docs["text"].cast("string")) == chosen[of]["text_hash"])
     mine = docs.join(chosen, same)
-    once = mine.filter(F.col(copies) == 1).select(*[docs[c] for c in cols])
-    again = mine.filter(F.col(copies) > 1).groupBy(kept).agg(F.min(F.struct(*[docs[c] for c in cols])).alias(row)).select(f"{row}.*")
+    once = mine.filter(F.col(of)["copies"] == 1).select(*[docs[c] for c in cols])
+    again = mine.filter(F.col(of)["copies"] > 1).groupBy(kept).agg(F.min(F.struct(*[docs[c] for c in cols])).alias(row)).select(f"{row}.*")
     return once.unionByName(again).unionByName(docs.filter(docs["doc_id"].isNull()))
