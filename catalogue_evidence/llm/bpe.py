@@ -7,7 +7,9 @@ the merge table until no pair of a word can merge, and an ordered aggregation ov
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import duckdb
@@ -38,11 +40,40 @@ WITH RECURSIVE step(word, tokens) AS (
 )
 SELECT word, arg_min(tokens, len(tokens)) AS tokens FROM step GROUP BY word ORDER BY word
 """
+#: The same for long words, one row a token: a round merges all of a word's pairs of lowest rank, but of overlapping ones
+#: every other, and of a word where a merge would bring a pair of lower rank the leftmost alone. Rows carry their place;
+#: a merged pair's second place becomes null, and the state holds a row for each place, whatever the number of rounds.
+ENCODE_LONG = """
+WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
+  SELECT word, pos, token FROM letters
+  UNION
+  SELECT word, unnest([pos, next_pos]), unnest([merged, NULL]) FROM (
+    SELECT *, count(lower) OVER (PARTITION BY word) = 0 OR pos = min(pos) OVER (PARTITION BY word) AS allowed FROM (
+      SELECT c.*, (SELECT min(m.merged) FROM merges m WHERE m.merged < c.merged AND (
+        m.lhs = c.merged AND m.rhs IN (c.after, c.lhs, c.merged) OR m.rhs = c.merged AND m.lhs IN (c.before, c.rhs, c.merged))) AS lower
+      FROM (
+        SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY pos) AS place FROM (
+          SELECT *, sum(fresh) OVER (PARTITION BY word ORDER BY pos) AS run FROM (
+            SELECT *, CASE WHEN lag(next_pos) OVER (PARTITION BY word ORDER BY pos) = pos THEN 0 ELSE 1 END AS fresh FROM (
+              SELECT s.*, m.merged, min(m.merged) OVER (PARTITION BY s.word) AS best FROM (
+                SELECT word, pos, token AS lhs, lead(token) OVER w AS rhs, lead(pos) OVER w AS next_pos, lag(token) OVER w AS before, lead(token, 2) OVER w AS after
+                FROM recurring.state WHERE token IS NOT NULL WINDOW w AS (PARTITION BY word ORDER BY pos)
+              ) s JOIN merges m ON m.lhs = s.lhs AND m.rhs = s.rhs
+            ) WHERE merged = best
+          )
+        )
+      ) c WHERE place % 2 = 1
+    )
+  ) WHERE allowed
+)
+SELECT word, list(token ORDER BY pos) AS tokens FROM state WHERE token IS NOT NULL GROUP BY word ORDER BY word
+"""
 DECODE = """
 SELECT t.doc, list(v.bytes ORDER BY t.pos) AS parts
 FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
 """
 WORDS = 20_000  # in one query
+LONG = 64  # bytes from which on a word is cut where no token can lie, and what is still longer is encoded by ENCODE_LONG
 ODD = 100_000  # awkward chunks known before those that the cache has lost are dropped
 
 
@@ -68,7 +99,12 @@ class Codec:
         for i in ranks.values():
             self.decimal[i] = b"%d" % i
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "256MB"})
+        self.inside = np.zeros(1 << 16, bool)  # pairs of bytes that some token holds
+        for t in ranks:
+            self.inside[[a << 8 | b for a, b in zip(t, t[1:])]] = True
+        # What doesn't fit in memory goes to the task's own temporary folder.
+        config = {"threads": 1, "memory_limit": "256MB", "temp_directory": tempfile.mkdtemp(prefix="duckdb-")}
+        self.db = duckdb.connect(":memory:", config=config)
         self._table("merges", dict(zip(("lhs", "rhs", "merged"), (pa.array(c, pa.int32()) for c in zip(*merges)), strict=True)))
         self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})
         self.chunks = Recent(self.encode_chunks)
@@ -85,26 +121,39 @@ class Codec:
         self.db.unregister(name)
         return out
 
+    def pieces_of(self, raw: bytes) -> list[bytes]:
+        """A long word cut between bytes that no token holds side by side, so that no merge can reach across."""
+        b = np.frombuffer(raw, np.uint8)
+        cuts = (np.flatnonzero(~self.inside[b[:-1].astype(np.uint16) << 8 | b[1:]]) + 1).tolist()
+        return [raw[i:j] for i, j in zip([0, *cuts], [*cuts, len(raw)])]
+
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Token ids as 32-bit integers of each word; a word that is a token as a whole is that token."""
-        out: dict[str, bytes] = {}
-        rest: list[str] = []
-        raw: list[bytes] = []
-        for w in words:
-            b = w.encode()
+        raw = {w: w.encode() for w in words}
+        parts = {w: self.pieces_of(b) if len(b) >= LONG and b not in self.ranks else [b] for w, b in raw.items()}
+        known: dict[bytes, bytes] = {}
+        rest: list[bytes] = []
+        for b in {b for bs in parts.values() for b in bs}:
             if (r := self.ranks.get(b)) is not None:
-                out[w] = np.int32(r).tobytes()
+                known[b] = np.int32(r).tobytes()
             else:
-                rest.append(w), raw.append(b)
-        for i in range(0, len(rest), WORDS):
-            some = raw[i : i + WORDS]
+                rest.append(b)
+        rest.sort(key=len)
+        n = bisect.bisect_left(rest, LONG, key=len)
+        for i in range(0, n, WORDS):
+            some = rest[i : min(i + WORDS, n)]
             ends = np.cumsum([0, *map(len, some)], dtype=np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(self.byte[np.frombuffer(b"".join(some), np.uint8)]))
-            made = self._asked(ENCODE, "words", {"word": pa.array(range(len(some)), pa.int32()), "tokens": tokens})
-            got = made.column("tokens").combine_chunks()
-            flat, at = got.flatten().to_numpy(), got.offsets.to_numpy() - got.offsets[0].as_py()
-            out.update((w, flat[at[k] : at[k + 1]].tobytes()) for k, w in enumerate(rest[i : i + WORDS]))
-        return out
+            known.update(zip(some, self._tokens(ENCODE, "words", {"word": pa.array(range(len(some)), pa.int32()), "tokens": tokens})))
+        for b in rest[n:]:  # one by one: each may be as long as a text
+            letters = {"word": pa.array(np.zeros(len(b), np.int32)), "pos": pa.array(range(len(b)), pa.int32()), "token": pa.array(self.byte[np.frombuffer(b, np.uint8)])}
+            known[b] = self._tokens(ENCODE_LONG, "letters", letters)[0]
+        return {w: b"".join([known[b] for b in bs]) for w, bs in parts.items()}
+
+    def _tokens(self, query: str, name: str, columns: dict[str, pa.Array]) -> list[bytes]:
+        got = self._asked(query, name, columns).column("tokens").combine_chunks()
+        flat, at = got.flatten().to_numpy(), got.offsets.to_numpy() - got.offsets[0].as_py()
+        return [flat[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Chunks begin and end where pieces of the pattern do, so that each can be encoded for itself."""

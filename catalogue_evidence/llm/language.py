@@ -8,11 +8,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 14  # of hashed byte trigrams
 SAMPLE = 2_048  # documents that the classifiers learn from, the same number of each language at most
+FEWEST = 8  # documents of each language, however many languages there are
 NONE = "und"
 # Language families by ISO 639-1 code. Any other language is a family of its own.
 FAMILIES = {
@@ -110,23 +111,20 @@ class Model:
 
 
 def sampled(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> DataFrame:
-    """(text, lang): at most sample rows of docs where learn holds, of each language those of the least hash of doc_id."""
+    """(text, lang) of rows of docs where learn holds: of each language, as many of the least hashes of doc_id as `sample`
+    has room for, FEWEST at least. Equal rows count once. Only ids and hashes are ranked, and Spark cuts ranks early."""
     rows = docs.filter(F.coalesce(learn, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    langs = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample // 8).collect())
-    if not langs:
-        return rows.select("text", "lang").limit(0)
-    most = max(1, sample // len(langs))
-    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("at"))
-    chosen = [ids.filter(F.col("lang") == lang).orderBy("at", "doc_id").limit(most) for lang in langs]
-    picked = chosen[0]
-    for c in chosen[1:]:
-        picked = picked.unionByName(c)
-    picked = F.broadcast(picked.select("doc_id", "lang").distinct())  # at most sample rows
-    return rows.join(picked, ["doc_id", "lang"]).select("text", "lang").limit(sample)
+    rows = rows.select(F.col("doc_id").alias("doc_id"), F.col("lang").alias("lang"), F.col("text").alias("text"), F.xxhash64("text").alias("hash"))
+    langs = rows.select("lang").distinct().count()
+    most = max(FEWEST, sample // max(1, langs))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "hash")
+    picked = rows.select("doc_id", "lang", "hash").distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    picked = F.broadcast(picked.select("doc_id", "lang", "hash"))  # `most` rows a language at most
+    return rows.join(picked, ["doc_id", "lang", "hash"]).groupBy("doc_id", "lang", "hash").agg(F.min("text").alias("text")).select("text", "lang")
 
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """A model of text and non-null lang of at most sample rows of docs where learn holds; only their trigram counts,
+    """A model of text and non-null lang of at most sample rows of docs where learn holds, or somewhat more of very many languages; only their trigram counts,
     as sparse arrays, reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +173,9 @@ def held_out(of: int, which: int) -> Column:
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score): predictions of all rows by what the rows that aren't held out teach."""
+    """(doc_id, held_out, lang_pred, score): predictions of all rows by what the rows that aren't held out teach.
+
+    Rows stay as often as they come, null doc_ids too; null texts and those without a letter are und with score 0. No
+    rows give no rows."""
     model = fit(docs, ~held_out(3, 1), sample)
     return predict(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")

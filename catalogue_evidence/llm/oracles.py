@@ -23,10 +23,13 @@ def op4() -> str:
 
 
 def _canonical(x: str) -> str:
-    t = f"regexp_replace(regexp_replace(lower({x}), {_q(c.COPYRIGHT)}, '', 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    t = f"regexp_replace(lower({x}), {_q(c.STATEMENT)}, '\\1', 'g')"
+    for gone in (c.RESERVED, c.COPYRIGHT):
+        t = f"regexp_replace({t}, {_q(gone)}, '', 'g')"
+    t = f"regexp_replace(' ' || replace({t}, chr(10), ' ' || chr(10) || ' ') || ' ', '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g')"
     for was, now in c.EQUIVALENT:
-        t = f"replace({t}, {_q(was)}, {_q(now)})"
-    return f"list_filter(list_transform(string_split({t}, chr(10)), lambda l: trim(l)), lambda l: l <> '')"
+        t = f"replace({t}, {_q(f' {was.replace(chr(32), chr(32) * 2)} ')}, {_q(f' {now.replace(chr(32), chr(32) * 2)} ')})"
+    return f"list_filter(list_transform(string_split({t}, chr(10)), lambda l: trim(replace(l, '  ', ' '))), lambda l: l <> '')"
 
 
 def op8() -> str:

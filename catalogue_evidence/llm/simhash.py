@@ -17,6 +17,7 @@ from catalogue_evidence.llm.common import components, fresh, staged
 
 PIECE = 1 << 16  # shingles hashed at a time
 LOW = 0xFFFFFFFF
+BUCKET = 1_000  # distinct fingerprints with one half, beyond which it is split
 
 
 def shingle_hashes(text: bytes, size: int = 3, seed: int = 42) -> Iterator[np.ndarray]:
@@ -87,21 +88,44 @@ def _ball(key: Column) -> Column:
     return F.concat(F.array(key), F.when(F.bit_count(key.bitwiseAND(F.lit(LOW))) % 2 == 0, flips).otherwise(F.array().cast("array<bigint>")))
 
 
-def links(fps: DataFrame, most: int = 3) -> DataFrame:
+def _quarters(fp: Column, key: Column) -> list[Column]:
+    """Both halves of the half that key isn't, as keys of 17 bits: which one, and its value."""
+    other = F.when(key > LOW, F.shiftrightunsigned(fp, 32)).otherwise(fp.bitwiseAND(F.lit(LOW)))
+    return [F.shiftrightunsigned(other, 16), other.bitwiseAND(F.lit(0xFFFF)) + F.lit(0x10000)]
+
+
+def _around(quarter: Column) -> Column:
+    return F.transform(F.array(*[F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(16)]]), lambda flip: quarter.bitwiseXOR(flip))
+
+
+def links(fps: DataFrame, most: int = 3, bucket: int = BUCKET) -> DataFrame:
     """(a, b): distinct fingerprints, a < b, that differ in at most `most` (0 to 3) bits; found by multi-index hashing.
 
     Two fingerprints that differ in 3 bits or fewer differ in at most one bit in one of their 32-bit halves. Each half
     is a hash table; a fingerprint looks up the ball of radius one round each of its halves, and whole distances of
-    what it meets are then checked.
+    what it meets are then checked. A half of more than `bucket` fingerprints is split once more, by the quarters of
+    the other half, in the same way.
     """
     if not 0 <= most <= 3:
         raise ValueError("two halves with balls of one bit serve distances up to 3")
     fp = F.col("fp")
+    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)
+    pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     stored = fps.select(fp.alias("b"), F.explode(F.array(*_segments(fp))).alias("key"))
     asked = fps.select(fp.alias("a"), F.explode(F.concat(*[_ball(k) for k in _segments(fp)])).alias("key"))
-    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)
-    met = asked.join(stored, (asked["key"] == stored["key"]) & near)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    large = staged(stored.groupBy(F.col("key").alias("of")).count().filter(F.col("count") > bucket).select("of"), "simhash-large")
+    if large.isEmpty():
+        met = asked.join(stored, (asked["key"] == stored["key"]) & near)
+        return met.select(*pair).distinct()
+    small = lambda df: df.join(large, df["key"] == large["of"], "left_anti")
+    in_large = lambda df: df.join(large, df["key"] == large["of"], "left_semi")
+    some, many = small(stored), in_large(stored)
+    met = asked.join(some, (asked["key"] == some["key"]) & near).select(*pair)
+    # Of a bucket's members the other halves, too, lie within three bits, so one of their own halves lies within one.
+    many = many.select("b", "key", F.explode(F.array(*_quarters(F.col("b"), F.col("key")))).alias("quarter"))
+    wanted = in_large(asked).select("a", "key", F.explode(F.concat(*[_around(q) for q in _quarters(F.col("a"), F.col("key"))])).alias("quarter"))
+    dense = wanted.join(many, (wanted["key"] == many["key"]) & (wanted["quarter"] == many["quarter"]) & near).select(*pair)
+    return met.unionByName(dense).distinct()
 
 
 def groups(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import time
 import uuid
 import zlib
 
@@ -72,6 +73,14 @@ def test_links_meet_every_pair_within_three_bits(spark):
     got = {(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(c,) for c in signed], "fp long")).collect()}
     want = {(min(a, b), max(a, b)) for a in signed for b in signed if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
     assert got == want and len(want) > 100
+    # Halves of many fingerprints are split by the other half's quarters, with the same links.
+    half = int(rng.integers(0, 2**31))
+    more = sorted({(half << 32 | int(x)) ^ (1 << int(b)) for x in rng.integers(0, 2**12, 150) << 9 for b in rng.choice(64, 3, replace=False)})
+    more = [c - 2**64 if c >= 2**63 else c for c in [*codes, *more]]
+    got = {(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(c,) for c in set(more)], "fp long"), 3, 20).collect()}
+    signed = sorted(set(c - 2**64 if c >= 2**63 else c for c in more))
+    want = {(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
+    assert got == want and len(want) > 1000
 
 
 def test_components_close_long_chains(spark):
@@ -334,18 +343,31 @@ def test_language(spark, docs):
     assert {r["lang_pred"] for r in odd.collect() if r["doc_id"] in (9, 7)} == {"und"} and odd.count() == len(ODD)
     assert language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).filter("lang_pred = 'und'").count() == len(ODD)
     assert language.identify(docs.withColumn("lang", F.lit("en")).limit(0)).count() == 0
+    many = spark.createDataFrame([(i, f"text {i}", f"x{i % 400}") for i in range(2000)] * 2, "doc_id long, text string, lang string")
+    some = language.sampled(many, F.lit(True), 1000)
+    assert some.count() == 2000 and some.select("lang").distinct().count() == 400  # no language is left out, equal rows count once
+    assert language.sampled(many.withColumn("lang", F.lit("en")), F.lit(True), 100).count() == 100
 
 
-def test_licences(spark, docs):
+def test_licences(spark, docs, tmp_path):
     rows = [
         (1, "Copyright (c) 2020 A. Person\n\n" + licences.MIT.replace("sublicense", "sub-license").lower(), "", 0, 0), (2, "text\n  RELEASED under the MIT Licence!\nmore\nreleased under the MIT license", "", 0, 0),
         (3, "Licensed under CC BY-NC 4.0.", "", 0, 0), (4, "we Released under the MIT License. today", "", 0, 0), (5, None, "", 0, 0), (6, "", "", 0, 0), (None, licences.APACHE.replace("http:", "https:"), "", 0, 0),
+        (7, "Copyright (c) 2021 Some One. All rights reserved. " + (licences.BSD_3 + licences.BSD_END).replace("\n", " "), "", 0, 0), (8, "(c) 1999 A. Person Released under the MIT licence", "", 0, 0), (9, "Copyright 2001 Only Names Here", "", 0, 0),
+        (10, "/*\n * " + (licences.BSD_2 + licences.BSD_END).replace("\n", "\n * ") + "\n */", "", 0, 0), (11, "licence licence sublicence", "", 0, 0),
     ]
     got = {(r["doc_id"], r["license_id"], r["kind"], r["scope"]): r["n"] for r in licences.scan(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == {
         (1, "MIT", "licence", "text"): 1, (2, "MIT", "notice", "line"): 2, (3, "CC-BY-NC-4.0", "notice", "line"): 1, (3, "CC-BY-NC-4.0", "notice", "text"): 1, (None, "Apache-2.0", "licence", "text"): 1,
+        (7, "BSD-3-Clause", "licence", "text"): 1, (7, "BSD-3-Clause", "licence", "line"): 1, (8, "MIT", "notice", "text"): 1, (8, "MIT", "notice", "line"): 1, (10, "BSD-2-Clause", "licence", "text"): 1,
     }
     assert licences.scan(docs).count() == 0 and licences.scan(docs.limit(0)).count() == 0
+    words = spark.createDataFrame([("licence licence sublicence x",)], "t string").select(licences.canonical_text(F.col("t"))).first()[0]
+    assert words == "license license sublicence x"  # whole words only
+    (tmp_path / "GPL-9.0.txt").write_text("A text of\nterms, v2.0.")
+    known = licences.read_known(spark, f"file://{tmp_path}")
+    assert known == [("GPL-9.0", "licence", "A text of\nterms, v2.0.")]
+    assert [tuple(r)[:3] for r in licences.scan(spark.createDataFrame([(1, "a TEXT of terms version 2.0")], "doc_id long, text string"), known).filter("scope = 'text'").collect()] == [(1, "GPL-9.0", "licence")]
 
 
 def test_sharding(spark, docs):
@@ -536,3 +558,17 @@ def test_columns_with_the_names_that_operators_use(spark, clashing):
     assert all(s.columns == clashing.columns for s in stages)
     assert stages[2].count() == 4 and stages[3].count() == n and stages[1].filter("doc_id is null").count() == 1
     assert sorted((r["doc_id"] or 0) for r in stages[1].collect()) == [0, 1, 2, 3]
+
+
+def test_long_words_are_encoded_like_short_ones():
+    plain = tiktoken.Encoding("plain", pat_str=queries.PATTERN, mergeable_ranks=bpe.read_ranks(queries.BYTE_RANKS), special_tokens={})
+    own = bpe.codec(queries.BYTE_RANKS, queries.PATTERN)
+    rng = random.Random(1)
+    letters = lambda k: "".join(rng.choices(string.ascii_lowercase, k=k))
+    cjk = lambda k: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(k))
+    words = ["".join(rng.choices("ACGT", k=1500)), "a" * 3001, "ab" * 1500, "aA" * 40 + "a" * 99, letters(5000), "".join(rng.choices(["th", "er", "ing", "on"], k=900)), cjk(2000), "=" * 777 + "-" * 333, "中文字" * 300]
+    words += ["".join(rng.choices(["a", "b", "the", "ing", "=", "\xe9"], k=rng.randint(60, 200))) for _ in range(60)]
+    assert [x.tolist() for x in own.encode(words)] == [plain.encode_ordinary(w) for w in words]
+    began = time.perf_counter()
+    ids = own.encode([letters(200_000), cjk(200_000)])
+    assert time.perf_counter() - began < 60 and own.decode(ids[:1])[0].isalpha() and min(map(len, ids)) > 100_000
