@@ -11,7 +11,7 @@ from catalogue_evidence.functions.text import norm_text, significant_tokens
 KEY = "immutableKey"
 #: A candidate's columns beside the row's key and its place of discovery.
 CANDIDATE = ["url", "page_url", "origin", "alt", "page_title", "structured_product_name", "structured_brand"]
-PAGES, SEARCH_PAGES, RENDERED_PAGES = 3, 8, 6
+PAGES, SEARCH_PAGES, RENDERED_PAGES, RENDERED_VISITS = 3, 8, 6, 4
 
 
 def is_true(c: str) -> Column:
@@ -22,6 +22,12 @@ def text(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def filled(c: str, key: str = KEY) -> Column:
+    """A column to join by: blank and null values become the row's own key, which nothing matches, so that rows without a
+    value don't all meet in one task."""
+    return F.when(text(c) == "", F.concat(F.lit("\0"), text(key))).otherwise(F.col(c))
+
+
 def official_domains(catalogue: DataFrame, domain_map: DataFrame) -> DataFrame:
     """catalogue with domains: those of the row's brand, and the row's own on an official manufacturer's page."""
     pairs = domain_map.select(norm_text(F.col("brand")).alias("_brand"), F.lower("officialDomain").alias("d"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions.text import identity_norm, identity_plain
-from catalogue_evidence.operators.assemble import text
+from catalogue_evidence.operators.assemble import filled, text
 
 CONFLICT = "STAGED_DUPLICATE_CONFLICT_NEEDS_REVIEW"
 REASON = "Same or perceptually identical bytes are assigned to incompatible product/package identities."
@@ -36,7 +36,7 @@ def mark_conflicts(results: DataFrame, kinds: tuple[str, ...] = tuple(KINDS)) ->
     out = results
     for kind in kinds:
         d = conflict_digests(results, kind).select(F.col("digest").alias(f"_{kind}"))
-        out = out.join(d, out[KINDS[kind]] == d[f"_{kind}"], "left")
+        out = out.join(d, filled(KINDS[kind]) == d[f"_{kind}"], "left")
     hit = F.coalesce(*[F.col(f"_{k}") for k in kinds]).isNotNull() & text("status").startswith("STAGED")
     for name, value in (("status", F.lit(CONFLICT)), ("autoApprovalEligible", F.lit(False)), ("reason", F.lit(REASON))):
         kind = results.schema[name].dataType

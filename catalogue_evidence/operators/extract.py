@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions import urls
@@ -139,8 +139,10 @@ def found_on(page: Page, base: str) -> list[tuple[str, str, str, str, str]]:
 
 
 def _balanced(pages: DataFrame) -> DataFrame:
-    """Pages dealt out by number, since their sizes vary much; each (page_url, html) once."""
-    return pages.select(F.col("page_url").cast("string"), F.col("html").cast("string")).dropDuplicates()
+    """Pages dealt out by URL and content, each (page_url, html) once; repeats are told by hash and length."""
+    each = pages.select(F.col("page_url").cast("string"), F.col("html").cast("string"))
+    known = each.select("*", F.xxhash64("html").alias("_hash"), F.length("html").alias("_n"))
+    return known.dropDuplicates(["page_url", "_hash", "_n"]).drop("_hash", "_n")
 
 
 def page_text(pages: DataFrame) -> DataFrame:
@@ -217,8 +219,25 @@ def extract_store_json(payloads: DataFrame) -> DataFrame:
     ).filter(F.coalesce("url", F.lit("")) != "")
 
 
-def store_slug(page_url):
-    return F.regexp_extract(page_url, r"^https?://[^/]+[^?#]*?/products/([^/?#]+)", 1)
+def store_slug(page_url: Column) -> Column:
+    """The store and product that a page's or a payload's URL names, empty without one."""
+    store, slug = (F.regexp_extract(page_url, r"^(https?://[^/]+)[^?#]*?/products/([^/?#]+)", k) for k in (1, 2))
+    return F.when(slug != "", F.concat_ws(" ", F.lower(store), F.regexp_replace(slug, r"\.js(on)?$", ""))).otherwise("")
+
+
+def payloads_of_pages(pages: DataFrame, payloads: DataFrame) -> DataFrame:
+    """(page_url, json): the payloads of each page's store and product, whatever URL of it they were fetched from."""
+    own = payloads.select(store_slug(F.col("page_url")).alias("_slug"), "json").filter("_slug <> ''").distinct()
+    asked = pages.select("page_url").distinct().withColumn("_asked", store_slug(F.col("page_url"))).filter("_asked <> ''")
+    return asked.join(own, F.col("_asked") == F.col("_slug")).select("page_url", "json")
+
+
+def image_responses(pages: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Rows of FOUND for pages that turn out to be an image themselves."""
+    images = fetched.filter(F.lower(F.coalesce("content_type", F.lit(""))).startswith("image/")).select(F.col("url").alias("_url"), "final_url")
+    both = pages.select("page_url").distinct().join(images, F.col("page_url") == F.col("_url"))
+    blank = [F.lit("").alias(c) for c in ("alt", "page_title", "structured_product_name", "structured_brand")]
+    return both.select("page_url", F.lit(0).cast("long").alias("disc_ord"), F.col("final_url").alias("url"), F.lit("direct-image-response").alias("origin"), *blank)
 
 
 def dedup_page_candidates(candidates: DataFrame) -> DataFrame:

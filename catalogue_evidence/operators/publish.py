@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions.text import append_note, image_src, immutable_key, is_truthy
-from catalogue_evidence.operators.assemble import KEY, text
+from catalogue_evidence.operators.assemble import KEY, filled, text
 from catalogue_evidence.operators.conflicts import hash_identity_failures
 from catalogue_evidence.operators.review import APPROVED, PENDING, REVIEWED, decision_counts
 
@@ -37,7 +37,7 @@ def validate_rows(catalogue: DataFrame, results: DataFrame, review: DataFrame, i
     s = images.select(F.col("path").alias("_s"), F.col("error").alias("_s_error"), F.col("sha256").alias("jpgSha256"))
     f = images.select(F.col("path").alias("_f"), F.col("error").alias("_f_error"))
     out = catalogue.join(r, F.col(KEY) == F.col("_r"), "left").join(v, F.col(KEY) == F.col("_v"), "left")
-    out = out.join(s, F.col("stagingPath") == F.col("_s"), "left").join(f, F.col("targetJpgPath") == F.col("_f"), "left")
+    out = out.join(s, filled("stagingPath") == F.col("_s"), "left").join(f, filled("targetJpgPath") == F.col("_f"), "left")
     missing = F.array_join(F.array_compact(F.array(*[F.when(~is_truthy(F.col(c)), F.lit(m)) for c, m in ATTESTATIONS.items()])), "; ")
     differ = [F.when(F.trim(text(c)) != F.trim(text(x)), F.lit(f"{c} mismatch")) for c, x in REVIEWED.items()]
     mismatch = F.array_join(F.array_compact(F.array(*differ)), "; ")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,31 +13,56 @@ from catalogue_evidence.operators.assemble import KEY
 
 @dataclass
 class Inputs:
-    """What other systems have fetched, rendered and verified, as tables."""
+    """What other systems have fetched, rendered and verified, as tables; those of searches may be left out."""
 
     catalogue: DataFrame
     domain_map: DataFrame
     pages: DataFrame  # (page_url, html)
-    payloads: DataFrame  # (page_url, json)
+    payloads: DataFrame  # (page_url, json), by a product page's or the payload's own URL
     fetched: DataFrame
     overrides: DataFrame
+    searches: DataFrame | None = None  # (immutableKey, rank, href, title)
+    rendered_searches: DataFrame | None = None  # the same, of a rendered search
+    rendered: DataFrame | None = None  # (page_url, disc_ord, url, origin, alt, page_title, w, h)
+
+
+def _candidates(inputs: Inputs, wanted: DataFrame) -> DataFrame:
+    """Candidates of rows' pages (immutableKey, page_ord, page_url): pages are parsed once for all rows that name them."""
+    asked = wanted.select("page_url").distinct()
+    needed = inputs.pages.join(asked, "page_url", "left_semi")
+    payloads = extract.extract_store_json(extract.payloads_of_pages(asked, inputs.payloads))
+    found = extract.dedup_page_candidates(extract.extract_candidates(needed).unionByName(payloads))
+    found = found.unionByName(extract.image_responses(asked, inputs.fetched))
+    return assemble.join_page_candidates(wanted, found.select("*", F.col("page_url").alias("visited")))
 
 
 def acquire(inputs: Inputs, rejected: DataFrame) -> DataFrame:
-    """One result a catalogue row, conflicts marked."""
+    """One result a catalogue row, conflicts marked. Search results are visited for rows that need them."""
     rows = assemble.official_domains(inputs.catalogue, inputs.domain_map)
-    wanted = assemble.pages_for_row(rows)
-    needed = inputs.pages.join(wanted.select("page_url").distinct(), "page_url", "left_semi")
-    found = extract.dedup_page_candidates(extract.extract_candidates(needed).unionByName(extract.extract_store_json(inputs.payloads)))
-    on_pages = found.select("*", F.col("page_url").alias("visited"))
-    candidates = assemble.assemble_candidates(
-        assemble.override_candidates(rows, inputs.overrides), assemble.direct_candidates(rows), assemble.join_page_candidates(wanted, on_pages)
-    )
-    ranked = scoring.rank_candidates(scoring.candidate_score(candidates, rows))
+    own = [
+        assemble.override_candidates(rows, inputs.overrides), assemble.direct_candidates(rows), _candidates(inputs, assemble.pages_for_row(rows)),
+    ]
+    if inputs.searches is not None:
+        have = own[0].select(KEY).unionByName(own[1].select(KEY)).unionByName(own[2].select(KEY))
+        lacking = assemble.needs_search(rows, have)
+        own.append(_candidates(inputs, assemble.rank_search_results(inputs.searches, lacking)))
+    ranked = scoring.rank_candidates(scoring.candidate_score(assemble.assemble_candidates(*own), rows))
     judged = scoring.judge(ranked, rows, inputs.fetched, rejected, inputs.overrides)
     return conflicts.mark_conflicts(scoring.select_best(judged, rows))
 
 
+def proposed(inputs: Inputs, results: DataFrame) -> DataFrame:
+    """The overrides with those that rendered pages propose for rows still without a staged image."""
+    if inputs.rendered is None or inputs.rendered_searches is None:
+        return inputs.overrides
+    rows = assemble.official_domains(inputs.catalogue, inputs.domain_map)
+    wanted = assemble.rank_search_results(inputs.rendered_searches, rows, rendered=True).filter(F.col("page_ord") <= assemble.RENDERED_VISITS)
+    items = extract.rendered_candidates(inputs.rendered).withColumn("visited", F.col("page_url"))
+    items = items.select("*", *[F.lit("").alias(c) for c in ("structured_product_name", "structured_brand")])
+    found = assemble.join_page_candidates(wanted, items)
+    return scoring.propose_overrides(scoring.candidate_score(found, rows), results, inputs.overrides)
+
+
 def run_passes(spark: SparkSession, inputs: Inputs, verify, rejected: DataFrame, folder: str, model: str, now: str, passes: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(results, review, rejected) after up to so many passes of acquisition, verification and retries.
 
@@ -49,6 +74,8 @@ def run_passes(spark: SparkSession, inputs: Inputs, verify, rejected: DataFrame,
     for n in range(passes):
         at = f"{folder}/pass{n}"
         stored = lambda df, name, at=at: (df.write.mode("overwrite").parquet(f"{at}/{name}"), spark.read.parquet(f"{at}/{name}"))[1]
+        if last is not None:
+            inputs = replace(inputs, overrides=stored(proposed(inputs, last), "overrides"))
         results = acquire(inputs, rejected)
         if last is not None:  # what is approved stays as it is
             done = sheet.filter(f"manualVisualDecision = '{review.APPROVED}'").select(KEY)
@@ -73,3 +100,12 @@ def gate(inputs: Inputs, results: DataFrame, sheet: DataFrame, images: DataFrame
     gated = publish.validate_rows(inputs.catalogue, results, sheet, images)
     approved = publish.approved_catalogue(gated)
     return approved, publish.rebuild_regional(source, approved), publish.validation_summary(gated, source, expected)
+
+
+def finish(inputs: Inputs, results: DataFrame, sheet: DataFrame, images: DataFrame, source: DataFrame, expected: int, per_page: int = 100) -> dict[str, DataFrame]:
+    """What follows the passes: the queue of what people must still decide, the gate's parts, and the status."""
+    approved, regional, summary = gate(inputs, results, sheet, images, source, expected)
+    return {
+        "queue": publish.review_queue(inputs.catalogue, results, sheet, per_page), "approved": approved, "regional": regional, "summary": summary,
+        "status": publish.status_report(inputs.catalogue, results, sheet, images),
+    }

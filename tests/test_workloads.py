@@ -1,3 +1,4 @@
+import hashlib
 import json
 import struct
 import tempfile
@@ -76,6 +77,40 @@ def test_second_pass_leaves_the_rejected_candidate(spark):
     assert sheet.first()["manualVisualDecision"] == review.APPROVED and [r["resolvedImageUrl"] for r in rejected.collect()] == [seen[0]]
 
 
+def test_searches_payloads_and_rendered_pages_find_more(spark):
+    shared = ("", "", "", "", "false", "false")
+    cat = rows(
+        spark, CATALOGUE, ("1", "ca", "s", "t", "0", "Test Brand", "Exact Product", "60 caps", "", "", *shared, "a/s.jpg"),
+        ("2", "ca", "p", "t", "0", "Test Brand", "Exact Product", "60 caps", "", "https://Store.com/products/exact?x=1", *shared, "a/p.jpg"),
+        ("3", "ca", "i", "t", "0", "Test Brand", "Exact Product", "60 caps", "", "https://x.com/picture", *shared, "a/i.jpg"),
+        ("4", "ca", "r", "t", "0", "Test Brand", "Exact Product", "60 caps", "", "", *shared, "a/r.jpg"),
+    )
+    name = "test-brand-exact-product-60-caps"
+    urls_ = [f"https://x.com/{name}.jpg", f"https://cdn.com/{name}-2.jpg", f"https://x.com/{name}-3.jpg", f"https://r.com/{name}-4.jpg", "https://x.com/picture"]
+    final = {"https://x.com/picture": urls_[2]}
+    fetched = rows(spark, ["url", "final_url", "content_type", "error", "width", "height", "bytes", "sha256", "perceptualHash"], *[(u, final.get(u, u), "image/png", "", "600", "600", "9000", u, u) for u in urls_])
+    inputs = passes.Inputs(
+        cat, rows(spark, ["brand", "officialDomain"], ("Test Brand", "x.com")), rows(spark, ["page_url", "html"], ("https://found.com/p", f'<title>Test Brand Exact Product 60 caps</title><img src="https://x.com/{name}.jpg">')),
+        rows(spark, ["page_url", "json"], ("https://store.com/products/exact.js", json.dumps({"title": "Exact Product 60 caps", "vendor": "Test Brand", "images": [urls_[1]]}))), fetched, rows(spark, OVERRIDES).limit(0),
+        rows(spark, [KEY, "rank int", "href", "title"], ("s", 1, "https://amazon.com/x", "Exact Product"), ("s", 2, "https://found.com/p", "Exact Product"), ("p", 1, "https://found.com/p", "Exact Product")),
+        rows(spark, [KEY, "rank int", "href", "title"], ("r", 1, "https://amazon.com/x", "t"), ("r", 2, "https://r.com/p", "t"), ("s", 1, "https://r.com/p", "t")),
+        rows(spark, ["page_url", "disc_ord long", "url", "origin", "alt", "page_title", "w int", "h int"], ("https://r.com/p", 0, "https://r.com/tiny.jpg", "browser-img", "", "t", 20, 20), ("https://r.com/p", 1, urls_[3], "browser-img", "Test Brand Exact Product 60 caps", "t", 600, 600)),
+    )
+    none = rows(spark, review.REJECTED_FIELDS).limit(0)
+    got = {r[KEY]: r for r in passes.acquire(inputs, none).collect()}
+    assert {k: r["resolvedImageUrl"] for k, r in got.items()} == {"s": urls_[0], "p": urls_[1], "i": urls_[2], "r": None}
+    assert {k: r["origin"] for k, r in got.items() if k != "r"} == {"s": "page-img", "p": "shopify-product-json", "i": "direct-image-response"}
+    more = {r[KEY]: r for r in passes.proposed(inputs, passes.acquire(inputs, none)).collect()}
+    assert set(more) == {"r"} and more["r"]["approvedDirectImageUrl"] == urls_[3] and more["r"]["exactVariantConfirmed"] == "false"
+    verify = lambda staged: staged.selectExpr(KEY, "'OK' as status", f"'{payload('REJECT', 50)}' as payload", "'' as error")
+    results, sheet, _ = passes.run_passes(spark, inputs, verify, none, tempfile.mkdtemp(prefix="spark-"), "m", "now", passes=2)
+    assert {r[KEY] for r in results.filter("status like 'STAGED%'").collect()} >= {"r"}
+    files = rows(spark, ["path", "error", "sha256"]).limit(0)
+    parts = passes.finish(inputs, results, sheet, files, rows(spark, SOURCE, ("ca", "t", "0", "old", "", "", "", "", "")), 4)
+    assert parts["queue"].count() == 4 and not parts["summary"].first()["pass"] and parts["approved"].count() == 0
+    assert parts["status"].first()["catalogueRows"] == 4 and parts["regional"].count() == 1
+
+
 def test_csv_keeps_marks_line_ends_and_blanks(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes('﻿k,v,extra\r\n1,"two\nlines ""quoted""",x\r\n2,,\r\n'.encode())
     got = tables.read_table_csv(spark, str(tmp_path / "a.csv"), ["k", "v", "absent"])
@@ -112,6 +147,8 @@ def test_images(spark, tmp_path):
     assert got["a.png"]["error"] == "" and got["a.png"]["dhash"] == got["b.png"]["dhash"] and len(got["a.png"]["dhash"]) == 16
     assert got["small.png"]["error"].startswith("dimensions too small: 400x100") and got["blank.png"]["error"] == "blank or near-blank image"
     assert got["bad.png"]["error"] == "undecodable image"
+    hashes = {r["path"].rsplit("/", 1)[1]: r for r in images.content_hash(files).collect()}
+    assert hashes["bad.png"]["sha256"] == hashlib.sha256(b"x" * 5000).hexdigest() and hashes["bad.png"]["length"] == 5000
     checks = {r["path"].rsplit("/", 1)[1]: r["error"] for r in images.jpeg_check(files, tables.read_images(spark, f"file://{tmp_path}")).collect()}
     assert checks["bad.png"] == "undecodable" and checks["a.png"] == "format is not JPEG"
 
@@ -134,8 +171,17 @@ def test_streamed_chunks_are_upserted(spark, tmp_path):
     for k in range(3):
         rows(spark, [KEY, "status"], ("a", str(k)), (f"b{k}", "x")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         decisions.stream_chunk_results(spark, f"{tmp_path}/in", f"{KEY} string, status string", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(120)
-    got = {r[KEY]: r["status"] for r in spark.read.parquet(f"{tmp_path}/out/v2").collect()}
+    got = {r[KEY]: r["status"] for r in decisions.current(spark, f"{tmp_path}/out").collect()}
     assert got == {"a": "2", "b0": "x", "b1": "x", "b2": "x"}
+    assert decisions.current(spark, f"{tmp_path}/none") is None and decisions.current(spark, f"{tmp_path}/out", 0) is None
+    # The last row of a key in one batch wins, a batch may run again, and untouched buckets stay where they are.
+    sink = decisions.upsert_into(spark, f"{tmp_path}/own", order="at")
+    first = rows(spark, [KEY, "status", "at int"], ("a", "late", 9), ("a", "early", 1), ("b", "x", 1), ("", "blank", 1), ("c", "y", 2))
+    sink(first, 3)
+    for _ in range(2):
+        sink(rows(spark, [KEY, "status", "at int"], ("b", "z", 1), ("b", "w", 2)), 5)
+    got = {r[KEY]: r["status"] for r in decisions.current(spark, f"{tmp_path}/own").collect()}
+    assert got == {"a": "late", "b": "w", "c": "y"} and len(list((tmp_path / "own/version=5").glob("bucket=*"))) == 1
 
 
 def test_queue_pages_follow_the_catalogue(spark, sf_dir):
