@@ -121,14 +121,15 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     """(query_id, rank, vec_id, score): the k nearest other rows found for each row of vectors where asked holds.
 
     score is the Euclidean distance in double precision, ties go to the smaller vec_id, rank counts from 1. Rows that
-    usable() leaves out neither ask nor answer. So many lists are probed as the sample itself needs; vec_id must be unique among the rest, of repeated rows one is taken.
+    usable() leaves out neither ask nor answer; no rows give no rows. Rows with one vec_id stay rows of their own: each asks
+    and answers, and only a row itself is none of its own answers. So many lists are probed as the sample itself needs.
     The index is fitted on at most `sample` vectors, those of the least hash of vec_id, and holds every vector. A list
     is dealt out in cells of at most about CELL vectors and ASKERS queries, so that no hot list is one task's work. Each
     cell gives its exact k nearest, so answers are the exact ones of the probed lists. All other rows are answers where
     there are fewer than k. Recall is measured in the tests.
     """
-    data = staged(usable(vectors).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
-    some = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+    data = staged(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    some = data.orderBy(F.xxhash64("vec_id"), "vec_id", "row").limit(sample).select("v").collect()
     empty = "query_id long, rank int, vec_id long, score double"
     if not some:
         return data.sparkSession.createDataFrame([], empty)
@@ -142,51 +143,51 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, lists: int | None = N
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, codes = index.encode(_matrix(batch.column(1)))
-            cols = [batch.column(0), batch.column(1), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "v", "list", "code"])
+            cols = [*batch.columns, pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "v", "row", "list", "code"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1))
             near = np.argsort(distances(x, index.centres), 1, kind="stable")[:, :probes]
             take = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(near.ravel(), pa.int32())], names=["query_id", "q", "list"]
-            )
+            cols = [*(c.take(take) for c in batch.columns), pa.array(near.ravel(), pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=["query_id", "q", "asker", "list"])
 
-    coded = staged(data.mapInArrow(encode, "vec_id long, v array<double>, list int, code binary"), "codes")
+    coded = staged(data.mapInArrow(encode, "vec_id long, v array<double>, row long, list int, code binary"), "codes")
     asking = data.filter(F.coalesce(asked, F.lit(False)))
-    probed = staged(asking.select("vec_id", "v").mapInArrow(probe, "query_id long, q array<double>, list int"), "probes")
+    probed = staged(asking.mapInArrow(probe, "query_id long, q array<double>, asker long, list int"), "probes")
     cells = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
     blocks = probed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("blocks"))
     shape = F.broadcast(cells.join(blocks, "list"))  # a row for each list at most
     split = lambda of, parts: F.pmod(F.xxhash64(of), F.col(parts)).cast("int")
     spread = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    left = coded.join(shape, "list").select("list", "vec_id", "v", "code", split("vec_id", "cells").alias("cell"), spread("blocks").alias("block"))
-    right = probed.join(shape, "list").select("list", "query_id", "q", split("query_id", "blocks").alias("block"), spread("cells").alias("cell"))
+    left = coded.join(shape, "list").select("list", "vec_id", "v", "row", "code", split("row", "cells").alias("cell"), spread("blocks").alias("block"))
+    right = probed.join(shape, "list").select("list", "query_id", "q", "asker", split("asker", "blocks").alias("block"), spread("cells").alias("cell"))
 
     def answer(stored: pa.Table, queries: pa.Table) -> pa.Table:
         """The k nearest of a cell for each query: by the triangle inequality a true distance lies within the code's error
         of the approximate one, so none whose lower bound is above the k-th upper bound can be among them."""
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        out = [(*[np.zeros(0, np.int64)] * 3, np.zeros(0))]
         if len(stored) and len(queries):
             stored, queries = stored.combine_chunks(), queries.combine_chunks()
-            ids = stored["vec_id"].to_numpy()
+            ids, rows = stored["vec_id"].to_numpy(), stored["row"].to_numpy()
             x = _matrix(stored["v"].combine_chunks())
             codes = np.frombuffer(b"".join(stored["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
             of = queries["list"][0].as_py()
             error = index.errors(x, of, codes) + 1e-9 * (1 + np.abs(x).max())  # and what sums of doubles may be off by
-            for query, q in zip(queries["query_id"].to_pylist(), _matrix(queries["q"].combine_chunks())):
+            asked_by = zip(queries["asker"].to_pylist(), queries["query_id"].to_pylist(), _matrix(queries["q"].combine_chunks()))
+            for asker, query, q in asked_by:
                 near = np.sqrt(index.near(q, of, codes))
-                near[ids == query] = np.inf
+                near[rows == asker] = np.inf
                 most = np.partition(near + error, k - 1)[k - 1] if len(near) > k else np.inf
-                some = np.flatnonzero((near - error <= most) & (ids != query))
+                some = np.flatnonzero((near - error <= most) & (rows != asker))
                 score = np.sqrt(np.cumsum((x[some] - q) ** 2, 1)[:, -1])
                 best = np.lexsort((ids[some], score))[:k]
-                out.append((np.full(len(best), query), ids[some][best], score[best]))
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
+                out.append((np.full(len(best), asker), np.full(len(best), query), ids[some][best], score[best]))
+        return pa.table(dict(zip(("asker", "query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
 
     keys = ["list", "cell", "block"]
-    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, "asker long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("asker").orderBy("score", "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -308,6 +308,11 @@ def test_nearest_neighbours(spark):
     few = nearest.search(df.filter("vec_id < 4 or vec_id >= 5000"), F.col("vec_id") == 0)
     assert sorted(r["vec_id"] for r in few.collect()) == [1, 2, 3]
     assert nearest.search(df.limit(0), F.col("vec_id") == 0).count() == 0
+    again = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    rows_ = nearest.search(again, F.col("vec_id") == 1).collect()  # repeated ids are rows of their own
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in rows_) == sorted(
+        [(1, 1, 0.0), (2, 1, 1.0), (3, 2, 1.0)] * 2 + [(1, 1, 1.0), (2, 1, 1.0), (3, 2, 2**0.5)]
+    )
 
 
 @pytest.mark.parametrize("size", [100, 1000])
