@@ -55,6 +55,16 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cols.withColumn("disc_ord", F.row_number().over(order).cast("long")).drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 
 
+def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a rendered page shows, an item for each line of its part: repeats, small, bad and odd addresses among them."""
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('https://pages.example.com/', l_partkey) as page_url", "l_orderkey * 100 + l_linenumber * 10 + l_suppkey % 10 as disc_ord",
+        "concat(case l_linenumber % 6 when 0 then 'data:' when 1 then 'https://cdn.example.com/site-logo' else 'https://cdn.example.com/i' end, l_suppkey % 5, '.jpg') as url",
+        "case when l_linenumber % 4 = 0 then 'browser-og' else 'browser-img' end as origin", "l_returnflag as alt", "'' as page_title",
+        "cast(case when l_quantity < 5 then null else l_quantity * 20 end as int) as w", "cast(l_quantity * 9 as int) as h",
+    )
+
+
 def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An overriding URL for one row in 17, half of them confirmed."""
     c = catalogue(spark, sf_dir)

@@ -111,9 +111,10 @@ scored as (select *, (case origin {' '.join(f"when {q(k)} then {v}" for k, v in
 SCORED = scored("cand")
 #: Overrides before the candidates, ranks of all, and what speaks against each of them.
 _o = "concat('https://cdn.example.com/o', n, '.jpg')"
-JUDGED = f"""
+OVERRIDES = f"""
 ovr as (select "immutableKey", n, {_o} url, coalesce(nullif(case when n % 3 = 0 then 'https://brand.example.com/p' else '' end, ''), "sourcePage") page_url,
-  case when n % 5 = 0 then '' else concat_ws(' ', brand, "productName", size) end alt, n % 2 = 0 confirmed from cat where n % 17 = 3),
+  case when n % 5 = 0 then '' else concat_ws(' ', brand, "productName", size) end alt, n % 2 = 0 confirmed from cat where n % 17 = 3)"""
+JUDGED = f"""{OVERRIDES},
 uni as (select "immutableKey", 0 s, 0::bigint o, url, page_url, 'manual-override' origin, alt, '' page_title, '' spn, '' sbr from ovr
   union all select "immutableKey", 1, disc_ord, url, page_url, origin, alt, page_title, spn, sbr from cand),
 firsts as (select * from uni where not {bad('url')} qualify row_number() over (partition by "immutableKey", url order by s, o) = 1),
@@ -222,7 +223,32 @@ def oracle_sql() -> dict[str, str]:
         "d1_page_titles": "select page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) title from pages",
         "d3_d8_candidates": f"""select {img} page_url, unnest([0, 1, 2, 4]::bigint[]) disc_ord, unnest([concat('https://pages.example.com/ld', page_id, '.jpg'), concat('https://pages.example.com/og', page_id % 3, '.png'), concat('https://pages.example.com/p', page_id, '.jpg'), concat('https://cdn.example.com/q', page_id, '.jpg')]) url,
           unnest(['jsonld-product-image', 'og-image', 'woocommerce-gallery', 'woocommerce-gallery-srcset']) origin, unnest([concat('Item ', page_id), '', concat('Item ', page_id), concat('Item ', page_id)]) alt, unnest([concat('B', page_id % 5), '', '', '']) structured_brand from pages""",
-        "d2_products": f"select {img} page_url, concat('Item ', page_id) name, concat('B', page_id % 5) brand from pages",
+        "d2_products": f"""select {img} page_url, 0::bigint ord, concat('Item ', page_id) name, concat('B', page_id % 5) brand, concat('{{"@type": ["Thing", "product"], "name": "Item ', page_id, '", "brand": {{"name": "B', page_id % 5, '"}}, "image": ["/ld', page_id, '.jpg"]}}') json from pages""",
+        "a1_a2_csv": sql(CATALOGUE, f"""select size, {key}, '"' || "productName" || '",' || chr(10) || brand "productName", '' absent, "sourcePage", '' never from cat"""),
+        "a4_json": sql(CATALOGUE, """w as (select lower(trim(brand)) b, lower(trim("productName")) p, lower(trim(size)) s, count(*) n from cat group by all)""",
+          """select (select count(distinct brand) from cat) brands, 0::bigint "blankBrands", 0::bigint "blankNames", 0::bigint "blankSizes", count(*) filter (n > 1) "repeatedIdentityGroups", coalesce(sum(n) filter (n > 1), 0)::bigint "repeatedIdentityRows",
+          (select count(*) from (select b, p from w group by all having count(*) > 1)) "multiSizeGroups" from w"""),
+        "a3_regions": sql(CATALOGUE, """select region, "productId", "currentImageReference" "imageSrc" from cat"""),
+        "a7_slice": sql(CATALOGUE, f"""select {key}, "batchIndex" from cat order by n limit 50 offset 100"""),
+        "c9_c11_wrapped_urls": """with p as (select p_partkey, 'https://shop.example.com/p/' || p_partkey || '?q=a b&c=' || chr(233) page from part)
+          select p_partkey, page resolved, page redirected, case when p_partkey % 2 = 0 then lpad(p_partkey::varchar, 12, '0') else '' end barcode,
+          case when p_partkey % 2 = 0 then 'https://www.barcodelookup.com/' || lpad(p_partkey::varchar, 12, '0') else page end same from p""",
+        "d9_rendered": f"""with i as (select 'https://pages.example.com/' || l_partkey page_url, (l_orderkey * 100 + l_linenumber * 10 + l_suppkey % 10)::bigint disc_ord,
+          case l_linenumber % 6 when 0 then 'data:' when 1 then 'https://cdn.example.com/site-logo' else 'https://cdn.example.com/i' end || (l_suppkey % 5) || '.jpg' url,
+          case when l_linenumber % 4 = 0 then 'browser-og' else 'browser-img' end origin, l_returnflag alt, case when l_quantity < 5 then 0 else trunc(l_quantity * 20)::int end w, trunc(l_quantity * 9)::int h from lineitem)
+          select page_url, disc_ord, url, origin, alt from i where origin = 'browser-og' or (starts_with(url, 'http') and not contains(url, 'logo') and not (w <> 0 and h <> 0 and least(w, h) < 180))
+          qualify row_number() over (partition by page_url, url order by disc_ord) = 1""",
+        "d12_rendered_search": sql(CATALOGUE, DOMAINS, CANDIDATES, f"""
+          hits as (select c.{key} k, disc_ord, case when disc_ord % 4 = 0 then replace(page_url, 'www.supplier', 'www.amazon.supplier') else page_url end u, domains from cand c join catd d on c.{key} = d.{key}),
+          ok as (select k, u, min(disc_ord) ro, min(case when len(list_filter(domains, lambda d: ends_with({domain('u')}, d))) > 0 then 0 else 1 end) pr from hits where not contains({domain('u')}, 'amazon.') group by 1, 2)""",
+          f"select k {key}, page_ord::int page_ord, u page_url from (select *, row_number() over (partition by k order by pr, ro, u) page_ord from ok) where page_ord <= 6"),
+        "e3_overrides": sql(CATALOGUE, OVERRIDES, f"select {key}, 0::bigint disc_ord, url, page_url, 'manual-override' origin, alt from ovr"),
+        "e5_page_join": sql(CATALOGUE, f"""select {key}, 2000000 + i disc_ord, "sourcePage" || '/i' || i || '.jpg' url from cat, (select unnest([0, 1]) i)"""),
+        "e6_flag_rejected": sql(CATALOGUE, CANDIDATES, f"""select c.{key}, disc_ord, exists (select 1 from cand b where b.disc_ord % 3 = 0 and b.{key} = c.{key} and b.url = c.url) was_rejected, false page_rejected from cand c"""),
+        "f12_proposals": sql(CATALOGUE, DOMAINS, CANDIDATES, SCORED, RESULTS, OVERRIDES, f"""new as (select {key}, url, page_url, left(concat_ws(' | ', alt, page_title), 500) note from scored where score >= 55 and {key} not in (select {key} from res where {STAGED})
+          qualify row_number() over (partition by {key} order by score desc, disc_ord) = 1)""",
+          f"""select {key}, url "approvedDirectImageUrl", page_url "approvedSourcePageUrl", 'false' "exactVariantConfirmed", '' reviewer, note "evidenceNote" from new
+          union all select {key}, url, case when n % 3 = 0 then 'https://brand.example.com/p' else '' end, case when n % 2 = 0 then 'True' else 'false' end, 'ann', alt from ovr where {key} not in (select {key} from new)"""),
         "d7_store_json": """with p as (select p_partkey, p_name, p_brand, list_filter([case when p_partkey % 2 = 0 then concat('https://cdn.example.com/f', p_partkey, '.jpg') end, concat('https://shop.example.com/i', p_partkey, '.png')], lambda x: x is not null) us from part)
           select concat('https://shop.example.com/products/', p_partkey) page_url, (i - 1)::bigint disc_ord, us[i] url, p_name alt, p_brand structured_brand from (select *, unnest(generate_series(1, len(us))) i from p)""",
         "d10_row_pages": sql(CATALOGUE, f"""select {key}, (i - 1)::int page_ord, ps[i] page_url from (select *, unnest(generate_series(1, len(ps))) i from (select {key}, list_filter([case when not shared and not barcode then "sourcePage" end, case when not shared then "currentImageReference" end], lambda x: x is not null) ps from cat))"""),
@@ -247,8 +273,8 @@ def oracle_sql() -> dict[str, str]:
           union all select 'phash', "perceptualHash", {key}, case when sha256 in (select d from bad_sha) then {q(CONFLICT)} else status end from res where "perceptualHash" in (select d from bad_ph)"""),
         "h4_marked": sql(CATALOGUE, RESULTS, CONFLICTS, f"""select {key}, case when hit then {q(CONFLICT)} else status end status, 'false' "autoApprovalEligible", case when hit then {q(REASON)} else '' end reason
           from (select *, {STAGED} and (sha256 in (select d from bad_sha) or "perceptualHash" in (select d from bad_ph)) hit from res)"""),
-        "i1_resume": sql(CATALOGUE, RESULTS, FILES, f"""kept as (select {key} from res where {STAGED} and region <> 'us' and "stagingPath" in (select path from files where error = ''))""", f"select {key}, 'kept' part from kept union all select {key}, 'todo' from cat where region <> 'us' and {key} not in (select {key} from kept)"),
-        "i2_merged_results": sql(CATALOGUE, RESULTS, f"select {key}, case when (n + 1) % 5 = 0 then 'NEW' else status end status from res where region = 'ca'"),
+        "i1_resume": sql(CATALOGUE, RESULTS, FILES, f"""kept as (select {key} from res where {STAGED} and "stagingPath" in (select path from files where error = ''))""", f"select {key}, 'kept' part from kept union all select {key}, 'todo' from cat where {key} not in (select {key} from kept)"),
+        "i2_merged_results": sql(CATALOGUE, RESULTS, f"select {key}, case when (n + 1) % 5 = 0 then 'NEW' else status end status from res"),
         "i3_override_todo": sql(CATALOGUE, RESULTS, f"select {key} from res where n % 50 in (0, 8, 9) and not {STAGED}"),
         "i4_chunks": sql(CATALOGUE, RESULTS, f"select {key}, case when (n + 1) % 3 = 0 then 'SECOND' else status end status from res where (n + 1) % 2 = 0 or (n + 1) % 3 = 0"),
         "i5_review_sheet": sql(CATALOGUE, RESULTS, SHEET, f"""select r.{key}, coalesce(s."manualVisualDecision", 'PENDING') "manualVisualDecision", coalesce(s.reviewer, '') reviewer, coalesce(s."brandExact", '') "brandExact", coalesce(s."reviewedBrand", '') "reviewedBrand", r.status from res r left join sheet s using ({key})"""),
@@ -276,7 +302,8 @@ def oracle_sql() -> dict[str, str]:
           f"""select * from old union all select {key}, "resolvedImageUrl", "evidencePage", 'Human rejected candidate as wrong or uncertain.', '', '2020-01-01T00:00:00Z' from res where {key} in (select ek from eff where no) and "resolvedImageUrl" <> '' and {key} not in (select {key} from old)"""),
         "j1_j2_path_problems": sql(CATALOGUE, MANIFEST, PROBLEMS, "select * from probs"),
         "j3_staged_missing": sql(CATALOGUE, RESULTS, FILES, f"""select {key} from res where {STAGED} and "stagingPath" not in (select path from files where error = '')"""),
-        "j4_path_report": sql(CATALOGUE, MANIFEST, PROBLEMS, """select count(*) "rowsChecked", count(distinct path) "uniquePaths", (select count(*) from probs) "pathProblems", (select count(*) from probs) = 0 pass from man"""),
+        "j4_path_report": sql(CATALOGUE, MANIFEST, PROBLEMS, """select count(*) "rowsChecked", count(distinct path) "uniquePaths", (select count(*) from probs) "pathProblems", (select count(*) from probs) = 0 pass,
+          (select string_agg(concat_ws(' ', row_no, "immutableKey", problem, path), ';' order by row_no, problem) from (select * from probs order by row_no, problem, "immutableKey" limit 100)) "problemsPreview" from man"""),
         "j5_reconcile": sql(CATALOGUE, MANIFEST, f"""s as (select {key} sk, "targetJpgPath" sp from cat where (n + 1) % 13 <> 0), m as (select {key} mk, path mp from man where row_no % 11 <> 0)""",
           "select case when mk is null then 'missing_in_manifest' when sk is null then 'missing_in_source' when sp <> mp then 'mapping_mismatch' else 'match' end kind, count(*) n from s full join m on sk = mk group by 1"),
         "j6_identity_audit": sql(CATALOGUE, """w as (select lower(trim(brand)) b, lower(trim("productName")) p, lower(trim(size)) s, count(*) n from cat group by all)""",
@@ -291,7 +318,9 @@ def oracle_sql() -> dict[str, str]:
         "k2_k3_regional": sql(CATALOGUE, RESULTS, SHEET, FILES, GATE, f"""select region, "productId", "variantIndex", case when ok then '/' || "targetJpgPath" else "currentImageReference" end "imageSrc", case when ok then 'product' else 'external' end "imageKind", case when ok then 'True' else 'False' end "imageTrusted",
           case when ok then {q(publish.METHOD)} else 'none' end "imageResolutionMethod", case when ok then {q(r.APPROVED)} else 'OLD' end "imageMatchStatus", case when ok then trim(note || {q(' | ' + publish.NOTE)}, ' |') else note end "imageNotes", "productName"
           from (select *, failure is null ok, case when (n + 1) % 2 = 0 then 'kept' else '' end note from gate)"""),
-        "k4_validation": sql(CATALOGUE, RESULTS, SHEET, FILES, GATE, f"""select count(*) "scope", 2000::bigint expected, count(*) filter (failure is null) "approvedAndMaterialized", (select count(*) from fails) "failureCount", {_counts('regions', 'cat', 'region')}, false pass from gate"""),
+        "k4_validation": sql(CATALOGUE, RESULTS, SHEET, FILES, GATE, f"""select count(*) "scope", 2000::bigint expected, count(*) filter (failure is null) "approvedAndMaterialized", (select count(*) from fails) "failureCount", {_counts('regions', 'cat', 'region')}, false pass,
+          {_counts('approvedRegions', '(select * from gate where failure is null)', 'region')}, {_counts('reasons', 'fails', 'reason')},
+          (select string_agg({key} || ' ' || reason, ';' order by {key}, reason) from (select * from fails order by {key}, reason limit 200)) preview from gate"""),
         "k5_status": sql(CATALOGUE, RESULTS, SHEET, FILES, f"""dec as (select coalesce(nullif("manualVisualDecision", ''), 'PENDING') d from sheet)""", f"""select (select count(*) from cat) "catalogueRows", (select count(*) from res) "acquisitionRows", {_counts('acquisitionStatusCounts', 'res', 'status')}, {_counts('reviewDecisionCounts', 'dec', 'd')},
           count(*) filter (d = {q(r.APPROVED)}) approved, count(*) filter (d in ({q(r.REVIEW)}, 'PENDING')) "manualReviewNeeded", count(*) filter (d = {q(r.REJECTED)}) "rejectedPendingRetry", (select count(*) from cat where "targetJpgPath" in (select path from files)) "finalFilesPresent" from dec"""),
         "k6_queue": sql(CATALOGUE, RESULTS, SHEET, f"""qq as (select c.n, {key}, coalesce(nullif(s."manualVisualDecision", ''), 'PENDING') decision from cat c left join sheet s using ({key}) where coalesce(s."manualVisualDecision", '') <> {q(r.APPROVED)}),

@@ -11,7 +11,7 @@ from catalogue_evidence.functions import text, urls
 from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring
 from catalogue_evidence.operators.assemble import KEY
 from catalogue_evidence.plans import adapters as a
-from catalogue_evidence.sources import shared
+from catalogue_evidence.sources import shared, tables
 
 NOW, MODEL = "2020-01-01T00:00:00Z", "model"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,22 @@ def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wrapped_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs inside a resolver's, a search engine's and a barcode database's, and one that is none of them."""
+    page = F.concat(F.lit("https://shop.example.com/p/"), F.col("p_partkey").cast("string"), F.lit("?q=a b&c=\u00e9"))
+    p = a.read(spark, sf_dir, "part").select("p_partkey", page.alias("page"), F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("code"))
+    plain = F.rtrim(F.translate(F.base64(F.col("page").cast("binary")), "+/\r\n", "-_"), F.lit("="))
+    u = p.select(
+        "p_partkey", F.concat(F.lit("https://api.microlink.io/?x=1&url="), F.url_encode("page"), F.lit("&y=2")).alias("resolver"),
+        F.concat(F.lit("https://www.bing.com/ck/a?!&&p=1&u=a1"), plain, F.lit("&ntb=1")).alias("redirect"),
+        F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("https://www.barcodelookup.com/"), "code")).otherwise(F.col("page")).alias("barcode"),
+    )
+    return u.select(
+        "p_partkey", urls.decode_resolver(F.col("resolver")).alias("resolved"), urls.decode_search_redirect(F.col("redirect")).alias("redirected"),
+        urls.barcode_of(F.col("barcode")).alias("barcode"), urls.decode_search_redirect(F.col("barcode")).alias("same"),
+    )
+
+
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
     q = urls.search_query(F.col("domains"), F.col("brand"), F.col("productName"), F.col("size"), F.col("format"), F.col("sku"), F.col("sourcePage"))
@@ -76,7 +92,7 @@ def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.jsonld_products(a.page_rows(spark, sf_dir)).select("page_url", "name", "brand")
+    return extract.jsonld_products(a.page_rows(spark, sf_dir)).select("page_url", "ord", "name", "brand", "json")
 
 
 def store_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +124,66 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.rank_search_results(found, c)
 
 
+def rendered_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
+    host = F.when(F.col("disc_ord") % 4 == 0, F.replace("page_url", F.lit("www.supplier"), F.lit("www.amazon.supplier"))).otherwise(F.col("page_url"))
+    found = a.candidates(spark, sf_dir).select(KEY, F.col("disc_ord").alias("rank"), host.alias("href"), F.lit("").alias("title"))
+    return assemble.rank_search_results(found, c, rendered=True)
+
+
+def rendered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.rendered_candidates(a.rendered(spark, sf_dir)).select("page_url", "disc_ord", "url", "origin", "alt")
+
+
+def override_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.override_candidates(a.catalogue(spark, sf_dir), a.overrides(spark, sf_dir)).select(KEY, "disc_ord", "url", "page_url", "origin", "alt")
+
+
+def joined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of the rows' pages, many of which share one page."""
+    c = a.catalogue(spark, sf_dir)
+    pages = c.select(F.col("sourcePage").alias("visited")).distinct()
+    found = pages.select("visited", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("disc_ord"))
+    found = found.select("*", F.concat("visited", F.lit("/i"), F.col("disc_ord").cast("string"), F.lit(".jpg")).alias("url"), F.col("visited").alias("page_url"), F.lit("page-img").alias("origin"), *[F.lit("").alias(x) for x in ("alt", "page_title", "structured_product_name", "structured_brand")])
+    wanted = c.select(KEY, F.lit(2).alias("page_ord"), F.col("sourcePage").alias("page_url"))
+    return assemble.join_page_candidates(wanted, found).select(KEY, "disc_ord", "url")
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.candidates(spark, sf_dir)
+    bad = c.filter("disc_ord % 3 = 0").select(KEY, F.col("url").alias("resolvedImageUrl"))
+    return assemble.flag_rejected(c, bad, was_rejected="url", page_rejected="page_url").select(KEY, "disc_ord", "was_rejected", "page_rejected")
+
+
+def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.propose_overrides(scored(spark, sf_dir), a.results(spark, sf_dir), a.overrides(spark, sf_dir)).select(KEY, "approvedDirectImageUrl", "approvedSourcePageUrl", "exactVariantConfirmed", "reviewer", "evidenceNote")
+
+
+def through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue written as CSV and read back, with a name that needs quotes and a column that isn't there."""
+    c = a.catalogue(spark, sf_dir).withColumn("productName", F.concat(F.lit('"'), "productName", F.lit('",\n'), "brand"))
+    path = shared.shared_path(spark, "catalogue-csv")
+    tables.write_table_csv(c, path, [KEY, "productName", "size", "absent", "sourcePage"])
+    return tables.read_table_csv(spark, path, ["size", KEY, "productName", "absent", "sourcePage", "never"])
+
+
+def through_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared.shared_path(spark, "regions")
+    tables.write_regional(a.regional_source(spark, sf_dir), path)
+    return spark.read.parquet(path).select("region", "productId", "imageSrc")
+
+
+def through_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared.shared_path(spark, "summary")
+    tables.write_summary(audit.identity_audit(a.catalogue(spark, sf_dir)), path)
+    return spark.read.json(path)
+
+
+def sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gaps = a.catalogue(spark, sf_dir).withColumn("at", F.col("batchIndex").cast("long") * 7)
+    return tables.slice_rows(gaps, "at", 100, 50).select(KEY, "batchIndex")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = assemble.official_domains(a.catalogue(spark, sf_dir), a.domain_map(spark, sf_dir))
     return scoring.candidate_score(a.candidates(spark, sf_dir), c)
@@ -169,7 +245,7 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = a.results(spark, sf_dir)
     files = a.store_images(spark, sf_dir).filter("error = ''").select("path")
-    kept, todo = review.resume_split(a.catalogue(spark, sf_dir).filter("region <> 'us'"), r, files)
+    kept, todo = review.resume_split(a.catalogue(spark, sf_dir), r, files)
     return kept.select(KEY, F.lit("kept").alias("part")).unionByName(todo.select(KEY, F.lit("todo").alias("part")))
 
 
@@ -182,7 +258,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = a.results(spark, sf_dir)
     n = F.col("batchIndex").cast("long")
-    return review.merge_results(a.catalogue(spark, sf_dir).filter("region = 'ca'"), r, r.filter(n % 5 == 0).withColumn("status", F.lit("NEW"))).select(KEY, "status")
+    return review.merge_results(a.catalogue(spark, sf_dir), r, r.filter(n % 5 == 0).withColumn("status", F.lit("NEW"))).select(KEY, "status")
 
 
 def overriding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +326,7 @@ def path_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def path_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.path_report(a.manifest(spark, sf_dir)).drop("problemsPreview")
+    return audit.path_report(a.manifest(spark, sf_dir)).withColumn("problemsPreview", F.array_join("problemsPreview", ";"))
 
 
 def staged_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +377,11 @@ def regional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = publish.validation_summary(gated(spark, sf_dir), a.regional_source(spark, sf_dir), 2000)
-    return s.select("scope", "expected", "approvedAndMaterialized", "failureCount", entries("regionalSourceRows").alias("regions"), "pass")
+    preview = F.array_join(F.transform("failuresPreview", lambda x: F.concat(x[KEY], F.lit(" "), x["reason"])), ";")
+    return s.select(
+        "scope", "expected", "approvedAndMaterialized", "failureCount", entries("regionalSourceRows").alias("regions"), entries("regionalApprovedRows").alias("approvedRegions"),
+        entries("failureReasonCounts").alias("reasons"), preview.alias("preview"), "pass",
+    )
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,6 +398,9 @@ def queries() -> dict[str, Query]:
     return {
         "b1_b4_text": texts, "b3_b5_coverage": coverage, "b6_b12_identity": identities, "c2_c12_urls": url_rules, "c13_e1_search_query": search_queries,
         "d1_page_titles": page_titles, "d2_products": page_products, "d3_d8_candidates": page_candidates, "d7_store_json": store_candidates,
+        "a1_a2_csv": through_csv, "a3_regions": through_regions, "a4_json": through_json, "a7_slice": sliced, "c9_c11_wrapped_urls": wrapped_urls,
+        "d9_rendered": rendered_items, "d12_rendered_search": rendered_results, "e3_overrides": override_rows, "e5_page_join": joined_pages,
+        "e6_flag_rejected": flagged, "f12_proposals": proposals,
         "d10_row_pages": row_pages, "d11_search_results": search_results, "d13_needs_search": searched, "e2_assemble": assembled,
         "f1_f2_f10_best_evidence": best_evidence, "f3_top_ranked": top_ranked, "f4_f11_selected": selected,
         "h1_byte_conflicts": byte_conflicts, "h1_text_conflicts": text_conflicts, "h3_conflict_report": conflict_report, "h4_marked": marked,
