@@ -28,10 +28,11 @@ SIZE_PATTERNS = [
     r"\b\d+\s*x\s*\d+\b",
     r"\b\d+\s*(?:billion|million)\b",
 ]
-#: Volumes that count as the same size, the left one in millilitres.
+# Volumes that count as the same size, the left one in millilitres.
 EQUIVALENT_SIZES = {"30ml": "1floz", "60ml": "2floz", "120ml": "4floz"}
 #: Entities resolved without a Python helper; the ampersand's comes last, so that nothing is resolved twice.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&trade;": "™", "&reg;": "®", "&amp;": "&"}
+# What counts as true.
 TRUTHY = ["true", "yes", "1", "approved"]
 
 

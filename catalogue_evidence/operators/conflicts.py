@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogue_evidence.functions.text import identity_norm, identity_plain
 from catalogue_evidence.operators.assemble import filled, text
 
+# What marked rows say.
 CONFLICT = "STAGED_DUPLICATE_CONFLICT_NEEDS_REVIEW"
 REASON = "Same or perceptually identical bytes are assigned to incompatible product/package identities."
 KINDS = {"sha256": "sha256", "phash": "perceptualHash"}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from catalogue_evidence.functions import urls
 
+# How much of a page's text counts, where image addresses stand, and classes of product images.
 PAGE_TEXT = 250_000
 SOURCES = ("data-large_image", "data-zoom-image", "data-src", "data-lazy-src", "data-original", "src")
 GALLERY = ("wp-post-image", "woocommerce", "product")

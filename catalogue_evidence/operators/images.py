@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Limits of a good image; the messages stand in quality_error().
 LEAST_BYTES, LEAST_SIDE, LEAST_RATIO, MOST_RATIO, LEAST_ENTROPY, LEAST_SPREAD = 2_000, 240, 0.18, 5.5, 2.0, 4.0
 QUALITY = "path string, length long, width int, height int, entropy double, stddev double, dhash string"
 
@@ -61,21 +62,22 @@ def image_quality(images: DataFrame, lengths: DataFrame) -> DataFrame:
     """(path, length, width, height, entropy, stddev, dhash, error) of Spark's image rows and (path, length); error is
     empty for images that are good enough. Pixels go no further than the helper that reads them."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                e = s = h = None
-                if r.width > 0 and r.height > 0:
-                    x = rgb_of(r.data, r.width, r.height, r.nChannels)
-                    e, h = entropy(resized(x, 128, 128)), dhash(x)
-                    s = float(resized(x, 96, 96).reshape(-1, 3).std(0).mean())
-                out.append((r.origin, r.length, r.width, r.height, e, s, h))
-            yield pd.DataFrame(out, columns=["path", "length", "width", "height", "entropy", "stddev", "dhash"])
+    def figures(data: bytes, width: int, height: int, channels: int) -> tuple[float | None, float | None, str | None]:
+        if width <= 0 or height <= 0:
+            return None, None, None
+        x = rgb_of(data, width, height, channels)
+        return entropy(resized(x, 128, 128)), float(resized(x, 96, 96).reshape(-1, 3).std(0).mean()), dhash(x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = [batch.column(k).to_pylist() for k in (2, 3, 4)]
+            made = [figures(d.as_py(), *s) for d, *s in zip(batch.column(5), *size)]  # one image's bytes at a time
+            cols = [pa.array([m[k] for m in made], t) for k, t in enumerate((pa.float64(), pa.float64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], names=["path", "length", "width", "height", "entropy", "stddev", "dhash"])
 
     size = lengths.select(same_path(F.col("path")).alias("_p"), "length")
     flat = images.select("image.*").join(size, same_path(F.col("origin")) == F.col("_p"))
-    made = flat.select("origin", "length", "width", "height", "nChannels", "data").mapInPandas(run, QUALITY)
+    made = flat.select("origin", "length", "width", "height", "nChannels", "data").mapInArrow(run, QUALITY)
     return made.withColumn("error", quality_error())
 
 
