@@ -15,6 +15,7 @@ from catalogue_evidence.llm.common import ranked, staged
 
 ROUNDS = 12
 LARGE = 64  # a group of more than a 64th part of a shard's quota is large: there are at most 64 times shards of them
+MEMBERS = 256  # of a group, whose places are looked up together
 SLACK = 0.97  # of what is free, admitted to small groups a round, since they are drawn by hash and not counted
 
 
@@ -89,7 +90,7 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, rows_in_task:
     size is the text's UTF-8 bytes plus 1, text_crc32 of those bytes; a null text has none of them, and null texts are
     a group of their own. Shards hold row counts at most one apart, the first ones more. slot counts a shard's rows from
     0. Rows are ranked over range partitions, so neither a shard nor a group is any task's. Equal rows and null doc_ids
-    are placed like others. grown_shard is null under this law.
+    are placed like others. grown_shard is null under this law. No rows give no rows.
     """
     base = _base(docs)
     n = base.count()
@@ -111,8 +112,12 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, rows_in_task:
     # Members take the places of their group in order of their numbers: (shard, from, to) for each group.
     upto = F.sum("cnt").over(Window.partitionBy("digest").orderBy("shard"))  # at most as many rows as shards
     place = state.select("digest", "shard", (upto - F.col("cnt")).alias("lo"), upto.alias("hi"))
-    place = place.groupBy("digest").agg(F.collect_list(F.struct("lo", "hi", "shard")).alias("places")).withColumnRenamed("digest", "linked")
-    met = base.join(place, base["digest"] == place["linked"], "left")
+    place = place.groupBy("digest").agg(F.collect_list(F.struct("lo", "hi", "shard")).alias("places"), F.max("hi").alias("size_of"))
+    # A group's places are dealt out by blocks of its members, so that no group's rows meet in one task.
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size_of") - 1) / MEMBERS))).alias("of_block")
+    place = place.select(F.col("digest").alias("linked"), "places", blocks)
+    base = base.withColumn("block", F.floor(F.col("member") / MEMBERS))
+    met = base.join(place, (base["digest"] == place["linked"]) & (base["block"] == place["of_block"]), "left")
     inside = F.filter("places", lambda p: (p["lo"] <= F.col("member")) & (F.col("member") < p["hi"]))
     met = met.select(
         "doc_id", "size", "text_crc32", "digest",
