@@ -181,3 +181,22 @@ def test_duplicate_paths_name_the_row_before(spark):
 def test_last_row_of_a_key_wins_in_chunks(spark):
     a, b = rows(spark, [KEY, "status"], ("x", "1"), ("y", "1"), ("", "1")), rows(spark, [KEY, "status"], ("x", "2"))
     assert {r[KEY]: r["status"] for r in review.merge_chunks(a, b).collect()} == {"x": "2", "y": "1"}
+
+
+def test_evidence_in_parts_is_that_of_the_whole(spark):
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from catalogue_evidence.functions import text as t
+
+    parts = ["", "very soft", "gels 30", "Gels", "60", "ml 2 x 30", "fl", "oz soft", "soft gels", "Soft&amp;Gel 12 caps"]
+    cand = [(str(i), f"https://x.com/{u}", "", "o", a, b, n, "brand " + n) for i, (u, a, b, n) in enumerate(product(["gels-30%20ml", "a.jpg"], parts, parts[:4], parts))]
+    df = spark.createDataFrame(cand, f"{KEY} string, url string, page_url string, origin string, alt string, page_title string, structured_product_name string, structured_brand string")
+    raw = {"name": "structured_product_name", "brand": "structured_brand", "alt": "alt", "title": "page_title", "url": "url"}
+    col = {**{k: F.col(v) for k, v in raw.items()}, "dec": F.expr("url_decode(url)")}
+    join = lambda p: F.concat_ws(" ", *[col[x] for x in p])
+    want = [t.significant_tokens(join(p)).alias(f"want_{n}") for n, p in scoring.TOKENS.items()] + [F.array_sort(t.size_signatures(join(p))).alias(f"want_{n}") for n, p in scoring.SIZES.items()]
+    got = scoring._evidence(df.select("*", *want))
+    same = [F.col(n).eqNullSafe(F.col(f"want_{n}")) for n in scoring.TOKENS] + [F.array_sort(n).eqNullSafe(F.col(f"want_{n}")) for n in scoring.SIZES]
+    assert got.count() == len(cand) and all(got.filter(~c).count() == 0 for c in same)
