@@ -17,6 +17,8 @@ from catalogue_evidence.llm.common import fresh, staged
 
 #: An item table of more shingles than this isn't broadcast but joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: The same for the digests of documents that meet a sketch or hold an item.
+BROADCAST_UNITS = 500_000
 WORDS = 5
 THRESHOLD = 0.8
 
@@ -70,20 +72,21 @@ def candidates(docs: DataFrame, index: DataFrame, size: int = WORDS) -> DataFram
     return met.select("unit", "item_id").distinct()
 
 
-def _small(index: DataFrame) -> DataFrame:
-    return F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
+def _small(df: DataFrame, most: int | None = None) -> DataFrame:
+    """df, for a broadcast if it has few rows. What is counted should be stored."""
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df
 
 
 def _found(docs: DataFrame, items: DataFrame, threshold: float, size: int) -> DataFrame:
     """(unit, item_id, n_shingles, n_found) of each pair that passes. docs: (unit, text); rows of one unit have one text."""
     index = staged(item_index(items, threshold, size), "item-index")
     pairs = staged(candidates(docs, index, size), "item-candidates")
-    asked = pairs.select(F.col("unit").alias("_unit")).distinct()
+    asked = _small(pairs.select(F.col("unit").alias("_unit")).distinct(), BROADCAST_UNITS)
     once = docs.join(asked, docs["unit"] == asked["_unit"], "left_semi").groupBy("unit").agg(F.min("text").alias("text"))
     own = pairs.join(_small(index.select("item_id", "n_shingles", "hash")), "item_id")  # all shingles of each candidate item
     met = own.join(shingles_of(once, size).withColumnRenamed("unit", "_unit"), (F.col("unit") == F.col("_unit")) & (F.col("hash") == F.col("doc_hash")))
     counted = met.groupBy("unit", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"))
-    return counted.filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9))
+    return staged(counted.filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9)), "items-found")
 
 
 def _unit(text: Column) -> Column:
@@ -100,7 +103,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, s
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("unit", _unit(F.col("text")))
     found = _found(texts, items, threshold, size).withColumnRenamed("unit", "_unit")
-    same = texts.select("doc_id", "unit").distinct().join(found, F.col("unit") == F.col("_unit"))
+    same = texts.select("doc_id", "unit").join(_small(found, BROADCAST_UNITS), F.col("unit") == F.col("_unit"))
     best = same.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_found").alias("n_found"))
     return best.withColumn("containment", F.col("n_found").cast("double") / F.col("n_shingles"))
 
@@ -111,5 +114,5 @@ def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     texts = docs.filter(docs["text"].isNotNull()).select(docs["text"].cast("string").alias("text"))
     found = _found(texts.withColumn("unit", _unit(F.col("text"))), items, threshold, size)
     name = fresh("_found", docs)
-    gone = found.select(F.col("unit").alias(name)).distinct()
+    gone = _small(found.select(F.col("unit").alias(name)).distinct(), BROADCAST_UNITS)
     return docs.join(gone, _unit(docs["text"]) == gone[name], "left_anti")

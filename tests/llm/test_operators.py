@@ -529,8 +529,12 @@ def test_items_meet_documents_by_their_sketches_alone(spark, monkeypatch):
     asked = decontaminate.candidates(df.select(F.col("doc_id").alias("unit"), "text"), index).count()
     touching = sum(bool(s & g) for _, t in docs for g in [grams(t)] for s in sets.values())
     assert len(want) <= asked < 0.7 * touching
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    kept = {r["doc_id"] for r in decontaminate.decontaminated(df, items).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
+    for name in ("BROADCAST_ROWS", "BROADCAST_UNITS"):
+        monkeypatch.setattr(decontaminate, name, 0)
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained(df, items).collect()} == want
+    assert {r["doc_id"] for r in decontaminate.decontaminated(df, items).collect()} == kept
 
 
 NAMES = (
