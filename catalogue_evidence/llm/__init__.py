@@ -1 +1 @@
-"""Training-data operators: ten corpus jobs and the queries that apply them."""
+"""Training-data operators: thirteen corpus jobs and the queries that apply them."""

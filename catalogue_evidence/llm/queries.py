@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue_evidence.llm import bpe, decontaminate, language, licences, nearest, secrets, sharding, simhash, tokenfiles, toxicity
+from catalogue_evidence.llm import alignment, bpe, decontaminate, language, licences, nearest, packing, secrets, sharding, simhash, tokenfiles, toxicity, whitening
 from catalogue_evidence.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PATTERN = public_tokenizers.PATTERN
 
@@ -56,6 +58,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PATTERN, with_ids=False).drop("ids")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PATTERN, PIECE_MODEL)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -68,4 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licences": op8_licences,
         "op9_sharding": op9_sharding,
         "op10_toxicity": op10_toxicity,
+        "op11_packing": op11_packing,
+        "op12_whitening": op12_whitening,
+        "op13_alignment": op13_alignment,
     }
