@@ -19,6 +19,7 @@ from catalogue_evidence.llm.common import staged
 
 NODES = 16  # of the quadrature on the upper half of a contour
 SWEEPS = 12  # of filter and Rayleigh-Ritz, at most
+WIDER = 8  # times that a contour is widened
 ROWS = 4096  # vectors multiplied at a time
 
 
@@ -62,8 +63,8 @@ def filtered(v: np.ndarray, y: np.ndarray, lo: float, hi: float) -> np.ndarray:
     return out
 
 
-def eigenpairs(v: np.ndarray, lo: float, hi: float, count: int) -> np.ndarray:
-    """Vectors of the `count` eigenvalues of v in (lo, hi]: filter, then Rayleigh-Ritz in what it leaves, until
+def eigenpairs(v: np.ndarray, lo: float, hi: float, count: int) -> np.ndarray | None:
+    """Vectors of the `count` eigenvalues of v in (lo, hi], None if others than so many turn up: filter, then Rayleigh-Ritz in what it leaves, until
     residuals are rounding errors. A subspace somewhat larger than the count converges whatever lies next to lo."""
     size = min(len(v), count + max(4, count))
     basis = np.linalg.qr(np.random.default_rng(17).standard_normal((len(v), size)))[0]
@@ -76,9 +77,7 @@ def eigenpairs(v: np.ndarray, lo: float, hi: float, count: int) -> np.ndarray:
         residual = np.linalg.norm(v @ basis[:, inside] - basis[:, inside] * values[inside], axis=0)
         if len(inside) == count and (residual <= 64 * np.finfo(float).eps * scale).all():
             break
-    if len(inside) != count:
-        raise ArithmeticError(f"{len(inside)} eigenvalues found in ({lo}, {hi}], which holds {count}")
-    return basis[:, inside]
+    return basis[:, inside] if len(inside) == count else None
 
 
 def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +86,7 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     each of the intervals in between that none was missed."""
     top = float(np.abs(v).sum(axis=1).max()) if len(v) else 0.0  # no eigenvalue is larger
     zero = top * len(v) * 4 * np.finfo(float).eps
+    fine = top * 1e-9  # values closer than that are taken together
     if not top > 0:
         return np.zeros(0), np.zeros((len(v), 0))
     want = min(most, above(v, zero))
@@ -95,7 +95,7 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         # The highest interval below hi that holds an eigenvalue, halved from below until it holds few.
         lo, far = zero, hi
         n = above(v, lo) - found
-        while n > max(2, want - found) and far - lo > zero:
+        while n > max(2, want - found) and far - lo > fine:
             middle = (lo + far) / 2
             m = above(v, middle) - found
             if m:
@@ -103,10 +103,18 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
             else:
                 far = middle
         # A tight contour with some room: its ends stay where the counts are those of lo and hi.
-        highest, lowest = _edge(v, lo, hi, found), _edge(v, lo, hi, found + n - 1)
-        room = (highest[1] - lowest[0]) / 8
+        highest, lowest = _edge(v, lo, hi, found, fine), _edge(v, lo, hi, found + n - 1, fine)
+        room = max((highest[1] - lowest[0]) / 8, fine)
         upper, lower = min(hi, highest[1] + room), max(lo, lowest[0] - room)
-        vectors.append(eigenpairs(v, lower, upper, above(v, lower) - above(v, upper)))
+        for _ in range(WIDER):
+            n = above(v, lower) - found
+            some = eigenpairs(v, lower, upper, n)
+            if some is not None:
+                break
+            lower -= (upper - lower) / 2  # values that lie on the contour but for rounding: let it hold them
+        else:
+            raise ArithmeticError(f"no {n} eigenvalues in ({lower}, {upper}]")
+        vectors.append(some)
         found, hi = found + n, lower
     # Vectors of values that nearly tie come out of contours of their own: once more Rayleigh-Ritz, in all of them.
     basis = np.linalg.qr(np.concatenate(vectors, axis=1))[0]
@@ -114,9 +122,11 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return values[::-1][:want], (basis @ turned)[:, ::-1][:, :want]
 
 
-def _edge(v: np.ndarray, lo: float, hi: float, n: int) -> tuple[float, float]:
+def _edge(v: np.ndarray, lo: float, hi: float, n: int, fine: float) -> tuple[float, float]:
     """A narrow interval within (lo, hi) with more than n eigenvalues above its lower end and n or fewer above its upper."""
     for _ in range(12):
+        if hi - lo <= fine:
+            break
         middle = (lo + hi) / 2
         if above(v, middle) > n:
             lo = middle
