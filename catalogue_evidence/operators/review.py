@@ -242,8 +242,13 @@ def human_effects(events: DataFrame) -> DataFrame:
 def apply_human_decisions(review: DataFrame, events: DataFrame, catalogue: DataFrame) -> DataFrame:
     """The sheet after people's decisions. Flags that an approval sets outlive a later rejection; keys that aren't on
     the sheet stay off it."""
+    return apply_human_effects(review, human_effects(events), catalogue)
+
+
+def apply_human_effects(review: DataFrame, effects: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The sheet after the human_effects() of people's decisions, from a batch or as a stream keeps them."""
     c = catalogue.select(F.col(KEY).alias("_c"), *[F.col(x).alias(f"c_{x}") for x in REVIEWED.values()])
-    both = review.join(human_effects(events), F.col(KEY) == F.col("_e"), "left").join(c, F.col(KEY) == F.col("_c"), "left")
+    both = review.join(effects, F.col(KEY) == F.col("_e"), "left").join(c, F.col(KEY) == F.col("_c"), "left")
     on, yes = F.col("_e").isNotNull(), F.coalesce("approved", F.lit(False))
     last = F.col("last") == "approve"
     values = {

@@ -198,6 +198,49 @@ bad_sha as (select sha256 d from ids where sha256 <> '' group by 1 having count(
 bad_ph as (select "perceptualHash" d from ids where "perceptualHash" <> '' group by 1 having count(distinct i) > 1)"""
 
 
+CHUNK_STATUS = "case when (n + 1) % 9 = 0 then 'THIRD' when (n + 1) % 3 = 0 then 'SECOND' else status end"
+
+
+def three_passes() -> str:
+    """Each pass takes a row's first candidate that nothing speaks against and that isn't rejected yet. Rejections follow
+    from the URL, so what a pass takes follows from the rejections before it; approved rows keep the marks they had."""
+    key = '"immutableKey"'
+    slug = "concat_ws('-', replace(\"productName\", ' ', '-'), replace(size, ' ', '-'))"
+    shop = "'https://shop' || n % 37 || '.example.com'"
+    outcome = "case when h < 7 then 'approve' when h < 11 then 'reject' when h < 14 then 'doubt' else 'error' end"
+    parts = [CATALOGUE, DOMAINS, RESULTS, OVERRIDES.replace('"sourcePage"', f"{shop} || '/products/' || n"), f"""
+store as (select {key}, n, unnest([0, 1, 2]) k, {shop} shop, {slug} slug, brand, "productName" from cat where not shared and not barcode),
+uni as (select {key}, 0 s, 0::bigint o, url, page_url, 'manual-override' origin, alt, '' page_title, '' spn, '' sbr from ovr
+  union all select {key}, 1, 0, "currentImageReference", {shop} || '/products/' || n, 'direct-current-image', "productName", '', '', '' from cat where n % 3 = 0
+  union all select {key}, 2, k, shop || '/i/' || case k when 0 then slug || '.jpg' when 1 then replace("productName", ' ', '-') || '-b.jpg' else 'item-' || n || '.jpg' end,
+    shop || '/products/' || n, 'shopify-product-json', "productName", '', "productName", brand from store),
+firsts as (select * from uni where not {bad('url')} qualify row_number() over (partition by {key}, url order by s, o) = 1),
+every as (select *, row_number() over (partition by {key} order by s, o, url) disc_ord from firsts),{scored('every')},
+tried as (select *, row_number() over (partition by {key} order by score desc, disc_ord) rk, instr('0123456789abcdef', left(md5(url), 1)) f from scored),
+open as (select t.{key} k, t.url, case f when 2 then t.url || '?r' when 3 then regexp_replace(t.url, '\\.jpg$', '') else t.url end final_url, origin, score, rk, sha256(left(md5(t.url), 3)) sha, md5(t.url) ph,
+  (exact and score >= 105 and origin in ('shopify-product-json', 'manual-override') or coalesce(o.confirmed, false))
+  and (not c.shared or level_size_ok and level_product_cov >= 0.8 and level_brand_cov >= 0.6 or coalesce(o.confirmed, false)) high
+  from tried t join cat c using ({key}) left join ovr o using ({key}) where not (brand_cov < 0.3 and product_cov < 0.5) and f not in (1, 3, 4)),
+judge as (select *, {outcome} outcome from (select *, instr('0123456789abcdef', left(md5(final_url), 1)) h from open)),
+who as (select {key} k, concat_ws('|', {norm('brand')}, {norm('"productName"')}, array_to_string(list_sort({sizes('size')}), ',')) i from cat),
+rej0 as (select {key} k, "resolvedImageUrl" u from res where n % 6 = 0 and {STAGED})"""]
+    for p in (1, 2, 3):
+        parts.append(f"""
+left{p} as (select j.* from judge j anti join rej{p - 1} a on j.k = a.k and j.url = a.u),
+take{p} as (select j.*, i from left{p} j anti join rej{p - 1} b on j.k = b.k and j.final_url = b.u join who on who.k = j.k qualify row_number() over (partition by j.k order by rk) = 1),
+same{p} as (select sha d from take{p} group by 1 having count(distinct i) > 1 union select ph from take{p} group by 1 having count(distinct i) > 1),
+pick{p} as (select t.*, sha in (select d from same{p}) or ph in (select d from same{p}) twice from take{p} t),
+rej{p} as (select * from rej{p - 1} union select k, final_url from pick{p} where outcome in ('reject', 'doubt'))""")
+    parts.append("""
+final as (select * from pick1 where outcome = 'approve' union all select * from pick2 where outcome = 'approve' and k not in (select k from pick1 where outcome = 'approve')
+  union all select * from pick3 where k not in (select k from pick1 where outcome = 'approve') and k not in (select k from pick2 where outcome = 'approve')),
+nrej as (select k, count(*) c from rej3 group by 1)""")
+    return sql(*parts, f"""select {key}, case when f.k is null then 'UNRESOLVED' when twice then {q(CONFLICT)} when high then {q(scoring.HIGH)} else {q(scoring.REVIEW)} end status, final_url "resolvedImageUrl", origin,
+      round(score, 2) "imageCandidateScore", coalesce(high and not twice, false) "autoApprovalEligible",
+      case outcome when 'approve' then {q(r.APPROVED)} when 'reject' then {q(r.REJECTED)} when 'doubt' then {q(r.REVIEW)} when 'error' then {q(r.REVIEW)} else 'PENDING' end "manualVisualDecision", coalesce(c, 0) n_rejected
+      from cat left join final f on f.k = {key} left join nrej x on x.k = {key}""")
+
+
 def sql(*parts: str) -> str:
     return "with " + ",".join(parts[:-1]) + "\n" + parts[-1] if len(parts) > 1 else parts[0]
 
@@ -244,7 +287,8 @@ def oracle_sql() -> dict[str, str]:
           f"select k {key}, page_ord::int page_ord, u page_url from (select *, row_number() over (partition by k order by pr, ro, u) page_ord from ok) where page_ord <= 6"),
         "e3_overrides": sql(CATALOGUE, OVERRIDES, f"select {key}, 0::bigint disc_ord, url, page_url, 'manual-override' origin, alt from ovr"),
         "e5_page_join": sql(CATALOGUE, f"""select {key}, 2000000 + i disc_ord, "sourcePage" || '/i' || i || '.jpg' url from cat, (select unnest([0, 1]) i)"""),
-        "e6_flag_rejected": sql(CATALOGUE, CANDIDATES, f"""select c.{key}, disc_ord, exists (select 1 from cand b where b.disc_ord % 3 = 0 and b.{key} = c.{key} and b.url = c.url) was_rejected, false page_rejected from cand c"""),
+        "e6_flag_rejected": sql(CATALOGUE, CANDIDATES, f"""bad as (select distinct {key}, url from cand where disc_ord % 3 = 0 union select {key}, page_url from cand where disc_ord % 5 = 0)""",
+          f"""select c.{key}, disc_ord, b.url is not null was_rejected, d.url is not null page_rejected from cand c left join bad b on b.{key} = c.{key} and b.url = c.url left join bad d on d.{key} = c.{key} and d.url = c.page_url"""),
         "f12_proposals": sql(CATALOGUE, DOMAINS, CANDIDATES, SCORED, RESULTS, OVERRIDES, f"""new as (select {key}, url, page_url, left(concat_ws(' | ', alt, page_title), 500) note from scored where score >= 55 and {key} not in (select {key} from res where {STAGED})
           qualify row_number() over (partition by {key} order by score desc, disc_ord) = 1)""",
           f"""select {key}, url "approvedDirectImageUrl", page_url "approvedSourcePageUrl", 'false' "exactVariantConfirmed", '' reviewer, note "evidenceNote" from new
@@ -276,7 +320,9 @@ def oracle_sql() -> dict[str, str]:
         "i1_resume": sql(CATALOGUE, RESULTS, FILES, f"""kept as (select {key} from res where {STAGED} and "stagingPath" in (select path from files where error = ''))""", f"select {key}, 'kept' part from kept union all select {key}, 'todo' from cat where {key} not in (select {key} from kept)"),
         "i2_merged_results": sql(CATALOGUE, RESULTS, f"select {key}, case when (n + 1) % 5 = 0 then 'NEW' else status end status from res"),
         "i3_override_todo": sql(CATALOGUE, RESULTS, f"select {key} from res where n % 50 in (0, 8, 9) and not {STAGED}"),
-        "i4_chunks": sql(CATALOGUE, RESULTS, f"select {key}, case when (n + 1) % 3 = 0 then 'SECOND' else status end status from res where (n + 1) % 2 = 0 or (n + 1) % 3 = 0"),
+        "i4_chunks": sql(CATALOGUE, RESULTS, f"select {key}, {CHUNK_STATUS} status from res"),
+        "l2_stream": sql(CATALOGUE, RESULTS, f"select {key}, {CHUNK_STATUS} status from res"),
+        "k7_passes": three_passes(),
         "i5_review_sheet": sql(CATALOGUE, RESULTS, SHEET, f"""select r.{key}, coalesce(s."manualVisualDecision", 'PENDING') "manualVisualDecision", coalesce(s.reviewer, '') reviewer, coalesce(s."brandExact", '') "brandExact", coalesce(s."reviewedBrand", '') "reviewedBrand", r.status from res r left join sheet s using ({key})"""),
         "i6_acquisition_summary": sql(CATALOGUE, RESULTS, CONFLICTS, f"""marked as (select *, case when {STAGED} and (sha256 in (select d from bad_sha) or "perceptualHash" in (select d from bad_ph)) then {q(CONFLICT)} else status end st from res)""",
           f"""select count(*) "scopeRows", {_counts('statusCounts', 'marked', 'st')}, count(*) filter (starts_with(st, 'STAGED')) "stagedRows", count(*) filter (not starts_with(st, 'STAGED')) "unresolvedRows", count(distinct sha256) filter (sha256 <> '') "uniqueDownloadedJpgBytes",
@@ -296,8 +342,8 @@ def oracle_sql() -> dict[str, str]:
         "i14_retry": sql(CATALOGUE, RESULTS, SHEET, f"""hit as (select {key} from sheet where "manualVisualDecision" in ({q(r.REJECTED)}, {q(r.REVIEW)}))""",
           f"""select r.{key}, case when h then {q(r.RETRY)} else status end status, case when h then '' else sha256 end sha256, case when h then 'PENDING' else s."manualVisualDecision" end "manualVisualDecision", case when h then '' else s.reviewer end reviewer,
           case when h and "stagingPath" <> '' then "stagingPath" end path from (select *, {key} in (select {key} from hit) h from res) r left join sheet s using ({key})"""),
-        "i15_human_decisions": sql(CATALOGUE, RESULTS, SHEET, HUMAN, f"""select s.{key}, case when last = 'approve' then {q(r.APPROVED)} when last = 'reject' then {q(r.REJECTED)} else "manualVisualDecision" end "manualVisualDecision", case when last is not null then 'human-local-review' else reviewer end reviewer,
-          case when yes then 'true' else "brandExact" end "brandExact", case when yes then c.brand else "reviewedBrand" end "reviewedBrand" from sheet s left join eff on ek = s.{key} left join cat c on c.{key} = s.{key}"""),
+        **dict.fromkeys(("i15_human_decisions", "l1_stream"), sql(CATALOGUE, RESULTS, SHEET, HUMAN, f"""select s.{key}, case when last = 'approve' then {q(r.APPROVED)} when last = 'reject' then {q(r.REJECTED)} else "manualVisualDecision" end "manualVisualDecision", case when last is not null then 'human-local-review' else reviewer end reviewer,
+          case when yes then 'true' else "brandExact" end "brandExact", case when yes then c.brand else "reviewedBrand" end "reviewedBrand" from sheet s left join eff on ek = s.{key} left join cat c on c.{key} = s.{key}""")),
         "i15_human_rejected": sql(CATALOGUE, RESULTS, HUMAN, f"""old as (select {key}, "resolvedImageUrl", "evidencePage", 'old' reason, '' "aiConfidence", 't0' "rejectedAt" from res where n % 6 = 0 and {STAGED})""",
           f"""select * from old union all select {key}, "resolvedImageUrl", "evidencePage", 'Human rejected candidate as wrong or uncertain.', '', '2020-01-01T00:00:00Z' from res where {key} in (select ek from eff where no) and "resolvedImageUrl" <> '' and {key} not in (select {key} from old)"""),
         "j1_j2_path_problems": sql(CATALOGUE, MANIFEST, PROBLEMS, "select * from probs"),

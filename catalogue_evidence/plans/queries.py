@@ -11,7 +11,9 @@ from catalogue_evidence.functions import text, urls
 from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring
 from catalogue_evidence.operators.assemble import KEY
 from catalogue_evidence.plans import adapters as a
+from catalogue_evidence.plans import passes
 from catalogue_evidence.sources import shared, tables
+from catalogue_evidence.streaming import decisions as streams
 
 NOW, MODEL = "2020-01-01T00:00:00Z", "model"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,7 +153,7 @@ def joined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = a.candidates(spark, sf_dir)
-    bad = c.filter("disc_ord % 3 = 0").select(KEY, F.col("url").alias("resolvedImageUrl"))
+    bad = c.filter("disc_ord % 3 = 0").select(KEY, F.col("url").alias("resolvedImageUrl")).unionByName(c.filter("disc_ord % 5 = 0").select(KEY, F.col("page_url").alias("resolvedImageUrl")))
     return assemble.flag_rejected(c, bad, was_rejected="url", page_rejected="page_url").select(KEY, "disc_ord", "was_rejected", "page_rejected")
 
 
@@ -249,10 +251,15 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(KEY, F.lit("kept").alias("part")).unionByName(todo.select(KEY, F.lit("todo").alias("part")))
 
 
+def result_chunks(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Results in three chunks, whose last one has rows of both others once more."""
+    r = a.results(spark, sf_dir).select(KEY, "status", F.col("batchIndex").cast("long").alias("n"))
+    third = F.when(F.col("n") % 9 == 0, F.lit("THIRD")).otherwise(F.lit("SECOND")).alias("status")
+    return [r.filter("n % 2 = 1").select(KEY, "status"), r.filter("n % 2 = 0").select(KEY, "status"), r.filter("n % 3 = 0").select(KEY, third)]
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = a.results(spark, sf_dir).select(KEY, "status", "batchIndex")
-    n = F.col("batchIndex").cast("long")
-    return review.merge_chunks(r.filter(n % 2 == 0), r.filter(n % 3 == 0).withColumn("status", F.lit("SECOND"))).select(KEY, "status")
+    return review.merge_chunks(*result_chunks(spark, sf_dir))
 
 
 def merged_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +324,67 @@ def human(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(KEY, "manualVisualDecision", "reviewer", "brandExact", "reviewedBrand")
 
 
+def streamed_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheet after people's decisions as a stream of files brings them, some batches with a repeated file's rows."""
+    events = a.decision_events(spark, sf_dir)
+    path, folder, checkpoint = (shared.shared_path(spark, f"stream-{n}") for n in ("events", "effects", "checkpoint"))
+    events.unionByName(events.filter("event_id % 10 = 0")).repartition(6, "event_id").write.parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    streams.stream_decisions(stream, streams.upsert_into(spark, folder), checkpoint).awaitTermination()
+    effects = streams.current(spark, folder)
+    effects = review.human_effects(events.limit(0)) if effects is None else effects.withColumnRenamed(KEY, "_e")
+    out = review.apply_human_effects(a.sheet(spark, sf_dir), effects, a.catalogue(spark, sf_dir))
+    return out.select(KEY, "manualVisualDecision", "reviewer", "brandExact", "reviewedBrand")
+
+
+def streamed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk results that arrive one after the other, read as of the last version."""
+    path, folder, checkpoint = (shared.shared_path(spark, f"stream-{n}") for n in ("chunks", "results", "checkpoint"))
+    parts = result_chunks(spark, sf_dir)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        streams.stream_chunk_results(spark, path, f"{KEY} string, status string", folder, checkpoint).awaitTermination()
+    done = streams.current(spark, folder)
+    return parts[0].limit(0) if done is None else done.select(KEY, "status")
+
+
+def _reviewed(staged: DataFrame) -> DataFrame:
+    """A verification for each staged result, whose outcome hangs on the candidate's URL alone."""
+    h = F.expr("instr('0123456789abcdef', left(md5(resolvedImageUrl), 1))")
+    checks = [F.lit(True).alias(c) for c in review.CHECKS]
+    body = F.struct(
+        F.when(h < 7, "APPROVE").when(h < 11, "REJECT").otherwise("REVIEW").alias("decision"), F.when(h < 11, 99).otherwise(50).alias("confidence"), *checks,
+        F.lit("why").alias("reason"), F.lit("seen").alias("evidence"),
+    )
+    failed = h > 13
+    return staged.select(KEY, F.when(failed, "ERROR").otherwise("OK").alias("status"), F.when(~failed, F.to_json(body)).alias("payload"), F.when(failed, "timeout").otherwise("").alias("error"))
+
+
+def pass_inputs(spark: SparkSession, sf_dir: str) -> passes.Inputs:
+    """A catalogue with store pages, each with three images, whose fetches share digests."""
+    c = a.catalogue(spark, sf_dir)
+    n = F.col("batchIndex").cast("long") - 1
+    c = c.withColumn("sourcePage", F.concat(F.lit("https://shop"), (n % 37).cast("string"), F.lit(".example.com/products/"), n.cast("string")))
+    slug = F.concat_ws("-", F.replace("productName", F.lit(" "), F.lit("-")), F.replace("size", F.lit(" "), F.lit("-")))
+    images = F.array(F.concat(F.lit("/i/"), slug, F.lit(".jpg")), F.concat(F.lit("/i/"), F.replace("productName", F.lit(" "), F.lit("-")), F.lit("-b.jpg")), F.concat(F.lit("/i/item-"), n.cast("string"), F.lit(".jpg")))
+    payloads = c.select(F.col("sourcePage").alias("page_url"), F.to_json(F.struct(F.col("productName").alias("title"), F.col("brand").alias("vendor"), images.alias("images"))).alias("json"))
+    o = a.overrides(spark, sf_dir)
+    own = c.select(F.explode(F.transform(images, lambda i: F.concat(F.regexp_extract("sourcePage", "^(https?://[^/]+)", 1), i))).alias("url"))
+    every = own.unionByName(o.select(F.col("approvedDirectImageUrl").alias("url"))).unionByName(assemble.direct_candidates(c).select("url"))
+    got = fetched(every).withColumn("sha256", F.sha2(F.substring(F.md5("url"), 1, 3), 256))
+    return passes.Inputs(c, a.domain_map(spark, sf_dir), a.read(spark, sf_dir, "pages").select(F.col("url").alias("page_url"), "html"), payloads, got, o)
+
+
+def three_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three passes of acquisition, verification and retries: what every row ends with."""
+    folder = shared.shared_path(spark, "passes")
+    results, sheet_, rejected = passes.run_passes(spark, pass_inputs(spark, sf_dir), _reviewed, a.rejected(spark, sf_dir), folder, MODEL, NOW)
+    n = rejected.groupBy(F.col(KEY).alias("_r")).agg(F.count(F.lit(1)).alias("n_rejected"))
+    s = sheet_.select(F.col(KEY).alias("_s"), "manualVisualDecision")
+    out = results.join(s, F.col(KEY) == F.col("_s")).join(n, F.col(KEY) == F.col("_r"), "left")
+    return out.select(KEY, "status", "resolvedImageUrl", "origin", "imageCandidateScore", "autoApprovalEligible", "manualVisualDecision", F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"))
+
+
 def human_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.human_rejections(a.decision_events(spark, sf_dir), a.results(spark, sf_dir), a.rejected(spark, sf_dir), NOW)
 
@@ -409,5 +477,6 @@ def queries() -> dict[str, Query]:
         "i12_full_review": whole_review, "i13_decision_counts": counted, "i14_retry": retried, "i15_human_decisions": human, "i15_human_rejected": human_rejected,
         "j1_j2_path_problems": path_problems, "j3_staged_missing": staged_missing, "j4_path_report": path_report, "j5_reconcile": reconciled,
         "j6_identity_audit": identity_audit, "j7_shared_pages": shared_pages, "j8_corrected": corrected, "j9_scope": scope, "j10_domain_weights": weights,
-        "k1_gate": gate, "h5_k1_failures": gate_failures, "k2_k3_regional": regional, "k4_validation": validation, "k5_status": status, "k6_queue": queue,
+        "k1_gate": gate, "h5_k1_failures": gate_failures, "k2_k3_regional": regional, "k4_validation": validation, "k5_status": status, "k6_queue": queue, "k7_passes": three_passes,
+        "l1_stream": streamed_decisions, "l2_stream": streamed_chunks,
     }

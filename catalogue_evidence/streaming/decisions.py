@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from catalogue_evidence.operators.assemble import latest_by_key
+from catalogue_evidence.operators.assemble import KEY, latest_by_key, text
 from catalogue_evidence.operators.review import human_effects, upsert
-
-BUCKETS = 64  # of the keys of a table that a stream keeps
+from catalogue_evidence.streaming import versions
 
 
 def stream_decisions(events: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -29,54 +25,37 @@ def stream_decisions(events: DataFrame, sink: Callable[[DataFrame, int], None],
     )
 
 
-def current(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame | None:
-    """The newest rows of a table that upsert_into() keeps, as of before a batch if said; None if there are none yet.
-
-    Of each bucket the newest version counts. Versions and buckets are names of folders, so that only those are read."""
-    try:
-        every = spark.read.parquet(folder)
-    except AnalysisException:
-        return None
-    if before is not None:
-        every = every.filter(F.col("version") < before)
-    newest = every.groupBy("bucket").agg(F.max("version").alias("version")).collect()  # a row a bucket
-    if not newest:
-        return None
-    wanted = [(F.col("bucket") == r["bucket"]) & (F.col("version") == r["version"]) for r in newest]
-    return every.filter(reduce(or_, wanted)).drop("version", "bucket")
-
-
-def upsert_into(spark: SparkSession, folder: str, key: str = "immutableKey", order: str | None = None, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the newest row of each key as a table under folder: version=N/bucket=B holds the whole bucket
-    as of batch N. A batch writes only the buckets that it touches, and one that runs again writes them again.
-
-    order: a column of arrival by which the last row of a key in a batch counts, left out of the table; without it a
-    batch must have one row a key. Rows with a blank key drop out.
-    """
+def upsert_into(spark: SparkSession, folder: str, key: str = KEY, order: str | None = None, buckets: int = versions.BUCKETS, kept: int = versions.KEPT) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps the newest row of each key as a table of versions under folder, one for each batch.
 
-    def bucket(df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    A batch writes only the buckets that it touches. One that runs again after its version stands changes nothing; one
+    that failed before leaves the version before as it is. order: a column of arrival by which the last row of a key in
+    a batch counts, left out of the table; without it a batch must have one row a key. Rows with a blank key drop out.
+    """
 
     def sink(batch: DataFrame, number: int) -> None:
         new = batch
         if order is not None:  # of equal arrivals the last row of a file
             placed = batch.withColumn("_place", F.struct(order, F.monotonically_increasing_id()))
             new = latest_by_key(placed, "_place", key).drop("_place", order)
-        new = bucket(new.filter(F.coalesce(F.col(key), F.lit("")) != ""))
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # as many as there are buckets at most
-        old = current(spark, folder, number)
-        out = new if old is None else upsert(bucket(old).filter(F.col("bucket").isin(touched)), new, key)
-        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/version={number}")
+        versions.write_version(batch.sparkSession, folder, new.filter(text(key) != ""), number, lambda old, now: upsert(old, now, key), key, buckets, kept)
 
     return sink
 
 
-def stream_chunk_results(spark: SparkSession, path: str, schema: str, folder: str, checkpoint: str) -> StreamingQuery:
+def current(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame | None:
+    """The newest rows of a table that upsert_into() keeps, as of before a batch if said; None if there are none yet."""
+    return versions.snapshot(spark, folder, None if before is None else before - 1)
+
+
+def stream_chunk_results(spark: SparkSession, path: str, schema: str, folder: str, checkpoint: str, files: int | None = None, kept: int = versions.KEPT) -> StreamingQuery:
     """Chunk results that arrive as Parquet files under path, upserted by key into the table under folder: the row of the
-    newest file wins, and in one file the last row."""
+    newest file wins, and in one file the last row. files: as many make a batch at most."""
     arrival = F.struct("_metadata.file_modification_time", "_metadata.file_path")
-    chunks = spark.readStream.schema(schema).parquet(path).select("*", arrival.alias("_arrival"))
+    reader = spark.readStream.schema(schema)
+    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
+    chunks = reader.parquet(path).select("*", arrival.alias("_arrival"))
     return (
-        chunks.writeStream.foreachBatch(upsert_into(spark, folder, order="_arrival")).option("checkpointLocation", checkpoint)
+        chunks.writeStream.foreachBatch(upsert_into(spark, folder, order="_arrival", kept=kept)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -3,15 +3,18 @@ import json
 import struct
 import tempfile
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
-from catalogue_evidence.operators import images, publish, review
+from catalogue_evidence.operators import conflicts, extract, images, publish, review
 from catalogue_evidence.operators.assemble import KEY
 from catalogue_evidence.plans import adapters, passes, queries
-from catalogue_evidence.sources import tables
-from catalogue_evidence.streaming import decisions
+from catalogue_evidence.sources import shared, tables
+from catalogue_evidence.streaming import decisions, versions
 from tests.test_operators import PAGE, payload, rows
 
 CATALOGUE = [
@@ -153,6 +156,96 @@ def test_images(spark, tmp_path):
     assert checks["bad.png"] == "undecodable" and checks["a.png"] == "format is not JPEG"
 
 
+def whole_passes(spark, inputs, verify, rejected, model, now, passes_):
+    """The same passes with every row acquired in each of them."""
+    last = sheet = None
+    for n in range(passes_):
+        if last is not None:
+            inputs = replace(inputs, overrides=passes.proposed(inputs, last))
+        results = passes.acquire(inputs, rejected)
+        if last is not None:
+            done = sheet.filter(f"manualVisualDecision = '{review.APPROVED}'").select(KEY)
+            results = review.upsert(results, last.join(done, KEY, "left_semi"), KEY)
+        results = shared.staged(results, "whole")
+        sheet = review.merge_review_sheet(results, spark.createDataFrame([], ", ".join(f"{c} string" for c in review.SHEET)) if sheet is None else sheet)
+        waiting = review.pending_verification(inputs.catalogue, results, sheet, resume=True).select(KEY)
+        verified = shared.staged(verify(results.join(waiting, KEY, "left_semi")), "whole")
+        rejected = shared.staged(review.upsert_rejected(rejected, review.new_rejections(sheet, verified, results, now)), "whole")
+        sheet = shared.staged(review.full_review(inputs.catalogue, review.apply_verifications(sheet, verified, inputs.catalogue, results, model, now)), "whole")
+        if n < passes_ - 1:
+            last, sheet, _ = review.prepare_retry(results, sheet, include_review=True)
+            last, sheet = shared.staged(last, "whole"), shared.staged(sheet, "whole")
+    return results, sheet, rejected
+
+
+def same_rows(a, b):
+    return sorted(map(str, a.select(b.columns).collect())) == sorted(map(str, b.collect()))
+
+
+def test_passes_over_what_changed_are_those_over_everything(spark, sf_dir, monkeypatch):
+    inputs = queries.pass_inputs(spark, sf_dir)
+    # Pages of their own for some rows, and rendered items, which become overrides of rows without a result.
+    c = inputs.catalogue.withColumn("sourcePage", F.when(F.col("batchIndex").cast("int") % 4 == 1, F.concat(F.lit("https://x.com/"), F.col("batchIndex").cast("int") % 9)).otherwise(F.col("sourcePage")))
+    pages = c.filter("sourcePage like 'https://x.com%'").select(F.col("sourcePage").alias("page_url")).distinct().withColumn("html", F.concat(F.lit('<title>t</title><img src="/a-'), F.monotonically_increasing_id(), F.lit('.jpg">')))
+    searches = c.select(KEY, F.lit(1).alias("rank"), F.concat(F.lit("https://r.com/"), "productId").alias("href"), F.col("productName").alias("title"))
+    name = F.concat_ws("-", F.replace("productName", F.lit(" "), F.lit("-")), "brand", F.replace("size", F.lit(" "), F.lit("-")))
+    items = c.select(F.concat(F.lit("https://r.com/"), "productId").alias("page_url"), F.lit(0).cast("long").alias("disc_ord"), F.concat(F.lit("https://r.com/"), name, F.lit(".jpg")).alias("url"), F.lit("browser-img").alias("origin"), F.concat_ws(" ", "brand", "productName", "size").alias("alt"), F.lit("").alias("page_title"), F.lit(600).alias("w"), F.lit(600).alias("h"))
+    fetched = inputs.fetched.unionByName(queries.fetched(items.select("url")).withColumn("sha256", F.sha2(F.substring(F.md5("url"), 1, 2), 256)))
+    inputs = replace(inputs, catalogue=c, pages=pages, fetched=shared.staged(fetched, "fetched"), searches=searches.limit(0), rendered_searches=searches, rendered=items)
+    inputs = replace(inputs, overrides=shared.staged(inputs.overrides, "overrides"), catalogue=shared.staged(c, "catalogue"), pages=shared.staged(pages, "pages"))
+    parsed, acquired, of = [], [], passes.best_candidates
+
+    def counted(pages_):
+        parsed.extend(r["page_url"] for r in pages_.select("page_url").collect())
+        return plain(pages_)
+
+    def best(inputs_, rejected_, keys=None, pages_=None):
+        out = of(inputs_, rejected_, keys, pages_)
+        acquired.append(out.count())
+        return out
+
+    plain = extract.extract_candidates
+    with monkeypatch.context() as m:
+        m.setattr(passes.extract, "extract_candidates", counted)
+        m.setattr(passes, "best_candidates", best)
+        got = passes.run_passes(spark, inputs, queries._reviewed, adapters.rejected(spark, sf_dir), tempfile.mkdtemp(prefix="spark-"), "m", "now")
+    total = c.count()
+    assert len(parsed) == len(set(parsed)) > 0 and acquired[0] == total and 0 < acquired[2] < acquired[1] < total
+    want = whole_passes(spark, inputs, queries._reviewed, adapters.rejected(spark, sf_dir), "m", "now", 3)
+    assert all(same_rows(x, y) for x, y in zip(got, want))
+    statuses = {r["status"] for r in got[0].select("status").distinct().collect()}
+    assert conflicts.CONFLICT in statuses and {r["origin"] for r in got[0].filter("origin is not null").collect()} >= {"manual-override", "shopify-product-json"}
+
+
+def test_pages_are_parsed_before_candidates_are_planned(spark, sf_dir):
+    inputs = queries.pass_inputs(spark, sf_dir)
+    pages = passes.Pages(inputs)
+    some = inputs.catalogue.filter("batchIndex < 5").select(KEY)
+    out = passes.best_candidates(inputs, adapters.rejected(spark, sf_dir), some, pages)
+    assert "MapInArrow" not in out._jdf.queryExecution().toString() and {r[KEY] for r in out.collect()} == {r[KEY] for r in some.collect()}
+
+
+def test_resumed_runs_and_overrides_alone(spark, sf_dir):
+    inputs = queries.pass_inputs(spark, sf_dir)
+    none = adapters.rejected(spark, sf_dir).limit(0)
+    whole = {r[KEY]: r for r in passes.acquire(inputs, none).collect()}
+    staged = [k for k, r in whole.items() if r["status"].startswith("STAGED")]
+    prior = spark.createDataFrame([r for k, r in whole.items() if k not in staged[:9]] , passes.acquire(inputs, none).schema).withColumn("origin", F.lit("kept"))
+    files = prior.filter("stagingPath is not null").select(F.col("stagingPath").alias("path")).filter(F.crc32("path") % 4 != 0)
+    there = {r["path"] for r in files.collect()}
+    got = {r[KEY]: r for r in passes.resume(inputs, prior, files, none).collect()}
+    assert set(got) == set(whole) and {k for k, r in got.items() if r["origin"] == "kept"} == {k for k in staged[9:] if whole[k]["stagingPath"] in there}
+    assert all(got[k]["resolvedImageUrl"] == whole[k]["resolvedImageUrl"] for k in whole)
+    todo = {r[KEY] for r in inputs.overrides.collect()}
+    back = prior.withColumn("status", F.when(F.crc32(KEY) % 2 == 0, F.lit("ERROR")).otherwise(F.col("status")))
+    was = {r[KEY]: r for r in back.collect()}
+    now = {r[KEY]: r for r in passes.acquire_overrides(inputs, back, none).collect()}
+    for k, r in now.items():
+        fresh = k in todo and not (k in was and was[k]["status"].startswith("STAGED"))
+        assert r["origin"] != "kept" if fresh else r == was[k]
+    assert set(now) == set(was) | {k for k in todo if k not in was}
+
+
 def test_streamed_decisions_are_those_of_the_batch(spark, tmp_path):
     events = rows(spark, [KEY, "event_id long", "ts long", "decision"], *[(f"k{i % 3}", i, i % 4, ("approve", "reject", "skip")[i % 3 if i % 5 else 0]) for i in range(40)])
     for k in range(4):
@@ -175,13 +268,86 @@ def test_streamed_chunks_are_upserted(spark, tmp_path):
     assert got == {"a": "2", "b0": "x", "b1": "x", "b2": "x"}
     assert decisions.current(spark, f"{tmp_path}/none") is None and decisions.current(spark, f"{tmp_path}/out", 0) is None
     # The last row of a key in one batch wins, a batch may run again, and untouched buckets stay where they are.
-    sink = decisions.upsert_into(spark, f"{tmp_path}/own", order="at")
+    own = f"{tmp_path}/own"
+    sink = decisions.upsert_into(spark, own, order="at")
     first = rows(spark, [KEY, "status", "at int"], ("a", "late", 9), ("a", "early", 1), ("b", "x", 1), ("", "blank", 1), ("c", "y", 2))
     sink(first, 3)
     for _ in range(2):
         sink(rows(spark, [KEY, "status", "at int"], ("b", "z", 1), ("b", "w", 2)), 5)
-    got = {r[KEY]: r["status"] for r in decisions.current(spark, f"{tmp_path}/own").collect()}
-    assert got == {"a": "late", "b": "w", "c": "y"} and len(list((tmp_path / "own/version=5").glob("bucket=*"))) == 1
+    assert held(decisions.current(spark, own)) == {"a": "late", "b": "w", "c": "y"} and held(decisions.current(spark, own, 5)) == {"a": "late", "b": "x", "c": "y"}
+    was, now = versions.version(spark, own, 3).buckets, versions.version(spark, own).buckets
+    assert sum(was[b] != now[b] for b in was) == 1 and versions.versions(spark, own) == [3, 5]
+
+
+def held(df):
+    return {r[KEY]: r["status"] for r in df.collect()}
+
+
+def test_readers_see_versions_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    own = f"{tmp_path}/own"
+    sink = decisions.upsert_into(spark, own, buckets=4)
+    sink(rows(spark, [KEY, "status"], *[(f"k{i}", "0") for i in range(20)]), 0)
+    before = held(versions.snapshot(spark, own))
+    publish = versions.Folder.publish
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(versions.Folder, "publish", die)
+    with pytest.raises(RuntimeError):
+        sink(rows(spark, [KEY, "status"], *[(f"k{i}", "1") for i in range(10)]), 1)
+    assert held(versions.snapshot(spark, own)) == before and len(list((tmp_path / "own/data").iterdir())) == 2
+    monkeypatch.setattr(versions.Folder, "publish", publish)
+    sink(rows(spark, [KEY, "status"], *[(f"k{i}", "2") for i in range(5)]), 1)
+    assert held(versions.snapshot(spark, own)) == before | {f"k{i}": "2" for i in range(5)} and held(versions.snapshot(spark, own, 0)) == before
+    assert len(list((tmp_path / "own/data").iterdir())) == 2  # what the lost attempt wrote is gone
+    empty = rows(spark, [KEY, "status"]).limit(0)
+    sink(empty, 2)
+    assert versions.versions(spark, own) == [0, 1, 2] and held(versions.snapshot(spark, own)) == held(versions.snapshot(spark, own, 1))
+    none = f"{tmp_path}/none"
+    assert versions.snapshot(spark, none) is None
+    decisions.upsert_into(spark, none)(empty, 0)
+    assert versions.snapshot(spark, none).count() == 0
+
+
+def test_disk_stays_bounded_over_many_batches(spark, tmp_path):
+    own = tmp_path / "own"
+    sink = decisions.upsert_into(spark, str(own), buckets=3)
+    want, most = {}, 0
+    for n in range(40):
+        new = {f"k{i * n % 31}": str(n) for i in range(3)}
+        sink(rows(spark, [KEY, "status"], *new.items()).coalesce(1), n)
+        want |= new
+        most = max(most, sum(1 for x in own.glob("data/*/bucket=*")))
+    assert held(versions.snapshot(spark, str(own))) == want
+    assert most <= 3 * (versions.KEPT + 1) and len(list((own / "manifests").glob("0*"))) == versions.KEPT
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_batch_lost_around_its_commit_is_replayed(spark, tmp_path, monkeypatch, when):
+    for k in range(3):
+        rows(spark, [KEY, "status"], ("a", str(k)), (f"b{k}", "x")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    start = lambda: decisions.stream_chunk_results(spark, f"{tmp_path}/in", f"{KEY} string, status string", f"{tmp_path}/out", f"{tmp_path}/ck", files=1)
+    write, calls = versions.write_version, []
+
+    def lost(*args, **kwargs):
+        calls.append(args[3])
+        if len(calls) == 2 and when == "before":  # what the batch wrote isn't published
+            with monkeypatch.context() as m:
+                m.setattr(versions.Folder, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+                return write(*args, **kwargs)
+        out = write(*args, **kwargs)
+        if len(calls) == 2:  # the version stands, but the stream doesn't know
+            raise RuntimeError("lost")
+        return out
+
+    monkeypatch.setattr(versions, "write_version", lost)
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination(120)
+    seen = held(versions.snapshot(spark, f"{tmp_path}/out"))
+    assert len(seen) == (2 if when == "before" else 3)
+    start().awaitTermination(120)
+    assert calls == [0, 1, 1, 2] and held(versions.snapshot(spark, f"{tmp_path}/out")) == {"a": "2", "b0": "x", "b1": "x", "b2": "x"}
 
 
 def test_queue_pages_follow_the_catalogue(spark, sf_dir):
@@ -197,7 +363,7 @@ def test_every_sql_query_has_a_twin(spark):
     assert set(oracle_sql()) <= set(queries.queries())
 
 
-@pytest.mark.parametrize("name", ["f1_f2_f10_best_evidence", "i10_verified", "h5_k1_failures", "k6_queue", "j1_j2_path_problems"])
+@pytest.mark.parametrize("name", ["f1_f2_f10_best_evidence", "i10_verified", "h5_k1_failures", "k6_queue", "j1_j2_path_problems", "k7_passes", "l1_stream", "l2_stream"])
 def test_against_sql(spark, sf_dir, name):
     import os
 
