@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue_evidence.functions import urls
 from catalogue_evidence.functions.text import norm_text, significant_tokens
+from catalogue_evidence.operators.skew import skew_join
 
 KEY = "immutableKey"
 #: A candidate's columns beside the row's key and its place of discovery.
@@ -80,13 +81,13 @@ def _blank(*names: str) -> list[Column]:
 
 
 def join_page_candidates(row_pages: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidates of each row's pages. Pages are parsed once and shared by all rows that name them; page bodies, which
-    no score uses, don't travel. candidates: (visited, disc_ord, CANDIDATE)."""
-    order = F.col("page_ord").cast("long") * 1_000_000 + F.col("c.disc_ord")
-    c = candidates.select("visited", "disc_ord", *CANDIDATE).alias("c")
-    return row_pages.alias("p").join(c, F.col("p.page_url") == F.col("c.visited")).select(
-        KEY, order.alias("disc_ord"), *[F.col(f"c.{x}") for x in CANDIDATE]
-    )
+    """Candidates of each row's pages. Pages are parsed once and shared by all rows that name them, however many these
+    are: rows of a page that many share are dealt out. Page bodies, which no score uses, don't travel. candidates:
+    (visited, disc_ord, CANDIDATE)."""
+    rows = row_pages.select(KEY, "page_ord", F.col("page_url").alias("_asked"))
+    met = skew_join(rows, candidates.select("visited", "disc_ord", *CANDIDATE), "_asked", "visited")
+    order = F.col("page_ord").cast("long") * 1_000_000 + F.col("disc_ord")
+    return met.select(KEY, order.alias("disc_ord"), *CANDIDATE)
 
 
 def assemble_candidates(*sources: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions.text import identity_norm
 from catalogue_evidence.operators.assemble import KEY, is_true, text
+from catalogue_evidence.sources.shared import previous
 
 # Fixed value: the form of target paths.
 TARGET = r"^assets/product-images/catalogue-v28/[0-9a-f]{24}\.jpg$"
@@ -34,12 +35,11 @@ def path_problems(manifest: DataFrame) -> DataFrame:
 
 def duplicate_paths(manifest: DataFrame) -> DataFrame:
     """Each further row of a path, naming the key of the row before; paths that occur once are left out before any order
-    is made, and empty paths count like others."""
+    is made. Empty paths count like others, and a path of many rows spreads over tasks."""
     raw = text("targetJpgPath")
     again = manifest.groupBy(raw.alias("_p")).count().filter("count > 1").select("_p")
     rows = manifest.select("row_no", KEY, raw.alias("path")).join(again, F.col("path") == F.col("_p"), "left_semi")
-    before = F.lag(KEY).over(Window.partitionBy("path").orderBy("row_no"))
-    return rows.withColumn("before", before).filter(F.col("before").isNotNull()).select(
+    return previous(rows, ["path"], ["row_no", KEY], KEY, "before", "duplicate-paths").filter(F.col("before").isNotNull()).select(
         "row_no", KEY, F.concat(F.lit("DUPLICATE_PATH_WITH_"), "before").alias("problem"), "path"
     )
 
@@ -120,10 +120,6 @@ def scope_summary(catalogue: DataFrame) -> DataFrame:
     return catalogue.rollup("region").agg(*counts).withColumn("region", F.coalesce("region", F.lit("ALL")))
 
 
-def expected_difference(catalogue: DataFrame, expected: int) -> DataFrame:
-    return catalogue.agg((F.count(F.lit(1)) - F.lit(expected)).alias("difference"))
-
-
 def domain_weights(catalogue: DataFrame) -> DataFrame:
     """(brand, officialDomain, evidenceWeight): rows of each brand on each official domain."""
     rows = catalogue.filter((F.col("sourceClass") == "official-manufacturer-product-page") & (text("sourceDomain") != ""))

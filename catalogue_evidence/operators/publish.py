@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions.text import append_note, image_src, immutable_key, is_truthy
 from catalogue_evidence.operators.assemble import KEY, filled, text
 from catalogue_evidence.operators.conflicts import hash_identity_failures
 from catalogue_evidence.operators.review import APPROVED, PENDING, REVIEWED, decision_counts
+from catalogue_evidence.sources.shared import ranked, staged
 
 # What is said where a reviewer's attestation is missing.
 ATTESTATIONS = {
@@ -119,28 +120,19 @@ def status_report(catalogue: DataFrame, results: DataFrame, review: DataFrame, f
     return n.crossJoin(a).crossJoin(d).crossJoin(there.agg(F.count(F.lit(1)).alias("finalFilesPresent")))  # of one row each
 
 
-def review_queue(catalogue: DataFrame, results: DataFrame, review: DataFrame, page_size: int = 250, buckets: int = 1024) -> DataFrame:
+def review_queue(catalogue: DataFrame, results: DataFrame, review: DataFrame, page_size: int = 250) -> DataFrame:
     """(page, place, pages, batchIndex, immutableKey, brand, productName, size, status, resolvedImageUrl, reason,
-    decision): rows without approval, in the catalogue's order, dealt out in pages.
-
-    The global order is made in two steps: rows fall into ranges of batchIndex, counts of the ranges give each range's
-    first place, and rows are numbered inside their range.
-    """
+    decision): rows without approval, in the catalogue's order, dealt out in pages. Places come from range partitions,
+    so however unevenly batchIndex is spread, no task holds much more than others; rows without a number come first."""
     r = results.select(F.col(KEY).alias("_r"), "status", "resolvedImageUrl", "reason")
     v = review.select(F.col(KEY).alias("_v"), F.col("manualVisualDecision").alias("decision"))
     q = catalogue.select(F.col("batchIndex").try_cast("long").alias("batchIndex"), KEY, "brand", "productName", "size")
     q = q.join(r, F.col(KEY) == F.col("_r"), "left").join(v, F.col(KEY) == F.col("_v"), "left").filter(text("decision") != APPROVED)
-    q = q.withColumn("decision", F.when(text("decision") == "", PENDING).otherwise(F.col("decision")))
-    edge = catalogue.agg(F.min(F.col("batchIndex").try_cast("long")).alias("lo"), F.max(F.col("batchIndex").try_cast("long")).alias("hi"))
-    q = q.crossJoin(F.broadcast(edge))  # of one row
-    q = q.withColumn("_b", F.floor((F.col("batchIndex") - F.col("lo")) * buckets / (F.col("hi") - F.col("lo") + 1)))
-    counts = q.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
-    upto = counts.withColumn("_before", F.sum("n").over(Window.orderBy("_b")) - F.col("n"))  # a row a range
-    upto = upto.withColumn("_all", F.sum("n").over(Window.partitionBy()))
-    upto = F.broadcast(upto.select(F.col("_b").alias("_of"), "_before", "_all"))
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy("batchIndex", KEY))
-    q = q.join(upto, F.col("_b").eqNullSafe(F.col("_of"))).withColumn("place", F.col("_before") + inside)
-    return q.select(
-        (F.floor((F.col("place") - 1) / page_size) + 1).alias("page"), "place", F.ceil(F.col("_all") / page_size).alias("pages"),
+    q = staged(q.drop("_r", "_v").withColumn("decision", F.when(text("decision") == "", PENDING).otherwise(F.col("decision"))), "queue")
+    n = q.count()
+    parts = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // 250_000))
+    placed = ranked(q, [], ["batchIndex", KEY], parts, "_place", "queue-places").withColumn("place", F.col("_place") + 1)
+    return placed.select(
+        (F.floor(F.col("_place") / page_size) + 1).alias("page"), "place", F.lit(-(-n // page_size)).cast("long").alias("pages"),
         "batchIndex", KEY, "brand", "productName", "size", "status", "resolvedImageUrl", "reason", "decision",
     )

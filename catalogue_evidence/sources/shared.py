@@ -72,3 +72,23 @@ def ranked(df: DataFrame, group: list[str], order: list[str], partitions: int, r
         *[out[c] for c in df.columns], (out["_at"] - out["_first"] + F.coalesce(edges["_before"], F.lit(0))).alias(rank)
     )
     return out
+
+
+def previous(df: DataFrame, group: list[str], order: list[str], value: str, out: str, name: str) -> DataFrame:
+    """df with out: the value of the row before in each group by order, null for a group's first row; no task holds a
+    whole group.
+
+    Rows are range-partitioned by (group, order) and look back inside their partition. Only a partition's first row looks
+    into another one: from one row for each partition with its last row's group and value.
+    """
+    cols = [F.col(c) for c in (*group, *order)]
+    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # several a task, so that tasks come out even
+    placed = staged(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols).withColumn("_at", F.monotonically_increasing_id()), name)
+    placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_own", F.struct(*group)).withColumn("_value", F.struct(value))
+    inside = Window.partitionBy("_part").orderBy("_at")
+    looked = placed.withColumn("_of", F.lag("_own").over(inside)).withColumn("_was", F.lag("_value").over(inside))
+    ends = placed.groupBy("_part").agg(F.min("_at").alias("_first"), F.max_by(F.struct("_own", "_value"), "_at").alias("_end"))
+    carried = ends.withColumn("_end", F.lag("_end").over(Window.orderBy("_part"))).select("_first", "_end")  # a row a partition
+    met = looked.join(F.broadcast(carried), looked["_at"] == carried["_first"], "left")
+    of, was = F.coalesce("_of", "_end._own"), F.coalesce("_was", "_end._value")
+    return met.select(*df.columns, F.when(of.eqNullSafe(F.col("_own")), was[value]).alias(out))

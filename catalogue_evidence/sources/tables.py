@@ -14,6 +14,9 @@ def text_schema(fields: list[str]) -> StructType:
     return StructType([StructField(f, StringType()) for f in fields])
 
 
+ACCURACY = 10_000  # of quantiles: they lie at most one row in so many beside the place asked for
+
+
 def read_table_csv(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """Columns of text by the header's names, blank for null; a missing path is a table without rows. A byte order mark
     and line ends in quoted cells are taken as what they are."""
@@ -64,8 +67,22 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 def slice_rows(df: DataFrame, order: str, start: int, limit: int, rows_in_task: int = 250_000) -> DataFrame:
     """Rows start up to start + limit by place, from 0, in order of a whole-numbered column, whatever gaps it has.
 
-    Places come from range partitions, so no task holds all rows. Texts that are no numbers come first; rows of equal
-    numbers are in either order."""
-    numbered = df.withColumn("_n", F.col(order).try_cast("long"))
-    placed = ranked(numbered, [], ["_n"], max(1, -(-df.count() // rows_in_task)), "_place", "slices")
-    return placed.filter((F.col("_place") >= start) & (F.col("_place") < start + limit)).select(*df.columns)
+    Two quantiles enclose the slice, a count says how many rows lie below and between them, and only the rows between
+    them get places, from range partitions. Texts that are no numbers come first; rows of equal numbers are in either
+    order."""
+    number = F.coalesce(F.col(order).try_cast("long"), F.lit(-(1 << 63)))
+    numbered = df.withColumn("_n", number)
+    n = df.count()
+    end = min(n, start + limit)
+    if start >= end:
+        return df.limit(0)
+    room = 2 / ACCURACY
+    shares = [max(0.0, start / n - room), min(1.0, end / n + room)]
+    lo, hi = numbered.agg(F.percentile_approx("_n", shares, ACCURACY).alias("q")).first()["q"]
+    within = lambda lo, hi: (F.col("_n") >= lo) & (F.col("_n") <= hi)
+    counts = numbered.agg(F.count_if(F.col("_n") < lo).alias("below"), F.count_if(within(lo, hi)).alias("inside")).first()
+    below, inside = counts["below"], counts["inside"]
+    if below > start or below + inside < end:  # quantiles may miss by rounding of very large numbers
+        lo, hi, below, inside = -(1 << 63), (1 << 63) - 1, 0, n
+    placed = ranked(numbered.filter(within(lo, hi)), [], ["_n"], max(1, -(-inside // rows_in_task)), "_place", "slice")
+    return placed.filter((F.col("_place") >= start - below) & (F.col("_place") < end - below)).select(*df.columns)

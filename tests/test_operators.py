@@ -1,9 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from catalogue_evidence.operators import assemble, audit, conflicts, extract, review, scoring
+from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring, skew
 from catalogue_evidence.operators.assemble import KEY
+from catalogue_evidence.sources import shared, tables
 
 PAGE = """<html><head><title>Exact Product 60 caps</title>
 <script type="application/ld+json">{"@graph": [{"@type": ["Thing", "product"], "name": "Exact Product 60 capsules", "brand": {"name": "Test Brand"}, "image": "/exact.png"}]}</script>
@@ -200,3 +202,91 @@ def test_evidence_in_parts_is_that_of_the_whole(spark):
     got = scoring._evidence(df.select("*", *want))
     same = [F.col(n).eqNullSafe(F.col(f"want_{n}")) for n in scoring.TOKENS] + [F.array_sort(n).eqNullSafe(F.col(f"want_{n}")) for n in scoring.SIZES]
     assert got.count() == len(cand) and all(got.filter(~c).count() == 0 for c in same)
+
+
+def largest_and_mean(df):
+    """Rows of df's largest task, and of a task in the mean."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes), sum(sizes) / len(sizes)
+
+
+@pytest.fixture
+def plain(spark):
+    """Joins as they are planned, without Spark's own splits of large partitions and without broadcasts of given tables."""
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    was = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def test_rows_of_one_page_spread_over_tasks(plain):
+    n = 4000
+    rows_ = plain.range(n).select(F.concat(F.lit("k"), "id").alias(KEY), F.lit(1).alias("page_ord"), F.when(F.col("id") % 10 < 3, F.lit("hot")).when(F.col("id") % 10 == 3, F.lit(None)).otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("page_url"))
+    pages = rows_.filter("page_url is not null").select(F.col("page_url").alias("visited")).distinct().select("visited", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("disc_ord"))
+    found = pages.select("*", F.concat("visited", F.col("disc_ord").cast("string")).alias("url"), *[F.lit("").alias(c) for c in assemble.CANDIDATE if c != "url"])
+    got = assemble.join_page_candidates(rows_, found)
+    want = rows_.join(found.select("visited", "url", F.col("disc_ord").alias("d")), F.col("page_url") == F.col("visited")).select(KEY, (F.lit(1_000_000) + F.col("d")).alias("disc_ord"), "url")
+    assert sorted(map(tuple, got.select(KEY, "disc_ord", "url").collect())) == sorted(map(tuple, want.collect()))
+    most, mean = largest_and_mean(got)
+    assert most < 1.7 * mean and largest_and_mean(want)[0] > 2.2 * mean
+    assert set(skew.frequent_keys(rows_, "page_url", 32)) == {"hot"} and skew.frequent_keys(rows_, "page_url", 2) == {}
+    twice = skew.skew_join(rows_.unionByName(rows_), found, "page_url", "visited")
+    assert twice.count() == 2 * want.count() and skew.skew_join(rows_.limit(0), found, "page_url", "visited").count() == 0
+    numbers = plain.range(100).select((F.col("id") % 3).alias("a"), "id")
+    assert skew.skew_join(numbers, plain.range(3).withColumnRenamed("id", "b"), "a", "b", 8).count() == 100
+
+
+def test_a_path_of_many_rows_spreads_over_tasks(plain):
+    n = 3000
+    m = plain.range(n).select((n - F.col("id")).alias("row_no"), F.concat(F.lit("k"), "id").alias(KEY), F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 7 == 0, "twice").otherwise(F.concat(F.lit("p"), F.floor(F.col("id") / 5))).alias("targetJpgPath"))
+    want, last = [], {}
+    for r in sorted(m.collect(), key=lambda r: r["row_no"]):
+        p = r["targetJpgPath"] or ""
+        if p in last:
+            want.append((r["row_no"], r[KEY], f"DUPLICATE_PATH_WITH_{last[p]}", p))
+        last[p] = r[KEY]
+    got = audit.duplicate_paths(m)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    most, mean = largest_and_mean(got)
+    assert most < 2.5 * mean and largest_and_mean(got.filter("path = ''"))[0] < 500
+    assert audit.duplicate_paths(m.limit(0)).count() == 0
+
+
+def test_a_row_before_is_found_in_other_partitions(plain):
+    data = [(g, i, i * 7 if i % 5 else None) for g, k in (("a", 1), (None, 40), ("b", 900), ("c", 2)) for i in range(k)]
+    df = plain.createDataFrame(data, "g string, o int, v int")
+    got = {(r["g"], r["o"]): r["was"] for r in shared.previous(df, ["g"], ["o"], "v", "was", "t").collect()}
+    assert got == {(g, o): None if o == 0 else ((o - 1) * 7 if (o - 1) % 5 else None) for g, o, _ in data}
+
+
+def test_slices_sort_only_what_lies_around_them(spark, monkeypatch):
+    seen = []
+    plain_ranked = shared.ranked
+
+    def counted(df, *args):
+        seen.append(df.count())
+        return plain_ranked(df, *args)
+
+    monkeypatch.setattr(tables, "ranked", counted)
+    n = 50_000
+    df = spark.range(n).select("id", F.when(F.col("id") < 3, F.lit("none")).otherwise((F.col("id") * F.col("id")).cast("string")).alias("at"))
+    assert sorted(r["id"] for r in tables.slice_rows(df, "at", 20_000, 50).collect()) == list(range(20_000, 20_050)) and seen[-1] < 300
+    assert sorted(r["id"] for r in tables.slice_rows(df, "at", 1, 5).collect())[-3:] == [3, 4, 5] and tables.slice_rows(df, "at", 0, 5).count() == 5
+    assert [r["id"] for r in tables.slice_rows(df, "at", n - 1, 50).collect()] == [n - 1] and tables.slice_rows(df, "at", n, 50).count() == 0
+    ties = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("at"))
+    assert tables.slice_rows(ties, "at", 400, 900).count() == 900
+    large = spark.createDataFrame([(i, (1 << 62) + i) for i in range(100)], "id int, at long")
+    assert sorted(r["id"] for r in tables.slice_rows(large, "at", 40, 20).collect()) == list(range(40, 60))
+
+
+def test_queue_places_with_uneven_numbers(plain):
+    k = plain.range(2000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 5, "0")).alias(KEY), F.when(F.col("id") == 0, F.lit("x")).otherwise((F.col("id") ** 5).cast("decimal(38,0)").cast("string")).alias("batchIndex"), *[F.lit("").alias(c) for c in ("brand", "productName", "size")])
+    r = k.select(KEY, *[F.lit("").alias(c) for c in ("status", "resolvedImageUrl", "reason")])
+    q = publish.review_queue(k, r, k.select(KEY, F.lit("").alias("manualVisualDecision")), 300)
+    got = [(x["place"], x[KEY], x["page"], x["pages"]) for x in sorted(q.collect(), key=lambda x: x["place"])]
+    assert got == [(i + 1, f"k{i:05d}", i // 300 + 1, 7) for i in range(2000)]
+    most, mean = largest_and_mean(q)
+    assert most < 2 * mean
