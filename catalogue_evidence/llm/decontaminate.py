@@ -30,6 +30,7 @@ def words(text: Column) -> Column:
 
 def shingle_hashes(w: Column, size: int = WORDS) -> Column:
     """The distinct XXH64 values of the shingles of a column of words; fewer words than size make one shingle, none none.
+    Values don't depend on size: words alone are hashed.
 
     The words must be a column by themselves: an expression would be worked out anew for every shingle.
     """
@@ -60,15 +61,25 @@ def item_index(items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS
     )
 
 
-def shingles_of(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """(unit, doc_hash): the distinct shingle hashes of each row of (unit, text)."""
-    return docs.select("unit", words(F.col("text")).alias("words")).select("unit", F.explode(shingle_hashes(F.col("words"), size)).alias("doc_hash"))
+def short_lengths(items: DataFrame, size: int = WORDS) -> list[int]:
+    """The numbers of words, under size, that items have: their one shingle is looked up among documents' runs of as many."""
+    n = F.size(words(F.col("text")))
+    return sorted(r["n"] for r in items.select(n.alias("n")).filter((F.col("n") > 0) & (F.col("n") < size)).distinct().collect())  # size - 1 at most
 
 
-def candidates(docs: DataFrame, index: DataFrame, size: int = WORDS) -> DataFrame:
+def shingles_of(docs: DataFrame, size: int = WORDS, short: list[int] | tuple = ()) -> DataFrame:
+    """(unit, doc_hash): the distinct shingle hashes of each row of (unit, text), and those of runs of as many words as
+    short says."""
+    w = F.col("words")
+    runs = [F.when(F.size(w) >= n, shingle_hashes(w, n)).otherwise(F.array().cast("array<bigint>")) for n in short]
+    hashes = F.array_distinct(F.concat(shingle_hashes(w, size), *runs)) if runs else shingle_hashes(w, size)
+    return docs.select("unit", words(F.col("text")).alias("words")).select("unit", F.explode(hashes).alias("doc_hash"))
+
+
+def candidates(docs: DataFrame, index: DataFrame, size: int = WORDS, short: list[int] | tuple = ()) -> DataFrame:
     """(unit, item_id): pairs of a row of (unit, text) and an item some of whose sketch the text has."""
     sketch = index.filter("in_sketch").select("item_id", "hash")
-    met = shingles_of(docs, size).join(_small(sketch), F.col("doc_hash") == F.col("hash"))
+    met = shingles_of(docs, size, short).join(_small(sketch), F.col("doc_hash") == F.col("hash"))
     return met.select("unit", "item_id").distinct()
 
 
@@ -80,11 +91,12 @@ def _small(df: DataFrame, most: int | None = None) -> DataFrame:
 def _found(docs: DataFrame, items: DataFrame, threshold: float, size: int) -> DataFrame:
     """(unit, item_id, n_shingles, n_found) of each pair that passes. docs: (unit, text); rows of one unit have one text."""
     index = staged(item_index(items, threshold, size), "item-index")
-    pairs = staged(candidates(docs, index, size), "item-candidates")
+    short = short_lengths(items, size)
+    pairs = staged(candidates(docs, index, size, short), "item-candidates")
     asked = _small(pairs.select(F.col("unit").alias("_unit")).distinct(), BROADCAST_UNITS)
     once = docs.join(asked, docs["unit"] == asked["_unit"], "left_semi").groupBy("unit").agg(F.min("text").alias("text"))
     own = pairs.join(_small(index.select("item_id", "n_shingles", "hash")), "item_id")  # all shingles of each candidate item
-    met = own.join(shingles_of(once, size).withColumnRenamed("unit", "_unit"), (F.col("unit") == F.col("_unit")) & (F.col("hash") == F.col("doc_hash")))
+    met = own.join(shingles_of(once, size, short).withColumnRenamed("unit", "_unit"), (F.col("unit") == F.col("_unit")) & (F.col("hash") == F.col("doc_hash")))
     counted = met.groupBy("unit", "item_id", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"))
     return staged(counted.filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - F.lit(1e-9)), "items-found")
 
@@ -96,7 +108,8 @@ def _unit(text: Column) -> Column:
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = WORDS) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found, containment): documents that contain an item to the threshold.
 
-    containment is the share of the item's distinct shingles that the document has. Null and empty texts contain
+    containment is the share of the item's distinct shingles that the document has; an item of fewer words than a
+    shingle is one shingle of its own length and found wherever its words stand side by side. Null and empty texts contain
     nothing. Of rows with one doc_id each counts for itself and the best stands, rows without a doc_id
     together too. Only doc_id and text, item_id and text are read. No rows on either side give no rows.
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ KNOWN = [
     ("Zlib", "licence", "zlib License\n" + ZLIB),
     ("ISC", "notice", "Licensed under the ISC License."),
     ("ISC", "notice", "SPDX-License-Identifier: ISC"),
-    ("Apache-2.0", "licence", APACHE),
+    ("Apache-2.0", "notice", APACHE),
     ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "notice", "Released under the Apache License, Version 2.0."),
     ("Apache-2.0", "notice", "SPDX-License-Identifier: Apache-2.0"),
@@ -65,6 +67,8 @@ KNOWN = [
     ("CC-BY-NC-4.0", "notice", "This work is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "notice", "Released under CC0 1.0."),
 ]
+#: Whole public licences beside this file, each named by its identifier.
+KNOWN += [(f.name.removesuffix(".txt"), "licence", f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
 #: Spellings that count as the same, the left words written as the right ones; applied in this order to whole words.
 EQUIVALENT = [
     ("licence", "license"),
@@ -81,7 +85,7 @@ EQUIVALENT = [
     ("v3 0", "version 3 0"),
 ]
 #: A copyright statement at the start of a line, up to where terms begin in the same line; or else the whole line.
-STATEMENT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]{0,300}?(all rights reserved\.?|permission |redistribution |licen[cs]ed |released under |this software |the software )"
+STATEMENT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*?(all rights reserved\.?|permission |redistribution |licen[cs]ed |released under |this software |the software )"
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*$"
 RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved\.?"
 
@@ -102,10 +106,11 @@ def canonical_text(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] = KNOWN) -> DataFrame:
-    """(license_id, kind, digest) of the known texts; as many rows as the list has different ones."""
+    """(license_id, kind, digest) of the known texts; as many rows as the list has different ones. What is listed as a
+    licence and as a notice is a licence."""
     rows = spark.createDataFrame(known, "license_id string, kind string, known string")
     canon = canonical_text(F.col("known"))
-    return rows.select("license_id", "kind", F.sha2(canon, 256).alias("digest")).dropDuplicates(["license_id", "digest"])
+    return rows.groupBy("license_id", F.sha2(canon, 256).alias("digest")).agg(F.min("kind").alias("kind"))
 
 
 def read_known(spark: SparkSession, folder: str) -> list[tuple[str, str, str]]:

@@ -155,7 +155,7 @@ def groups(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> Dat
 
 def keep_one(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
     """docs with one row left of each group: that of the smallest doc_id, of equal doc_ids one text's
-    (the least hash's), of equal texts the least row.
+    (the least hash's), of equal texts one row.
 
     Rows without a doc_id can't be told apart by it and all stay. All columns stay, whatever their names. No rows give
     no rows.
@@ -168,5 +168,7 @@ def keep_one(docs: DataFrame, most: int = 3, size: int = 3, seed: int = 42) -> D
     same = (docs["doc_id"].cast("long") == chosen[kept]) & (F.xxhash64(docs["text"].cast("string")) == chosen[of]["text_hash"])
     mine = docs.join(chosen, same)
     once = mine.filter(F.col(of)["copies"] == 1).select(*[docs[c] for c in cols])
-    again = mine.filter(F.col(of)["copies"] > 1).groupBy(kept).agg(F.min(F.struct(*[docs[c] for c in cols])).alias(row)).select(f"{row}.*")
+    # Columns may have no order, so rows get numbers, in a table, as numbers change with the order of partitions.
+    again = mine.filter(F.col(of)["copies"] > 1).select(F.col(kept), F.monotonically_increasing_id().alias(of), F.struct(*[docs[c] for c in cols]).alias(row))
+    again = staged(again, "simhash-copies").groupBy(kept).agg(F.min_by(row, of).alias(row)).select(f"{row}.*")
     return once.unionByName(again).unionByName(docs.filter(docs["doc_id"].isNull()))

@@ -228,13 +228,22 @@ def test_contained_items(spark, docs):
     items = spark.createDataFrame([(1, item, 1), (2, "two, words", 1), (3, None, 1), (4, " ,", 1), (5, item, 1)], "item_id long, text string, doc_id long")
     df = spark.createDataFrame(rows, DOCS)
     got = {(r["doc_id"], r["item_id"]): r["containment"] for r in decontaminate.contained(df, items).collect()}
-    assert got == {(d, i): c for d, c in ((1, 1.0), (2, 0.8), (4, 1.0), (None, 1.0)) for i in (1, 5)} | {(6, 2): 1.0}
+    assert got == {(d, i): c for d, c in ((1, 1.0), (2, 0.8), (4, 1.0), (None, 1.0)) for i in (1, 5)} | {(6, 2): 1.0, (7, 2): 1.0}
     kept = decontaminate.decontaminated(df, items)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 7, 8] and kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 8] and kept.columns == df.columns
     assert decontaminate.contained(df, items.limit(0)).count() == 0 and decontaminate.decontaminated(df, items.limit(0)).count() == len(rows)
     assert decontaminate.contained(df.limit(0), items).count() == 0
 
 
+def test_short_items_inside_long_documents(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "Omega"), (3, "two words"), (4, "one two three four five six"), (5, None), (6, "")], "item_id long, text string")
+    texts = [(1, "foo alpha, beta GAMMA bar baz qux"), (2, "alpha beta"), (3, "alpha beta gamma"), (4, "x omega"), (5, "words two two words"), (6, "zero one two three four five six seven"), (7, "omega " + "y " * 5000 + "alpha beta gamma"), (8, None), (9, "alpha gamma beta")]
+    df = spark.createDataFrame([(i, t, "s") for i, t in texts], "doc_id long, text string, unit string")
+    got = sorted((r["doc_id"], r["item_id"], r["containment"]) for r in decontaminate.contained(df, items).collect())
+    assert got == [(1, 1, 1.0), (3, 1, 1.0), (4, 2, 1.0), (5, 3, 1.0), (6, 4, 1.0), (7, 1, 1.0), (7, 2, 1.0)]
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminated(df, items).collect()) == [2, 8, 9]
+
+
 def test_a_benchmark_too_large_to_broadcast_joins_by_shuffle(spark, sf_dir, monkeypatch):
     want = sorted(queries.op4_decontaminate(spark, sf_dir).collect())
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
@@ -363,12 +372,21 @@ def test_licences(spark, docs, tmp_path):
     ]
     got = {(r["doc_id"], r["license_id"], r["kind"], r["scope"]): r["n"] for r in licences.scan(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == {
-        (1, "MIT", "licence", "text"): 1, (2, "MIT", "notice", "line"): 2, (3, "CC-BY-NC-4.0", "notice", "line"): 1, (3, "CC-BY-NC-4.0", "notice", "text"): 1, (None, "Apache-2.0", "licence", "text"): 1,
+        (1, "MIT", "licence", "text"): 1, (2, "MIT", "notice", "line"): 2, (3, "CC-BY-NC-4.0", "notice", "line"): 1, (3, "CC-BY-NC-4.0", "notice", "text"): 1, (None, "Apache-2.0", "notice", "text"): 1,
         (7, "BSD-3-Clause", "licence", "text"): 1, (7, "BSD-3-Clause", "licence", "line"): 1, (8, "MIT", "notice", "text"): 1, (8, "MIT", "notice", "line"): 1, (10, "BSD-2-Clause", "licence", "text"): 1,
     }
     assert licences.scan(docs).count() == 0 and licences.scan(docs.limit(0)).count() == 0
     words = spark.createDataFrame([("licence licence sublicence x",)], "t string").select(licences.canonical_text(F.col("t"))).first()[0]
     assert words == "license license sublicence x"  # whole words only
+    names = ", ".join(f"Name Number{i} of Company{i}" for i in range(40))
+    one_line = spark.createDataFrame([(1, f"Copyright (c) 2020 {names}. " + licences.MIT.replace("\n", " "))], "doc_id long, text string")
+    assert {(r["license_id"], r["scope"]) for r in licences.scan(one_line).collect()} == {("MIT", "text"), ("MIT", "line")}
+    whole = {i: t for i, kind, t in licences.KNOWN if kind == "licence" and len(t) > 5000}
+    assert set(whole) == {"Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"}
+    texts = spark.createDataFrame([(k, t.upper().replace("  ", " ")) for k, t in enumerate(whole.values())], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["license_id"]) for r in licences.scan(texts).filter("kind = 'licence'").collect()) == list(enumerate(whole))
+    twice = [("X", "notice", "some words"), ("X", "licence", "some words")]
+    assert [r["kind"] for r in licences.known_digests(spark, twice).collect()] == ["licence"]
     (tmp_path / "GPL-9.0.txt").write_text("A text of\nterms, v2.0.")
     known = licences.read_known(spark, f"file://{tmp_path}")
     assert known == [("GPL-9.0", "licence", "A text of\nterms, v2.0.")]
@@ -392,6 +410,58 @@ def test_sharding(spark, docs):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def split_share(rows, shards=16):
+    """(share of groups in several shards, linked pairs that are cut) of an operator's rows and texts by doc_id."""
+    by = collections.defaultdict(list)
+    for text, shard in rows:
+        by[text].append(shard)
+    groups = [x for x in by.values() if len(x) > 1]
+    cut = sum(len(x) * (len(x) - 1) // 2 - sum(n * (n - 1) // 2 for n in collections.Counter(x).values()) for x in groups)
+    return sum(len(set(x)) > 1 for x in groups) / max(1, len(groups)), cut
+
+
+def greedy_cut(texts, shards=16):
+    """Linked pairs that are cut when whole groups, the largest first, go to the emptiest shard, cut where it is full."""
+    n, groups = len(texts), collections.Counter(texts)
+    room = {s: n // shards + (s < n % shards) for s in range(shards)}
+    rows = []
+    for text, k in groups.most_common():
+        while k:
+            s = max(room, key=lambda s: (room[s], -s))
+            take = min(k, room[s])
+            room[s] -= take
+            rows += [(text, s)] * take
+            k -= take
+    return split_share(rows)[1]
+
+
+@pytest.mark.parametrize(("linked", "four"), [(1.0, 4), (0.95, 4), (0.5, 4), (1.0, 7)])
+def test_groups_gather_however_much_is_linked(spark, linked, four):
+    n = 16_000
+    texts = [f"g{i // four}" if i < linked * n else f"own {i}" for i in range(n)]
+    got = sharding.shard(spark.createDataFrame([(i, t, "", 0, 0) for i, t in enumerate(texts)], DOCS), 16).select("doc_id", "shard", "slot").collect()
+    size = collections.Counter(r["shard"] for r in got)
+    assert len(got) == n and max(size.values()) - min(size.values()) <= 1
+    split, cut = split_share((texts[r["doc_id"]], r["shard"]) for r in got)
+    pairs = linked * n * (four - 1) / 2
+    # One group for each two of the shards may stay split where all shards are full, which is little at larger sizes.
+    assert split <= 0.02 + (linked == 1) * 120 / (n * linked / four) and cut <= greedy_cut(texts) + 0.05 * pairs
+
+
+def test_hot_groups_and_shares_of_all_sizes(spark):
+    rng = random.Random(4)
+    texts = ["hot"] * 5000 + [f"g{int(rng.paretovariate(0.7))}" for _ in range(7000)] + [f"own {i}" for i in range(3001)]
+    got = sharding.shard(spark.createDataFrame([(i, t, "", 0, 0) for i, t in enumerate(texts)], DOCS), 16).select("doc_id", "shard").collect()
+    size = collections.Counter(r["shard"] for r in got)
+    assert len(got) == len(texts) and max(size.values()) - min(size.values()) <= 1
+    by = collections.defaultdict(set)
+    for r in got:
+        by[texts[r["doc_id"]]].add(r["shard"])
+    assert len(by["hot"]) <= 9  # 5,000 rows need six shards of 938
+    small = [len(s) for t, s in by.items() if t.startswith("g") and texts.count(t) in range(2, 20)]
+    assert sum(k > 1 for k in small) / len(small) < 0.05
+
+
 def simple_neighbours(text, examples, weight, telling):
     """Cosines of a text with all examples, from whole vectors."""
 
@@ -565,6 +635,11 @@ def test_columns_with_the_names_that_operators_use(spark, clashing):
     assert nearest.search(vectors, F.col("vec_id") == 0).count() == 3
     stages = [toxicity.reject(clashing, labels), simhash.keep_one(clashing), decontaminate.decontaminated(clashing, items), secrets.redact(clashing, queries.BYTE_RANKS, queries.PATTERN)]
     assert all(s.columns == clashing.columns for s in stages)
+    # Columns without an order, as maps are, go through every stage.
+    maps = clashing.unionByName(clashing).withColumn("m", F.create_map(F.lit("a"), F.col("text")))
+    through = [toxicity.reject(maps, labels), simhash.keep_one(maps), decontaminate.decontaminated(maps, items), secrets.redact(maps, queries.BYTE_RANKS, queries.PATTERN)]
+    assert [s.count() for s in through] == [2 * k.count() if i != 1 else stages[1].count() + 1 for i, k in enumerate(stages)]
+    assert sorted((r["doc_id"] or 0, r["m"]["a"]) for r in through[1].filter("text is not null").collect())[0] == (0, "one two")
     assert stages[2].count() == 4 and stages[3].count() == n and stages[1].filter("doc_id is null").count() == 1
     assert sorted((r["doc_id"] or 0) for r in stages[1].collect()) == [0, 1, 2, 3]
 
