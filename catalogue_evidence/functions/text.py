@@ -6,6 +6,8 @@ themselves, made in an earlier select.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,21 +32,60 @@ SIZE_PATTERNS = [
 ]
 # Volumes that count as the same size, the left one in millilitres.
 EQUIVALENT_SIZES = {"30ml": "1floz", "60ml": "2floz", "120ml": "4floz"}
-#: Entities resolved without a Python helper; the ampersand's comes last, so that nothing is resolved twice.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&trade;": "™", "&reg;": "®", "&amp;": "&"}
+#: The public table of character names, as the standard library has it, for a map by one literal.
+NAMED = "\x01".join(f"{k}\x02{v}" for k, v in sorted(html5.items()))
+LONGEST = max(map(len, html5))
+#: What a reference may look like behind its ampersand.
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Numbers that stand for the characters of an older code page, where that has any.
+OLD_PAGE = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 # What counts as true.
 TRUTHY = ["true", "yes", "1", "approved"]
 
 
+def _numbered(ref: Column) -> Column:
+    """The character of a reference by number, without its ampersand: none for what isn't a character in a page, and the
+    mark of a bad one for surrogates and what lies beyond all characters."""
+    hexadecimal = F.lower(F.substring(ref, 2, 1)) == "x"
+    digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
+    large = F.length(digits) > F.when(hexadecimal, 6).otherwise(7)
+    n = F.when(large, F.lit(1 << 24)).when(digits == "", F.lit(0)).otherwise(F.call_function("conv", digits, F.when(hexadecimal, 16).otherwise(10), F.lit(10)).cast("int"))
+    bad, text = F.lit("\ufffd"), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    nothing = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 65536 >= 65534)
+    return (
+        F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), bad).when(n.between(0x80, 0x9F), F.substring(F.lit(OLD_PAGE), n - 0x7F, F.lit(1)))
+        .when(nothing, "").otherwise(text)
+    )
+
+
+def _referred(part: Column) -> Column:
+    """A part of a text behind an ampersand, the reference at its beginning resolved: by number, by name, or by the longest
+    name that it begins with; without any, the ampersand stays."""
+    ref = F.regexp_extract(part, REFERENCE, 1)
+    names = F.str_to_map(F.lit(NAMED), F.lit("\x01"), F.lit("\x02"))
+    lengths = F.sequence(F.least(F.length(ref), F.lit(LONGEST)), F.lit(2), F.lit(-1))
+    known = F.get(F.filter(F.when(F.length(ref) >= 2, lengths), lambda n: F.map_contains_key(names, F.substring(ref, F.lit(1), n))), F.lit(0))
+    named = F.concat(names[F.substring(ref, F.lit(1), known)], F.substring(part, known + 1, F.length(part)))
+    numbered = F.concat(_numbered(ref), F.substring(part, F.length(ref) + 1, F.length(part)))
+    return F.when(ref.startswith("#"), numbered).when(known.isNotNull(), named).otherwise(F.concat(F.lit("&"), part))
+
+
 def unescape(c: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """A text with its character references resolved, each once, as browsers do. c should be a column by itself: texts
+    without an ampersand stay as they are."""
+    parts = F.split(c, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _referred)
+    return F.when(c.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
 def norm_text(c: Column) -> Column:
     """Lower case, units in one spelling, and single blanks for all but letters a-z, digits and points. Null is empty."""
-    c = F.translate(F.lower(unescape(F.coalesce(c, F.lit("")))), "™®", "  ")
+    return norm_of(unescape(F.coalesce(c, F.lit(""))))
+
+
+def norm_of(c: Column) -> Column:
+    """norm_text() of a text whose character references are resolved already."""
+    c = F.translate(F.lower(c), "™®", "  ")
     for was, now in UNIT_ALIASES.items():
         c = F.replace(c, F.lit(was), F.lit(now))
     return F.trim(F.regexp_replace(c, "[^a-z0-9.]+", " "))

@@ -33,6 +33,21 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.md5(F.col("norm").cast("binary")).alias("norm_md5"), F.size("tokens").alias("n_tokens"), F.md5(listed(F.col("tokens")).cast("binary")).alias("tokens_md5"), listed(F.array_sort("sizes")).alias("sizes"))
 
 
+#: Character references, one for each part number in turn.
+REFERENCES = [
+    "&eacute;", "&#233;", "&#xE9", "&notit;", "&frac12;", "&amp;amp;", "&#53;0", "&unknown;", "&#x38;&#x30", "&rarr;",
+    "& 3", "&#128;", "&Tab;", "&copy5", "&#0;", "&lt;b&gt", "&#9999999999;", "&;", "&#11;", "&ampx",
+]
+
+
+def references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normal forms of names with a character reference beside a number."""
+    ref = F.array(*[F.lit(x) for x in REFERENCES])[(F.col("p_partkey") % len(REFERENCES)).cast("int")]
+    named = F.concat_ws(" ", "p_name", F.concat(F.col("p_partkey").cast("string"), ref, F.lit("mg")), "p_brand")
+    p = a.read(spark, sf_dir, "part").select("p_partkey", named.alias("x"))
+    return p.select("p_partkey", F.md5(text.norm_text(F.col("x")).cast("binary")).alias("norm_md5"))
+
+
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = a.read(spark, sf_dir, "part").select("p_partkey", text.significant_tokens(F.concat_ws(" ", "p_name", "p_brand")).alias("need"), text.significant_tokens(F.concat_ws(" ", "p_type", "p_brand")).alias("hay"), text.size_signatures(F.concat_ws(" ", F.col("p_size").cast("string"), F.lit("caps"))).alias("want"), text.size_signatures(F.concat_ws(" ", F.lit("10"), F.lit("capsules"))).alias("have"))
     return p.select("p_partkey", F.round(text.token_coverage(F.col("need"), F.col("hay")), 6).alias("coverage"), text.exact_size_match(F.col("want"), F.col("have")).alias("size_match"))
@@ -464,7 +479,7 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "b1_b4_text": texts, "b3_b5_coverage": coverage, "b6_b12_identity": identities, "c2_c12_urls": url_rules, "c13_e1_search_query": search_queries,
+        "b1_b4_text": texts, "b1_references": references, "b3_b5_coverage": coverage, "b6_b12_identity": identities, "c2_c12_urls": url_rules, "c13_e1_search_query": search_queries,
         "d1_page_titles": page_titles, "d2_products": page_products, "d3_d8_candidates": page_candidates, "d7_store_json": store_candidates,
         "a1_a2_csv": through_csv, "a3_regions": through_regions, "a4_json": through_json, "a7_slice": sliced, "c9_c11_wrapped_urls": wrapped_urls,
         "d9_rendered": rendered_items, "d12_rendered_search": rendered_results, "e3_overrides": override_rows, "e5_page_join": joined_pages,

@@ -85,3 +85,21 @@ def test_search_query(spark):
     assert value(spark, urls.search_query(none, *args)) == '"B" "P" "60 caps" "S1" buy product 12345678'
     some = F.array(*[F.lit(d) for d in ("d.com", "c.com", "b.com", "a.com")])
     assert value(spark, urls.search_query(some, *args)) == "(site:a.com OR site:b.com OR site:c.com) P 60 caps 12345678"
+
+
+def test_references_are_resolved_like_the_standard_library(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(2)
+    names = sorted(html5)
+    parts = ["&", "#", ";", "x", "X", " ", "a", "b1", "&#", "&#x", "&amp;", "&am", "mp;", "<", "é", "\n", "\U0001f600", "&" + "a" * 40]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(1500)]
+    texts += [f"a&{n}b" for n in names] + [f"&{n.rstrip(';')}{rng.choice(['x', ';', ' ', '&', '1', ''])}" for n in names]
+    texts += [f"&#{n}{e}" for n in [*range(300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 10**30] for e in (";", "", "z")]
+    texts += [f"&#x{n:x};&#X{n:X}" for n in [*range(300), 0xD800, 0xFFFE, 0x1F600, 0x10FFFF, 0x110000, 16**20]] + ["&#000000000065;", "&#x0000000041;", "&#", "&#;", "&#x;", "", "&", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["u"] for r in df.select("t", text.unescape(F.col("t")).alias("u")).collect()]
+    wrong = [(t, html.unescape(t), u) for t, u in zip(texts, got) if t is not None and html.unescape(t) != u]
+    assert not wrong and got[-1] is None
