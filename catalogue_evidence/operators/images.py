@@ -1,7 +1,9 @@
 """Image checks on Spark's decoded pixels; statistics in a numpy helper, the rest in columns.
 
-Pixels come from the JVM's decoders, which know no WebP or AVIF: such files count as undecodable. Resampling is by area
-means, so equal images have equal hashes, but hashes aren't those of other imaging libraries bit for bit.
+Pixels come from the JVM's decoders, which know no WebP or AVIF: such files count as undecodable. Images shrink by
+antialiased cubic convolution with weights in fixed point, and turn grey in whole numbers, so hashes of equal pixels
+can be compared with those that other imaging libraries left in a results table. Decoders may differ by a step in the
+pixels of lossy formats.
 """
 
 from __future__ import annotations
@@ -15,22 +17,47 @@ from pyspark.sql import functions as F
 
 # Limits of a good image; the messages stand in quality_error().
 LEAST_BYTES, LEAST_SIDE, LEAST_RATIO, MOST_RATIO, LEAST_ENTROPY, LEAST_SPREAD = 2_000, 240, 0.18, 5.5, 2.0, 4.0
+BITS = 22  # of resampling weights
+# Weights of red, green and blue in grey, in 65,536ths.
+LUMA = (19_595, 38_470, 7_471)
 QUALITY = "path string, length long, width int, height int, entropy double, stddev double, dhash string"
 
 
+def taps(n: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, weights): the places of n from which each of `to` places is drawn, and the weight of each, in units of
+    1 / 2**BITS. Cubic convolution with a = -0.5, widened by the ratio where an image shrinks; weights add up to 1."""
+    scale = n / to
+    wide = max(scale, 1.0)
+    middle = (np.arange(to) + 0.5) * scale
+    first = np.maximum((middle - 2 * wide + 0.5).astype(int), 0)
+    end = np.minimum((middle + 2 * wide + 0.5).astype(int), n)
+    at = first[:, None] + np.arange((end - first).max())
+    t = np.abs((at - middle[:, None] + 0.5) / wide)
+    cubic = np.where(t < 1, (1.5 * t - 2.5) * t * t + 1, np.where(t < 2, ((-0.5 * t + 2.5) * t - 4) * t + 2, 0.0))
+    cubic = np.where(at < end[:, None], cubic, 0.0)
+    share = cubic / cubic.sum(1, keepdims=True) * (1 << BITS)
+    return first, np.trunc(share + np.copysign(0.5, share)).astype(np.int64)
+
+
 def resized(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
-    """pixels (h, w, channels) as area means over a grid of width by height, rounded to bytes."""
+    """pixels (h, w, channels) on a grid of width by height: rows first, then columns, each rounded to bytes."""
+
+    def drawn(a: np.ndarray, to: int) -> np.ndarray:
+        if len(a) == to:
+            return a
+        first, weight = taps(len(a), to)
+        out = np.full((to, *a.shape[1:]), 1 << (BITS - 1), np.int64)
+        for k in range(weight.shape[1]):  # as many as an output place has taps, not as an image has pixels
+            out += a[np.minimum(first + k, len(a) - 1)] * weight[:, k].reshape(-1, *[1] * (a.ndim - 1))
+        return np.clip(out >> BITS, 0, 255)
+
+    across = drawn(pixels.astype(np.int64).swapaxes(0, 1), width).swapaxes(0, 1)
+    return drawn(across, height).astype(np.uint8)
 
-    def pool(a: np.ndarray, n: int) -> np.ndarray:
-        edges = np.linspace(0, len(a), n + 1)
-        upto = np.concatenate((np.zeros((1, *a.shape[1:])), np.cumsum(a, 0, dtype=np.float64)))
-        low = np.minimum(edges.astype(int), len(a) - 1)
-        share = (edges - low).reshape(-1, *[1] * (a.ndim - 1))
-        at = upto[low] + a[low] * share
-        return np.diff(at, axis=0) / (len(a) / n)
 
-    rows = pool(pixels.astype(np.float64), height)
-    return np.clip(np.rint(pool(rows.swapaxes(0, 1), width).swapaxes(0, 1)), 0, 255).astype(np.uint8)
+def grey_of(pixels: np.ndarray) -> np.ndarray:
+    """Luma of ITU-R 601 in whole numbers, as (h, w, 1)."""
+    return ((pixels.astype(np.int64) @ np.array(LUMA) + (1 << 15)) >> 16)[:, :, None]
 
 
 def same_path(path: Column) -> Column:
@@ -52,8 +79,7 @@ def entropy(pixels: np.ndarray) -> float:
 
 def dhash(pixels: np.ndarray) -> str:
     """Bit 8y + x says whether the grey of a 9 by 8 image falls from place x to the next in row y; 16 hex digits."""
-    grey = pixels @ np.array([0.299, 0.587, 0.114])
-    tiny = resized(np.rint(grey)[:, :, None], 9, 8)[:, :, 0].astype(int)
+    tiny = resized(grey_of(pixels), 9, 8)[:, :, 0]
     bits = (tiny[:, :-1] > tiny[:, 1:]).ravel()
     return f"{sum(1 << i for i in np.flatnonzero(bits).tolist()):016x}"
 

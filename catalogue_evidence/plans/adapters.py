@@ -174,3 +174,39 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     img = "concat('<meta property=\"og:image\" content=\"/og', page_id % 3, '.png\"><img class=\"wp-post-image\" src=\"/p', page_id, '.jpg\" alt=\"Item ', page_id, '\" srcset=\"/p', page_id, '.jpg 1x, //cdn.example.com/q', page_id, '.jpg 2x\"><img src=\"/site-logo.png\">')"
     ld = "concat('<script type=\"application/ld+json\">{\"@graph\":[{\"@type\":[\"Thing\",\"product\"],\"name\":\"Item ', page_id, '\",\"brand\":{\"name\":\"B', page_id % 5, '\"},\"image\":[\"/ld', page_id, '.jpg\"]}]}</script>')"
     return read(spark, sf_dir, "pages").selectExpr("page_id", f"concat('https://pages.example.com/', page_id) as page_url", f"concat(html, {img}, {ld}) as html")
+
+
+#: Images that drawings() makes, by supplier number in turn: pixels of a cell across and down, and bytes of the image.
+#: Images are eight by eight cells; sizes are such that every byte of the file is ASCII.
+GRIDS = [(40, 40, 5888)] * 6 + [(13, 13, 2048), (32, 192, 27904)]
+BLANK, BROKEN, TINY = 5, 8, 9  # places in turn: of one colour, not an image, and shorter than any image may be
+TURNS = 10
+
+
+def cell_colour(k: Column, cell: Column, channel: int) -> Column:
+    """0 to 126, for the red (0), green (1) or blue (2) of a cell."""
+    return (k * 37 + cell * cell * 11 + cell * (k % 13) * 29 + channel * 53) % 127
+
+
+def drawings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s_suppkey, content): a run-length coded bitmap of 64 colours for each supplier, as text of ASCII characters."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").cast("long").alias("k"))
+    turn = (F.col("k") % TURNS).cast("int")
+    grid = F.array(*[F.array(*map(F.lit, g)) for g in GRIDS])
+    s = s.withColumn("turn", turn).withColumn("g", F.coalesce(F.get(grid, turn), F.array(F.lit(1), F.lit(1), F.lit(1))))
+    wide, high, size = (F.col("g")[i] for i in range(3))
+    short = lambda n: F.concat(F.char(n % 256), F.char(F.floor(n / 256)))
+    whole = lambda n: F.concat(short(n), F.repeat(F.char(F.lit(0)), 2))
+    zero = F.char(F.lit(0))
+    head = F.concat(
+        F.lit("BM"), whole(size + 310), whole(F.lit(0)), whole(F.lit(310)), whole(F.lit(40)), whole(wide * 8), whole(high * 8),
+        short(F.lit(1)), short(F.lit(8)), whole(F.lit(1)), whole(size), whole(F.lit(0)), whole(F.lit(0)), whole(F.lit(64)), whole(F.lit(64)),
+    )
+    cells = F.sequence(F.lit(0), F.lit(63))
+    own = lambda i: F.when(F.col("turn") == BLANK, F.lit(0)).otherwise(i)
+    palette = F.array_join(F.transform(cells, lambda i: F.concat(*[F.char(cell_colour(F.col("k"), own(i), c)) for c in (2, 1, 0)], zero)), "")
+    line = lambda y: F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda x: F.concat(F.char(wide), F.char(y * 8 + x))), ""), zero, zero)
+    lines = F.array_join(F.transform(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), lambda y: F.repeat(line(y), high)), "")  # from the bottom up
+    image = F.rpad(F.concat(lines, zero, F.char(F.lit(1))), size, zero)
+    content = F.when(F.col("turn") == BROKEN, F.repeat(F.lit("x"), 3000)).when(F.col("turn") == TINY, F.lit("tiny")).otherwise(F.concat(head, palette, image))
+    return s.select("s_suppkey", content.alias("content"))

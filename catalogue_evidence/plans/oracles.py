@@ -266,6 +266,49 @@ def _counts(name: str, table: str, label: str) -> str:
     return f"(select string_agg(k || '=' || c, ';' order by k) from (select {label} k, count(*) c from {table} group by 1)) \"{name}\""
 
 
+#: Suppliers by turn, with the cells of their drawings in pixels and the bytes of the image; turns from 8 have none.
+DRAWN = """drawn as (select s_suppkey, s_suppkey::bigint k, t, case when t < 6 then 40 when t = 6 then 13 when t = 7 then 32 end w, case when t < 6 then 40 when t = 6 then 13 when t = 7 then 192 end h,
+  case when t < 6 then 5888 when t = 6 then 2048 when t = 7 then 27904 end size from (select *, (s_suppkey % 10)::int t from supplier)),
+sized as (select *, coalesce(w * 8, -1)::int width, coalesce(h * 8, -1)::int height, (case t when 8 then 3001 when 9 then 5 else size + 311 end)::bigint length from drawn)"""
+
+
+def drawing_checks() -> str:
+    """Quality, hashes and checks of the drawings. Resampling weights are added up by cell, as cells are of one colour."""
+    colour = lambda c: f"(k * 37 + j * j * 11 + j * (k % 13) * 29 + {c} * 53) % 127"
+    short = lambda n: f"concat(chr(({n} % 256)::int), chr(({n} // 256)::int))"
+    whole = lambda n: f"concat({short(n)}, chr(0), chr(0))"
+    head = ", ".join(["'BM'", *map(whole, ("(size + 310)", "0", "310", "40", "(w * 8)", "(h * 8)")), short("1"), short("8"), *map(whole, ("1", "size", "0", "0", "64", "64"))])
+    byte = lambda x: f"greatest(0, least(255, floor(({x} + 2097152) / 4194304)))"
+    grid = lambda name, nx, ny, source: f"""{name}_h as (select c.k, c.c, c.y, c.w, c.h, wx.o ox, {byte("sum(wx.g * c.v)")} v from {source} c join weights wx on wx.n = c.w * 8 and wx.m = {nx} and wx.cell = c.x group by all),
+{name} as (select a.k, a.c, a.ox, wy.o oy, {byte("sum(wy.g * a.v)")} v from {name}_h a join weights wy on wy.n = a.h * 8 and wy.m = {ny} and wy.cell = a.y group by all)"""
+    return sql(
+        DRAWN,
+        f"""texts as (select k, case t when 8 then repeat('x', 3000) when 9 then 'tiny' else concat({head},
+    (select string_agg(concat(chr(({colour(2)})::int), chr(({colour(1)})::int), chr(({colour(0)})::int), chr(0)), '' order by i) from (select i, case when t = 5 then 0 else i end j from range(64) r(i))),
+    (select string_agg(repeat(concat((select string_agg(concat(chr(w), chr((y * 8 + x)::int)), '' order by x) from range(8) b(x)), chr(0), chr(0)), h), '' order by y desc) from range(8) a(y)),
+    chr(0), chr(1), repeat(chr(0), size - h * 8 * 18 - 2)) end || chr(10) as content from drawn)""",
+        f"""cells as (select k, w, h, i % 8 x, i // 8 y, c, case c when 0 then {colour(0)} when 1 then {colour(1)} else {colour(2)} end v
+    from (select *, case when t = 5 then 0 else i end j from drawn, range(64) r(i), range(3) s(c) where t < 8))""",
+        "greys as (select k, w, h, x, y, 0 c, (sum(v * case c when 0 then 19595 when 1 then 38470 else 7471 end)::bigint + 32768) // 65536 v from cells group by k, w, h, x, y)",
+        "axes as (select distinct n, m, n / m scale, greatest(n / m, 1.0::double) wide from (select unnest([w, h]) * 8 n from drawn), (select unnest([8, 9, 96, 128]) m) where n is not null)",
+        "spans as (select *, (o + 0.5::double) * scale mid from (select *, unnest(range(m)) o from axes))",
+        "ends as (select *, greatest(trunc(mid - 2 * wide + 0.5::double), 0)::bigint lo, least(trunc(mid + 2 * wide + 0.5::double), n)::bigint hi from spans)",
+        "taps as (select *, abs((p - mid + 0.5::double) / wide) d from (select *, unnest(range(lo, hi)) p from ends))",
+        "cubics as (select *, case when d < 1 then (1.5::double * d - 2.5::double) * d * d + 1 when d < 2 then -0.5::double * (d * d * d - 5 * d * d + 8 * d - 4) else 0 end q from taps)",
+        "weights as (select n, m, o, p * 8 // n cell, sum(g)::bigint g from (select *, round(q / sum(q) over (partition by n, m, o) * 4194304)::bigint g from cubics) group by all)",
+        grid("fine", 128, 128, "cells"), grid("mid", 96, 96, "cells"), grid("tiny", 9, 8, "greys"),
+        "ent as (select k, -sum(p * log2(p)) entropy from (select k, count(*) / 49152.0::double p from fine group by k, c, v) group by k)",
+        "spread as (select k, avg(sd) stddev from (select k, stddev_pop(v) sd from mid group by k, c) group by k)",
+        "bits as (select k, oy, sum(case when v > after then (1 << ox) else 0 end)::int bits from (select *, lead(v) over (partition by k, oy order by ox) after from tiny) where ox < 8 group by k, oy)",
+        "hashed as (select k, string_agg(printf('%02x', bits), '' order by oy desc) dhash from bits group by k)",
+        """select s.s_suppkey::bigint s_suppkey, length, width, height, round(entropy, 6) entropy, round(stddev, 6) stddev, dhash, sha256(content) sha256,
+  case when length < 2000 then 'image smaller than 2 KB' when width <= 0 then 'undecodable image' when least(width, height) < 240 then concat('dimensions too small: ', width, 'x', height)
+    when width / height < 0.18 or width / height > 5.5 then concat('extreme aspect ratio: ', printf('%.3f', width / height)) when entropy < 2 or stddev < 4 then 'blank or near-blank image' else '' end error,
+  case when width <= 0 then 'undecodable' else 'format is not JPEG' end jpeg_error
+from sized s join texts using (k) left join ent using (k) left join spread using (k) left join hashed using (k)""",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     key = '"immutableKey"'
     img = "concat('https://pages.example.com/', page_id)"
@@ -303,6 +346,8 @@ def oracle_sql() -> dict[str, str]:
           hits as (select c.{key} k, disc_ord, case when disc_ord % 4 = 0 then replace(page_url, 'www.supplier', 'www.amazon.supplier') else page_url end u, domains from cand c join catd d on c.{key} = d.{key}),
           ok as (select k, u, min(disc_ord) ro, min(case when len(list_filter(domains, lambda d: ends_with({domain('u')}, d))) > 0 then 0 else 1 end) pr from hits where not contains({domain('u')}, 'amazon.') group by 1, 2)""",
           f"select k {key}, page_ord::int page_ord, u page_url from (select *, row_number() over (partition by k order by pr, ro, u) page_ord from ok) where page_ord <= 6"),
+        "a5_a6_image_files": sql(DRAWN, "select s_suppkey::bigint s_suppkey, length, width, height, (case when t < 8 then 3 else -1 end)::int channels from sized"),
+        "g1_g4_images": drawing_checks(),
         "e3_overrides": sql(CATALOGUE, OVERRIDES, f"select {key}, 0::bigint disc_ord, url, page_url, 'manual-override' origin, alt from ovr"),
         "e5_page_join": sql(CATALOGUE, f"""select {key}, 2000000 + i disc_ord, "sourcePage" || '/i' || i || '.jpg' url from cat, (select unnest([0, 1]) i)"""),
         "e6_flag_rejected": sql(CATALOGUE, CANDIDATES, f"""bad as (select distinct {key}, url from cand where disc_ord % 3 = 0 union select {key}, page_url from cand where disc_ord % 5 = 0)""",

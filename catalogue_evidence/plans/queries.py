@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue_evidence.functions import text, urls
-from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring
+from catalogue_evidence.operators import assemble, audit, conflicts, extract, images, publish, review, scoring
 from catalogue_evidence.operators.assemble import KEY
 from catalogue_evidence.plans import adapters as a
 from catalogue_evidence.plans import passes
@@ -477,6 +477,34 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("page", "place", "pages", KEY, "decision")
 
 
+def drawn(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of an image file for each supplier."""
+    root = shared.shared_path(spark, "drawings")
+    tables.write_files(a.drawings(spark, sf_dir), root, "s_suppkey", "content")
+    return root
+
+
+def supplier_of(path: str) -> Column:
+    return F.regexp_extract(path, r"s_suppkey=(\d+)/", 1).cast("long").alias("s_suppkey")
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = drawn(spark, sf_dir)
+    found = tables.list_files(spark, root, "*.txt").select(supplier_of("path"), "length")
+    decoded = tables.read_images(spark, root).select(supplier_of("image.origin"), "image.width", "image.height", F.col("image.nChannels").alias("channels"))
+    return found.join(decoded, "s_suppkey").select("s_suppkey", "length", "width", "height", "channels")
+
+
+def image_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = drawn(spark, sf_dir)
+    decoded, files = tables.read_images(spark, root), tables.read_files(spark, root, "*.txt")
+    quality = images.image_quality(decoded, files.select("path", "length"))
+    quality = quality.select(supplier_of("path"), "width", "height", F.round("entropy", 6).alias("entropy"), F.round("stddev", 6).alias("stddev"), "dhash", "error")
+    hashes = images.content_hash(files).select(supplier_of("path"), "length", "sha256")
+    staged = images.jpeg_check(files, decoded).select(supplier_of("path"), F.col("error").alias("jpeg_error"))
+    return quality.join(hashes, "s_suppkey").join(staged, "s_suppkey")
+
+
 def queries() -> dict[str, Query]:
     return {
         "b1_b4_text": texts, "b1_references": references, "b3_b5_coverage": coverage, "b6_b12_identity": identities, "c2_c12_urls": url_rules, "c13_e1_search_query": search_queries,
@@ -493,5 +521,6 @@ def queries() -> dict[str, Query]:
         "j1_j2_path_problems": path_problems, "j3_staged_missing": staged_missing, "j4_path_report": path_report, "j5_reconcile": reconciled,
         "j6_identity_audit": identity_audit, "j7_shared_pages": shared_pages, "j8_corrected": corrected, "j9_scope": scope, "j10_domain_weights": weights,
         "k1_gate": gate, "h5_k1_failures": gate_failures, "k2_k3_regional": regional, "k4_validation": validation, "k5_status": status, "k6_queue": queue, "k7_passes": three_passes,
+        "a5_a6_image_files": image_files, "g1_g4_images": image_checks,
         "l1_stream": streamed_decisions, "l2_stream": streamed_chunks,
     }

@@ -64,6 +64,11 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select(F.substring_index("path", mark, -1).alias("path"), "length")
 
 
+def write_files(df: DataFrame, path: str, key: str, content: str) -> None:
+    """A file for each row, of its text as UTF-8 and a line end, in a folder named by the key; keys are unique."""
+    df.select(key, content).write.option("maxRecordsPerFile", 1).partitionBy(key).text(path)
+
+
 def slice_rows(df: DataFrame, order: str, start: int, limit: int, rows_in_task: int = 250_000) -> DataFrame:
     """Rows start up to start + limit by place, from 0, in order of a whole-numbered column, whatever gaps it has.
 

@@ -156,6 +156,59 @@ def test_images(spark, tmp_path):
     assert checks["bad.png"] == "undecodable" and checks["a.png"] == "format is not JPEG"
 
 
+def test_jpeg(spark, tmp_path):
+    """Files of the JVM's own encoder: in colour, grey, and too small."""
+    (tmp_path / "in").mkdir()
+    rng = np.random.default_rng(2)
+    (tmp_path / "big.png").write_bytes(png(rng.integers(0, 255, (260, 300, 3), dtype=np.uint8)))
+    (tmp_path / "small.png").write_bytes(png(rng.integers(0, 255, (90, 300, 3), dtype=np.uint8)))
+    jvm = spark._jvm
+    io, file = jvm.javax.imageio.ImageIO, jvm.java.io.File
+    for name in ("big", "small"):
+        assert io.write(io.read(file(f"{tmp_path}/{name}.png")), "jpg", file(f"{tmp_path}/in/{name}.jpg"))
+    assert io.write(jvm.java.awt.image.BufferedImage(300, 260, 10), "jpg", file(f"{tmp_path}/in/grey.jpg"))  # 10: bytes of grey
+    root = f"file://{tmp_path}/in"
+    files, decoded = tables.read_files(spark, root), tables.read_images(spark, root)
+    got = {r["path"].rsplit("/", 1)[1]: r for r in images.jpeg_check(files, decoded).collect()}
+    assert {k: r["error"] for k, r in got.items()} == {"big.jpg": "", "small.jpg": "size=300x90", "grey.jpg": "mode is not RGB"}
+    assert got["big.jpg"]["sha256"] == hashlib.sha256((tmp_path / "in/big.jpg").read_bytes()).hexdigest()
+    quality = {r["path"].rsplit("/", 1)[1]: r["error"] for r in images.image_quality(decoded, files.select("path", "length")).collect()}
+    assert quality["big.jpg"] == "" and quality["small.jpg"] == "dimensions too small: 300x90"
+
+
+def drawn_by_loops(line, to):
+    """One line of values by cubic convolution (a = -0.5), a value and a tap at a time."""
+
+    def cubic(t):
+        t = abs(t)
+        return 1.5 * t**3 - 2.5 * t**2 + 1 if t < 1 else -0.5 * (t**3 - 5 * t**2 + 8 * t - 4) if t < 2 else 0.0
+
+    scale, out = len(line) / to, []
+    for place in range(to):
+        middle, wide = (place + 0.5) * scale, max(scale, 1.0)
+        near = range(max(0, int(middle - 2 * wide + 0.5)), min(len(line), int(middle + 2 * wide + 0.5)))
+        shares = [cubic((x + 0.5 - middle) / wide) for x in near]
+        fixed = [int(abs(w / sum(shares)) * 2**22 + 0.5) * (1 if w > 0 else -1) for w in shares]
+        out.append(min(255, max(0, (sum(int(line[x]) * w for x, w in zip(near, fixed)) + 2**21) // 2**22)))
+    return out
+
+
+def test_resampling():
+    """Against a plain loop on 50 images that shrink, grow and keep a side; and the hash's bits one by one."""
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        h, w, to_w, to_h = (int(x) for x in rng.integers((3, 3, 1, 1), (70, 70, 30, 30)))
+        x = rng.choice([0, 255], (h, w, 1)) if rng.random() < 0.3 else rng.integers(0, 256, (h, w, 1))
+        across = [drawn_by_loops(x[y, :, 0], to_w) if to_w != w else x[y, :, 0].tolist() for y in range(h)]
+        down = [drawn_by_loops([row[c] for row in across], to_h) if to_h != h else [row[c] for row in across] for c in range(to_w)]
+        assert np.array_equal(images.resized(x.astype(np.uint8), to_w, to_h)[:, :, 0], np.array(down).T)
+    x = rng.integers(0, 256, (50, 40, 3)).astype(np.uint8)
+    grey = [[(19595 * int(r) + 38470 * int(g) + 7471 * int(b) + 32768) // 65536 for r, g, b in row] for row in x]
+    tiny = np.array([drawn_by_loops(row, 9) for row in grey])
+    tiny = np.array([drawn_by_loops(tiny[:, c], 8) for c in range(9)]).T
+    assert images.dhash(x) == f"{sum(1 << (8 * j + i) for j in range(8) for i in range(8) if tiny[j, i] > tiny[j, i + 1]):016x}"
+
+
 def whole_passes(spark, inputs, verify, rejected, model, now, passes_):
     """The same passes with every row acquired in each of them."""
     last = sheet = None
@@ -363,7 +416,7 @@ def test_every_sql_query_has_a_twin(spark):
     assert set(oracle_sql()) <= set(queries.queries())
 
 
-@pytest.mark.parametrize("name", ["f1_f2_f10_best_evidence", "i10_verified", "h5_k1_failures", "k6_queue", "j1_j2_path_problems", "l1_stream", "l2_stream"])
+@pytest.mark.parametrize("name", ["f1_f2_f10_best_evidence", "i10_verified", "h5_k1_failures", "k6_queue", "j1_j2_path_problems", "l1_stream", "l2_stream", "a5_a6_image_files", "g1_g4_images"])
 def test_against_sql(spark, sf_dir, name):
     import os
 
