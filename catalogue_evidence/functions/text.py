@@ -85,8 +85,8 @@ def norm_text(c: Column) -> Column:
 
 def norm_of(c: Column) -> Column:
     """norm_text() of a text whose character references are resolved already."""
-    c = F.translate(F.lower(c), "™®", "  ")
-    for was, now in UNIT_ALIASES.items():
+    c = F.lower(c)
+    for was, now in {"™": " ", "®": " ", **UNIT_ALIASES}.items():  # replace() searches bytes; translate() looks every letter up
         c = F.replace(c, F.lit(was), F.lit(now))
     return F.trim(F.regexp_replace(c, "[^a-z0-9.]+", " "))
 
