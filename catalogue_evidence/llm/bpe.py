@@ -9,28 +9,31 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import string
 import tempfile
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import duckdb
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue_evidence.llm.chunks import Recent, portions
+from catalogue_evidence.llm.chunks import Ragged, Recent, list_ends, slices
 
-#: A round merges each word's leftmost pair of lowest rank; a word without such a pair has no next row.
+#: A round merges each word's leftmost pair of lowest rank, which is in one number with its place; a word without such a
+#: pair has no next row.
 ENCODE = """
 WITH RECURSIVE step(word, tokens) AS (
   SELECT word, tokens FROM words
   UNION ALL
-  SELECT s.word, list_concat(list_append(s.tokens[:best.pair.pos - 1], best.pair.merged), s.tokens[best.pair.pos + 2:])
+  SELECT s.word, list_concat(list_append(s.tokens[:(best.pair & 255) - 1], (best.pair >> 8)::INTEGER), s.tokens[(best.pair & 255) + 2:])
   FROM step s
   JOIN (
-    SELECT p.word, min({'merged': m.merged, 'pos': p.pos}) AS pair
+    SELECT p.word, min(m.merged::BIGINT << 8 | p.pos) AS pair
     FROM (
       SELECT word, unnest(tokens[:-2]) AS lhs, unnest(tokens[2:]) AS rhs, generate_subscripts(tokens[2:], 1) AS pos FROM step
     ) p
@@ -68,13 +71,17 @@ WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
 )
 SELECT word, list(token ORDER BY pos) AS tokens FROM state WHERE token IS NOT NULL GROUP BY word ORDER BY word
 """
+#: The order of rows is that of the subquery: one thread runs it, and decode() holds the bytes against the vocabulary. An
+#: order inside of the aggregate takes three times as long. Bytes are letters of Latin-1, as only texts can be joined.
 DECODE = """
-SELECT t.doc, list(v.bytes ORDER BY t.pos) AS parts
-FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
+SELECT doc, string_agg(letters, '') AS text FROM (
+  SELECT t.doc, v.letters FROM tokens t JOIN vocabulary v ON v.id = t.id ORDER BY t.pos
+) GROUP BY doc
 """
 WORDS = 20_000  # in one query
-LONG = 64  # bytes from which on a word is cut where no token can lie, and what is still longer is encoded by ENCODE_LONG
-ODD = 100_000  # awkward chunks known before those that the cache has lost are dropped
+LONG = 64  # bytes, 256 at most, from which on a word is cut where no token can lie, and what is still longer is encoded by ENCODE_LONG
+PORTION = 2 << 20  # bytes of texts whose different chunks are encoded at once
+MARKS = "".join(c for c in string.punctuation if c != "'")  # neither letter, digit nor blank, and no beginning of 's and its like
 
 
 def awkward(chunk: str) -> bool:
@@ -82,11 +89,23 @@ def awkward(chunk: str) -> bool:
     return chunk[-1:].isspace() or chunk[:1] == " " and chunk[1:2].isspace()
 
 
+def wordlike(chunk: str) -> bool:
+    """Whether a chunk is one piece of letters, with or without a blank before them."""
+    return (chunk[1:] if chunk[:1] == " " else chunk).isalpha()
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def places(last: np.ndarray) -> np.ndarray:
+    """Where each item is once those marked as last stand behind all others, both in their order."""
+    out = np.empty(len(last), np.int64)
+    out[np.argsort(last, kind="stable")] = np.arange(len(last))
+    return out
+
+
 class Codec:
     """A vocabulary of ranks, with its merges as a DuckDB table: any two tokens whose bytes joined are a token merge."""
 
@@ -95,9 +114,7 @@ class Codec:
         # White space as the Unicode property; this library's \s holds four more control characters.
         self.pieces = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.decimal = [b""] * (max(ranks.values()) + 1)
-        for i in ranks.values():
-            self.decimal[i] = b"%d" % i
+        self.decimal = pa.array([b"%d " % i for i in range(max(ranks.values()) + 1)], pa.large_binary())
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.inside = np.zeros(1 << 16, bool)  # pairs of bytes that some token holds
         for t in ranks:
@@ -106,9 +123,11 @@ class Codec:
         config = {"threads": 1, "memory_limit": "256MB", "temp_directory": tempfile.mkdtemp(prefix="duckdb-")}
         self.db = duckdb.connect(":memory:", config=config)
         self._table("merges", dict(zip(("lhs", "rhs", "merged"), (pa.array(c, pa.int32()) for c in zip(*merges)), strict=True)))
-        self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})
-        self.chunks = Recent(self.encode_chunks)
-        self.odd: set[str] = set()  # awkward chunks beside the cache: a later text with one is cut into pieces as well
+        self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "letters": pa.array([t.decode("latin-1") for t in ranks])})
+        known = {i: t for t, i in ranks.items()}
+        self.bytes = pa.array(map(known.get, range(max(known) + 1)), pa.large_binary())
+        self.words = Recent(self.encode_words, 150_000)
+        self.chunks = Recent(self.encode_chunks, 50_000)  # those of more pieces than one
 
     def _table(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register("given", pa.table(columns))
@@ -127,13 +146,13 @@ class Codec:
         cuts = (np.flatnonzero(~self.inside[b[:-1].astype(np.uint16) << 8 | b[1:]]) + 1).tolist()
         return [raw[i:j] for i, j in zip([0, *cuts], [*cuts, len(raw)])]
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Token ids as 32-bit integers of each word; a word that is a token as a whole is that token."""
-        raw = {w: w.encode() for w in words}
-        parts = {w: self.pieces_of(b) if len(b) >= LONG and b not in self.ranks else [b] for w, b in raw.items()}
+        raw = [w.encode() for w in words]
+        parts = {b: self.pieces_of(b) for b in raw if len(b) >= LONG and b not in self.ranks}
         known: dict[bytes, bytes] = {}
         rest: list[bytes] = []
-        for b in {b for bs in parts.values() for b in bs}:
+        for b in {*raw, *chain.from_iterable(parts.values())} - {b for b, bs in parts.items() if len(bs) > 1}:
             if (r := self.ranks.get(b)) is not None:
                 known[b] = np.int32(r).tobytes()
             else:
@@ -148,50 +167,79 @@ class Codec:
         for b in rest[n:]:  # one by one: each may be as long as a text
             letters = {"word": pa.array(np.zeros(len(b), np.int32)), "pos": pa.array(range(len(b)), pa.int32()), "token": pa.array(self.byte[np.frombuffer(b, np.uint8)])}
             known[b] = self._tokens(ENCODE_LONG, "letters", letters)[0]
-        return {w: b"".join([known[b] for b in bs]) for w, bs in parts.items()}
+        return [b"".join([known[p] for p in parts[b]]) if b in parts else known[b] for b in raw]
 
     def _tokens(self, query: str, name: str, columns: dict[str, pa.Array]) -> list[bytes]:
         got = self._asked(query, name, columns).column("tokens").combine_chunks()
-        flat, at = got.flatten().to_numpy(), got.offsets.to_numpy() - got.offsets[0].as_py()
-        return [flat[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+        raw, at = got.flatten().to_numpy().astype(np.int32).tobytes(), 4 * list_ends(got)
+        return [raw[i:j] for i, j in zip([0, *at.tolist()], at.tolist())]
+
+    def cut(self, chunk: str) -> list[str]:
+        """The pieces of a chunk. Of letters, marks behind them and single line ends between such they are known without
+        the pattern, which joins a line end without other white space beside it with nothing."""
+        lines = chunk.split("\n")
+        if len(lines) > 1 and not all(line and not line[-1].isspace() and (line[0] == " " and not i or not line[0].isspace()) for i, line in enumerate(lines)):
+            return self.pieces.findall(chunk)
+        out: list[str] = []
+        for i, line in enumerate(lines):
+            if i:
+                out.append("\n")
+            word = line.rstrip(MARKS)
+            if wordlike(word):
+                out.append(word)
+                if len(word) < len(line):
+                    out.append(line[len(word) :])
+            else:
+                out += self.pieces.findall(line)
+        return out
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Chunks begin and end where pieces of the pattern do, so that each can be encoded for itself."""
-        pieces = [[c] if (c[1:] if c[:1] == " " else c).isalpha() else self.pieces.findall(c) for c in chunks]  # letters are one
-        known = self.encode_words(sorted({w for ws in pieces for w in ws}))
+        pieces = [self.cut(c) for c in chunks]
+        words = list({w for ws in pieces for w in ws})
+        known = dict(zip(words, self.words.each(words), strict=True))
         return [b"".join([known[w] for w in ws]) for ws in pieces]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: pa.Array) -> Ragged:
         """Ids of each text, cut before its blanks; a text with more white space beside a blank is cut into pieces."""
+        cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+        different = cut.flatten().dictionary_encode()
+        odd = np.fromiter(map(awkward, chunks := different.dictionary.to_pylist()), bool, len(chunks))
+        again = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False).copy()
+        again[np.repeat(np.arange(len(texts)), np.diff(list_ends(cut), prepend=0))[odd[different.indices.to_numpy()]]] = True
+        if again.any():
+            pieces = [self.pieces.findall(t) for t in texts.filter(pa.array(again)).to_pylist()]
+            cut = pa.concat_arrays([cut.filter(pa.array(~again)), pa.array(pieces, cut.type)])
+            different = cut.flatten().dictionary_encode()
+            chunks = different.dictionary.to_pylist()
+        word = np.fromiter(map(wordlike, chunks), bool, len(chunks))
+        made = self.words.each(list(compress(chunks, word))) + self.chunks.each(list(compress(chunks, ~word)))
+        ids = Ragged.of(made, np.int32).take(places(~word)[different.indices.to_numpy()]).joined(list_ends(cut))
+        return ids.take(places(again)) if again.any() else ids
 
-        def mend(new: set[str], docs: list[list[str]]) -> bool:
-            self.odd.update(filter(awkward, new))
-            if len(self.odd) > ODD:  # what the cache still holds of them, and what is new
-                self.odd = set(filter(awkward, (*self.chunks.young, *self.chunks.old, *new)))
-            again = [k for k, chunks in enumerate(docs) if not self.odd.isdisjoint(chunks)] if self.odd else []
-            for k in again:
-                docs[k] = self.pieces.findall(texts[k])
-            return bool(again)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self.encode_all(pa.array(texts, pa.string())).arrays()
 
-        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else self.pieces.findall(t) for t in texts]
-        return [np.frombuffer(b, np.int32) for b in self.chunks.of(cut, mend)]
+    def decimals(self, ids: Ragged) -> list[bytes]:
+        """The decimal ids of each text, joined by one blank."""
+        made = self.decimal.take(pa.array(ids.flat))
+        raw, at = memoryview(made.buffers()[2]), np.frombuffer(made.buffers()[1], np.int64)
+        ends = at[ids.ends].tolist()
+        return [raw[i : max(i, j - 1)] for i, j in zip([0, *ends], ends)]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         size = np.array([len(x) for x in ids], np.int64)
         if not size.sum():
             return [b""] * len(ids)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), size)
-        pos = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
-        made = self._asked(DECODE, "tokens", {"doc": pa.array(doc), "pos": pa.array(pos), "id": pa.array(np.concatenate(ids))})
+        pos = np.arange(len(doc))
+        flat = np.concatenate(ids)
+        made = self._asked(DECODE, "tokens", {"doc": pa.array(doc), "pos": pa.array(pos), "id": pa.array(flat)})
         out = [b""] * len(ids)
-        for batch in made.to_batches():
-            parts = batch.column("parts")
-            flat = parts.flatten()
-            raw = flat.buffers()[2]  # the bytes of all tokens, one after the other
-            at = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset :]
-            ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-            for k, i, j in zip(batch.column("doc").to_pylist(), ends[:-1], ends[1:]):
-                out[k] = raw[at[i] : at[j]].to_pybytes()
+        for k, text in zip(made.column("doc").to_pylist(), made.column("text").to_pylist()):
+            out[k] = text.encode("latin-1")
+        if b"".join(out) != self.bytes.take(pa.array(flat[(flat >= 0) & (flat < len(self.bytes))])).buffers()[2]:  # unknown ids have no bytes
+            raise RuntimeError("decoded tokens are out of order")
         return out
 
 
@@ -216,8 +264,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in batches:
             at = 0
-            for texts in portions(batch.column(1)):
-                ids = pa.array(own.encode(texts), pa.list_(pa.int32()))
+            for texts in slices(batch.column(1), PORTION):
+                made = own.encode_all(texts)
+                ids = pa.ListArray.from_arrays(pa.array(np.append(0, made.ends), pa.int32()), pa.array(made.flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], names=["doc_id", "ids"])
                 at += len(texts)
 
@@ -249,15 +298,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in batches:
             at = 0
-            for texts in portions(batch.column(1)):
-                ids = own.encode(texts)
-                name = own.decimal.__getitem__
+            for texts in slices(batch.column(1), PORTION):
+                ids = own.encode_all(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(b" ".join(map(name, x.tolist()))).hexdigest() for x in ids]),
-                        pa.array([hashlib.sha256(b).hexdigest() for b in own.decode(ids)]),
+                        pa.array(np.diff(ids.ends, prepend=0)),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in own.decimals(ids)]),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in own.decode(ids.arrays())]),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )

@@ -18,15 +18,6 @@ class Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, docs: list[list[str]]) -> set[str]:
-        young = self.young
-        new = {c for chunks in docs for c in chunks if c not in young}
-        if self.old:
-            known = new & self.old.keys()
-            young.update((c, self.old[c]) for c in known)
-            new -= known
-        return new
-
     def each(self, chunks: list[str]) -> list[bytes]:
         """The encoding of each of some different chunks."""
         if len(self.young) > self.most:
@@ -43,19 +34,6 @@ class Recent:
             young.update(zip(new, self.encode(new), strict=True))
         return [young[c] for c in chunks]
 
-    def of(self, docs: list[list[str]], mend: Callable[[set[str], list[list[str]]], bool] | None = None) -> list[bytes]:
-        """The joined encodings of each document's chunks. mend sees new chunks and may cut documents anew."""
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        new = self.missing(docs)
-        if mend and mend(new, docs):
-            new = self.missing(docs)
-        if new:
-            asked = sorted(new)
-            self.young.update(zip(asked, self.encode(asked), strict=True))
-        get = self.young.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in docs]
-
 
 @dataclass
 class Ragged:

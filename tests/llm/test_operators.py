@@ -126,6 +126,27 @@ def test_awkward_white_space_that_is_cached_already():
         assert own.encode([text])[0].tolist() == plain.encode_ordinary(text)
 
 
+def test_a_word_in_several_chunks_is_encoded_once(monkeypatch):
+    own = bpe.Codec(queries.BYTE_RANKS, queries.PATTERN)
+    asked, ask = [], own._asked
+    monkeypatch.setattr(own, "_asked", lambda query, name, columns: asked.append(len(columns["word"]) if name == "words" else 0) or ask(query, name, columns))
+    for text in ("so blorfingzo", "so blorfingzo. so", "a blorfingzo,\nBlorfingzo!", "Blorfingzo blorfingzo?! x blorfingzo\nblorfingzo"):
+        own.encode([text])
+    assert sum(asked) == 3  # with a blank before it, as a name, and alone
+
+
+def test_chunks_are_cut_as_the_pattern_does():
+    plain = tiktoken.Encoding("plain", pat_str=queries.PATTERN, mergeable_ranks=bpe.read_ranks(queries.BYTE_RANKS), special_tokens={})
+    own = bpe.Codec(queries.BYTE_RANKS, queries.PATTERN)
+    rng = random.Random(4)
+    parts = ["word", "\xc9t\xe9", "\u4e2d", "a\u0301", "12", "\xb2", ".", "!?", "'", "'s", "'re", "\u2019", "_", "\n", "\n", "\n\n", " ", " ", " ", "\r\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "\0", "\u200b", "\U0001f600", "x" * 70]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(4000)]
+    for some in (texts, texts[::-1], texts[:1], [], [""]):
+        ids = own.encode(some)
+        assert [x.tolist() for x in ids] == [plain.encode_ordinary(t) for t in some]
+        assert own.decode(ids) == [t.encode() for t in some]
+
+
 def simple_secrets(text):
     text = text or ""
     assign = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
