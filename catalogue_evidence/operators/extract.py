@@ -146,6 +146,16 @@ def _balanced(pages: DataFrame) -> DataFrame:
     return known.dropDuplicates(["page_url", "_hash", "_n"]).drop("_hash", "_n")
 
 
+def written_title(source: Column) -> Column:
+    """The title that a pattern finds in a page's source, up to the next tag: references to the three marks of markup are
+    resolved, all others stay as they are written, also those cut short; empty without a title, null of a null page.
+    page_text() has the title as browsers show it."""
+    c = F.regexp_extract(source, "<title>([^<]*)</title>", 1)
+    for was, now in {"&lt;": "<", "&gt;": ">", "&amp;": "&"}.items():  # the ampersand's last, so that nothing is resolved twice
+        c = F.replace(c, F.lit(was), F.lit(now))
+    return F.regexp_replace(F.regexp_replace(c, r"[\t\n\f\r ]+", " "), r"^\p{Zs}+|\p{Zs}+$", "")
+
+
 def page_text(pages: DataFrame) -> DataFrame:
     """(page_url, title, text) of (page_url, html): white space collapsed, text cut at 250,000 characters; of a null
     page both are empty. Equal rows give one row."""

@@ -1,10 +1,12 @@
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from catalogue_evidence.operators import assemble, audit, conflicts, extract, publish, review, scoring, skew
 from catalogue_evidence.operators.assemble import KEY
+from catalogue_evidence.plans import oracles, queries
 from catalogue_evidence.sources import shared, tables
 
 PAGE = """<html><head><title>Exact Product 60 caps</title>
@@ -30,6 +32,16 @@ def test_page_extraction(spark):
     assert found["https://cdn.x.com/c.jpg"]["origin"] == "woocommerce-gallery-srcset"
 
 
+def test_titles_are_those_of_the_sql(spark, tmp_path):
+    """Pages with one URL and different bodies, references cut short or of other marks, odd blanks, and no title."""
+    titles = [" a\x0bb \xa0c\u2003", "\u3000 &amp;lt; &quot;q&quot; &lt;b&gt; and&&&amp", "\n d\t\t e\r\n", "a<b>c", "", None, "x\x85\u2028 "]
+    pages = [(k, f"https://x.com/{k % 2}", t if t is None else f"<html><title>{t}</title><title>second</title></html>") for k, t in enumerate(titles)]
+    rows(spark, ["page_id long", "url", "html"], *pages, (100, "https://x.com/0", "<TITLE>x</TITLE>")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["title"] for r in queries.page_titles(spark, str(tmp_path)).collect()}
+    sql = oracles.oracle_sql()["d1_page_titles"].replace("from pages", f"from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == dict(duckdb.sql(sql).fetchall()) and len(got) == len(pages) + 1
+
+
 def test_rendered_candidates(spark):
     fields = ["page_url", "disc_ord long", "url", "origin", "alt", "page_title", "w int", "h int"]
     img = "browser-rendered-img"
