@@ -189,8 +189,10 @@ def cell_colour(k: Column, cell: Column, channel: int) -> Column:
 
 
 def drawings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s_suppkey, content): a run-length coded bitmap of 64 colours for each supplier, as text of ASCII characters."""
-    s = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").cast("long").alias("k"))
+    """(s_suppkey, content): a run-length coded bitmap of 64 colours for each supplier, as text of ASCII characters. Keys are
+    dealt out before anything is drawn: a table of few bytes is read by one task, however many rows it has."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = read(spark, sf_dir, "supplier").select("s_suppkey").repartition(parts, "s_suppkey").select("s_suppkey", F.col("s_suppkey").cast("long").alias("k"))
     turn = (F.col("k") % TURNS).cast("int")
     grid = F.array(*[F.array(*map(F.lit, g)) for g in GRIDS])
     s = s.withColumn("turn", turn).withColumn("g", F.coalesce(F.get(grid, turn), F.array(F.lit(1), F.lit(1), F.lit(1))))

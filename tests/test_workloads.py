@@ -156,6 +156,41 @@ def test_images(spark, tmp_path):
     assert checks["bad.png"] == "undecodable" and checks["a.png"] == "format is not JPEG"
 
 
+#: Three suppliers whose file is no image, two with tiny files, two with one image of 40 by 40 cells, and one named twice.
+SUPPLIERS = [0, 8, 18, 28, 9, 19, 16510, 3, 3]
+
+
+def supplied(spark, folder):
+    """SUPPLIERS as a table, and the rows that the SQL of a query has for it."""
+    import duckdb
+
+    from catalogue_evidence.plans.oracles import oracle_sql
+
+    spark.createDataFrame([(k,) for k in SUPPLIERS], "s_suppkey long").coalesce(1).write.parquet(f"{folder}/supplier.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view supplier as select * from read_parquet('{folder}/supplier.parquet/*.parquet')")
+    return lambda name: sorted(map(str, con.execute(oracle_sql()[name]).fetchall()))
+
+
+def test_equal_images_are_one_file(spark, tmp_path):
+    want = supplied(spark, tmp_path)
+    root, every = queries.drawn(spark, str(tmp_path))
+    assert every.count() == len(SUPPLIERS) and tables.list_files(spark, root, "*.txt").count() == 4
+    assert sorted(str(tuple(r)) for r in queries.image_files(spark, str(tmp_path)).collect()) == want("a5_a6_image_files")
+
+
+def test_files_are_written_and_listed_by_some_tasks(spark, tmp_path):
+    many = spark.range(0, 60, numPartitions=1).selectExpr("id as k", "'x' as content")
+    tables.write_files(many, f"file://{tmp_path}/many", "k", "content")
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(listing)
+    files = tables.read_files(spark, f"file://{tmp_path}/many", "*.txt").collect()
+    tasks = {r["path"].rsplit("/", 1)[1].split("-")[1] for r in files}
+    assert len(files) == 60 and len(tasks) > 4 and spark.conf.get(listing) == was
+    with tables.whole_listings(spark):
+        assert spark.conf.get(listing) == "16"
+
+
 def test_jpeg(spark, tmp_path):
     """Files of the JVM's own encoder: in colour, grey, and too small."""
     (tmp_path / "in").mkdir()
