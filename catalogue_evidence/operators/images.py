@@ -9,6 +9,7 @@ pixels of lossy formats.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,10 @@ LEAST_BYTES, LEAST_SIDE, LEAST_RATIO, MOST_RATIO, LEAST_ENTROPY, LEAST_SPREAD =
 BITS = 22  # of resampling weights
 # Weights of red, green and blue in grey, in 65,536ths.
 LUMA = (19_595, 38_470, 7_471)
-QUALITY = "path string, length long, width int, height int, entropy double, stddev double, dhash string"
+FIGURES = "path string, width int, height int, channels int, entropy double, stddev double, dhash string"
 
 
+@lru_cache(1024)
 def taps(n: int, to: int) -> tuple[np.ndarray, np.ndarray]:
     """(first, weights): the places of n from which each of `to` places is drawn, and the weight of each, in units of
     1 / 2**BITS. Cubic convolution with a = -0.5, widened by the ratio where an image shrinks; weights add up to 1."""
@@ -46,18 +48,22 @@ def resized(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
         if len(a) == to:
             return a
         first, weight = taps(len(a), to)
-        out = np.full((to, *a.shape[1:]), 1 << (BITS - 1), np.int64)
+        most = 255 * int(np.abs(weight).sum(1).max()) + (1 << BITS)  # that a sum of bytes can come to
+        kind = np.int32 if most < 1 << 31 else np.int64
+        flat, share = np.ascontiguousarray(a, kind).reshape(len(a), -1), weight.astype(kind)
+        out = np.full((to, flat.shape[1]), 1 << (BITS - 1), kind)
         for k in range(weight.shape[1]):  # as many as an output place has taps, not as an image has pixels
-            out += a[np.minimum(first + k, len(a) - 1)] * weight[:, k].reshape(-1, *[1] * (a.ndim - 1))
-        return np.clip(out >> BITS, 0, 255)
+            out += flat[np.minimum(first + k, len(a) - 1)] * share[:, k, None]
+        return np.clip(out >> BITS, 0, 255).reshape(to, *a.shape[1:])
 
-    across = drawn(pixels.astype(np.int64).swapaxes(0, 1), width).swapaxes(0, 1)
+    across = drawn(pixels.swapaxes(0, 1), width).swapaxes(0, 1)
     return drawn(across, height).astype(np.uint8)
 
 
 def grey_of(pixels: np.ndarray) -> np.ndarray:
     """Luma of ITU-R 601 in whole numbers, as (h, w, 1)."""
-    return ((pixels.astype(np.int64) @ np.array(LUMA) + (1 << 15)) >> 16)[:, :, None]
+    red, green, blue = (pixels[:, :, k].astype(np.int32) * w for k, w in enumerate(LUMA))
+    return ((red + green + blue + (1 << 15)) >> 16)[:, :, None]
 
 
 def same_path(path: Column) -> Column:
@@ -84,9 +90,9 @@ def dhash(pixels: np.ndarray) -> str:
     return f"{sum(1 << i for i in np.flatnonzero(bits).tolist()):016x}"
 
 
-def image_quality(images: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(path, length, width, height, entropy, stddev, dhash, error) of Spark's image rows and (path, length); error is
-    empty for images that are good enough. Pixels go no further than the helper that reads them."""
+def image_figures(images: DataFrame) -> DataFrame:
+    """(path, width, height, channels, entropy, stddev, dhash) of Spark's image rows; pixels go no further than the helper,
+    which stands where images are read."""
 
     def figures(data: bytes, width: int, height: int, channels: int) -> tuple[float | None, float | None, str | None]:
         if width <= 0 or height <= 0:
@@ -96,15 +102,21 @@ def image_quality(images: DataFrame, lengths: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = [batch.column(k).to_pylist() for k in (2, 3, 4)]
-            made = [figures(d.as_py(), *s) for d, *s in zip(batch.column(5), *size)]  # one image's bytes at a time
+            size = [batch.column(k).to_pylist() for k in (1, 2, 3)]
+            made = [figures(d.as_py(), *s) for d, *s in zip(batch.column(4), *size)]  # one image's bytes at a time
             cols = [pa.array([m[k] for m in made], t) for k, t in enumerate((pa.float64(), pa.float64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], names=["path", "length", "width", "height", "entropy", "stddev", "dhash"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], names=["path", "width", "height", "channels", "entropy", "stddev", "dhash"])
+
+    return images.select("image.origin", "image.width", "image.height", "image.nChannels", "image.data").mapInArrow(run, FIGURES)
+
 
+def image_quality(images: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(path, length, width, height, entropy, stddev, dhash, error) of Spark's image rows and (path, length); error is
+    empty for images that are good enough."""
     size = lengths.select(same_path(F.col("path")).alias("_p"), "length")
-    flat = images.select("image.*").join(size, same_path(F.col("origin")) == F.col("_p"))
-    made = flat.select("origin", "length", "width", "height", "nChannels", "data").mapInArrow(run, QUALITY)
-    return made.withColumn("error", quality_error())
+    made = image_figures(images)
+    both = made.join(size, same_path(made["path"]) == F.col("_p"))
+    return both.select("path", "length", "width", "height", "entropy", "stddev", "dhash", quality_error().alias("error"))
 
 
 def quality_error() -> Column:
@@ -121,21 +133,38 @@ def quality_error() -> Column:
     )
 
 
+def file_figures(files: DataFrame) -> DataFrame:
+    """(path, length, sha256, head) of rows of binary files; head: the first three bytes as hex digits."""
+    return files.select("path", F.length("content").cast("long").alias("length"), F.sha2("content", 256).alias("sha256"), F.hex(F.substring("content", 1, 3)).alias("head"))
+
+
 def content_hash(files: DataFrame) -> DataFrame:
     """(path, length, sha256) of rows of binary files."""
-    return files.select("path", F.length("content").cast("long").alias("length"), F.sha2("content", 256).alias("sha256"))
+    return file_figures(files).select("path", "length", "sha256")
 
 
-def jpeg_check(files: DataFrame, images: DataFrame) -> DataFrame:
-    """(path, sha256, error): error is empty for decodable three-channel JPEG files of 240 pixels a side and more."""
-    i = images.select(F.col("image.origin").alias("_o"), "image.width", "image.height", "image.nChannels")
-    both = files.join(i, same_path(F.col("path")) == same_path(F.col("_o")), "left")
-    side = F.least("width", "height")
-    error = (
+def jpeg_error() -> Column:
+    """What keeps (width, height, channels, head) from being a JPEG file in colour that is large enough, empty if nothing."""
+    return (
         F.when(F.coalesce(F.col("width"), F.lit(-1)) <= 0, "undecodable")
-        .when(F.hex(F.substring("content", 1, 3)) != "FFD8FF", "format is not JPEG")
-        .when(F.col("nChannels") != 3, "mode is not RGB")
-        .when(side < LEAST_SIDE, F.concat(F.lit("size="), F.col("width").cast("string"), F.lit("x"), F.col("height").cast("string")))
+        .when(F.col("head") != "FFD8FF", "format is not JPEG")
+        .when(F.col("channels") != 3, "mode is not RGB")
+        .when(F.least("width", "height") < LEAST_SIDE, F.concat(F.lit("size="), F.col("width").cast("string"), F.lit("x"), F.col("height").cast("string")))
         .otherwise("")
     )
-    return both.select("path", F.sha2("content", 256).alias("sha256"), error.alias("error"))
+
+
+def jpeg_check(files: DataFrame, images: DataFrame) -> DataFrame:
+    """(path, sha256, error): error is empty for decodable three-channel JPEG files of 240 pixels a side and more."""
+    i = images.select(F.col("image.origin").alias("_o"), "image.width", "image.height", F.col("image.nChannels").alias("channels"))
+    both = file_figures(files).join(i, same_path(F.col("path")) == same_path(F.col("_o")), "left")
+    return both.select("path", "sha256", jpeg_error().alias("error"))
+
+
+def image_checks(files: DataFrame, images: DataFrame) -> DataFrame:
+    """(path, length, width, height, entropy, stddev, dhash, error, sha256, jpeg_error): image_quality(), content_hash() and
+    jpeg_check() of the files that are among images, each read once and each image decoded once."""
+    made = image_figures(images)
+    held = file_figures(files).withColumnRenamed("path", "_file")
+    both = made.join(held, same_path(made["path"]) == same_path(held["_file"]))
+    return both.select("path", "length", "width", "height", "entropy", "stddev", "dhash", quality_error().alias("error"), "sha256", jpeg_error().alias("jpeg_error"))

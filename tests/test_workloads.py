@@ -160,23 +160,31 @@ def test_images(spark, tmp_path):
 SUPPLIERS = [0, 8, 18, 28, 9, 19, 16510, 3, 3]
 
 
-def supplied(spark, folder):
-    """SUPPLIERS as a table, and the rows that the SQL of a query has for it."""
+def supplied(spark, folder, keys=SUPPLIERS):
+    """Suppliers as a table, and the rows that the SQL of a query has for it, as texts of columns by name."""
     import duckdb
 
     from catalogue_evidence.plans.oracles import oracle_sql
 
-    spark.createDataFrame([(k,) for k in SUPPLIERS], "s_suppkey long").coalesce(1).write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").coalesce(1).write.parquet(f"{folder}/supplier.parquet")
     con = duckdb.connect()
     con.execute(f"create view supplier as select * from read_parquet('{folder}/supplier.parquet/*.parquet')")
-    return lambda name: sorted(map(str, con.execute(oracle_sql()[name]).fetchall()))
+    return lambda name: sorted(str(sorted(r.items())) for r in con.execute(oracle_sql()[name]).to_arrow_table().to_pylist())
 
 
 def test_equal_images_are_one_file(spark, tmp_path):
     want = supplied(spark, tmp_path)
     root, every = queries.drawn(spark, str(tmp_path))
     assert every.count() == len(SUPPLIERS) and tables.list_files(spark, root, "*.txt").count() == 4
-    assert sorted(str(tuple(r)) for r in queries.image_files(spark, str(tmp_path)).collect()) == want("a5_a6_image_files")
+    assert sorted(str(sorted(r.asDict().items())) for r in queries.image_files(spark, str(tmp_path)).collect()) == want("a5_a6_image_files")
+
+
+def test_images_are_read_and_decoded_once(spark, tmp_path):
+    want = supplied(spark, tmp_path, SUPPLIERS[:-1])
+    checked = queries.image_checks(spark, str(tmp_path))
+    scans = [x.rsplit("] ", 1)[1] for x in checked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
+    assert sorted(scans) == ["binaryFile", "image", "parquet"]
+    assert sorted(str(sorted(r.asDict().items())) for r in checked.collect()) == want("g1_g4_images")
 
 
 def test_files_are_written_and_listed_by_some_tasks(spark, tmp_path):
