@@ -103,3 +103,14 @@ def test_references_are_resolved_like_the_standard_library(spark):
     got = [r["u"] for r in df.select("t", text.unescape(F.col("t")).alias("u")).collect()]
     wrong = [(t, html.unescape(t), u) for t, u in zip(texts, got) if t is not None and html.unescape(t) != u]
     assert not wrong and got[-1] is None
+
+
+def test_bad_urls_are_found_word_by_word(spark):
+    """As the pattern of all words finds them, in either case and behind escapes; without that pattern in the plan."""
+    words = [*urls.BAD_URL_WORDS, *urls.SITE_DEFAULTS]
+    given = [f"https://x.com/a{w.upper()}b.jpg" for w in words] + [f"https://x.com/%{ord(w[0]):02x}{w[1:]}" for w in words] + ["https://x.com/lo-go.jpg", "/%zzlogo", "a+icon", "", None]
+    df = spark.createDataFrame([(u,) for u in given], "u string")
+    want = F.coalesce(F.lower(urls.url_unquote(F.col("u"))).rlike("|".join(words)), F.lit(False))
+    got = df.select(urls.is_bad_image_url(F.col("u")).alias("bad"), want.alias("want")).collect()
+    assert all(r["bad"] == r["want"] for r in got) and sum(r["bad"] for r in got) == 2 * len(words) + 2
+    assert "RLIKE" not in df.select(urls.is_bad_image_url(F.col("u")))._jdf.queryExecution().optimizedPlan().toString().upper()
